@@ -374,8 +374,6 @@ def _with(ctes: str, select: str) -> str:
 _UP = _LINES + "," + _STATUS
 _IN = _LINES + "," + _PLACED
 _PROFILE = _IN + "," + _CUSTOMER
-# Streams stop at the last event: a window is out once event time has passed its end by the delay.
-_CLOSED_HUB = 'window_end <= (SELECT max("eventTimestamp") FROM hub) - INTERVAL 10 SECOND'
 _QUANTITY = """
   SELECT item, max({'ts': ts, 'r': r, 'q': quantity}).q AS quantity, max(ts) AS last_restocked_at
   FROM (SELECT item, ts, 0 AS r, quantity FROM inv WHERE raw_type = 'RESTOCK_COMPLETED_EVENT'
@@ -449,4 +447,62 @@ def batch_sql() -> dict[str, str]:
                       CASE WHEN quantity % 7 <> 3 THEN quantity END AS quantity, ts AS event_time
                FROM inv WHERE quantity % 5 <> 0""",
         ),
+        "inventory_events_lake": _with(
+            _STOCK,
+            """SELECT * FROM stock_events
+               WHERE event_timestamp >= DATE '2024-01-05' AND event_timestamp < DATE '2024-01-15'""",
+        ),
+    }
+
+
+def stream_sql() -> dict[str, str]:
+    """A stream that has read everything has emitted what lies behind its watermark: the
+    newest event time of the slowest input, less the delay."""
+    cancelled = _LINES + "," + _cancelled("cancelled", "t + to_seconds(120)")
+
+    def newest(table: str, column: str = '"eventTimestamp"') -> str:
+        return f"(SELECT max({column}) FROM {table})"
+
+    hub_mark = newest("hub") + " - INTERVAL 10 SECOND"
+    slowest = f"least({newest('stock_events', 'event_timestamp')}, {newest('cancelled')})"
+    join_mark = f"least({newest('status')}, {newest('placed')}) - INTERVAL 3610 SECOND"
+    return {
+        "order_events_stream": _with(_HUB, f"SELECT {_HISTORY_COLUMNS} FROM hub"),
+        "trends_5m_stream": _with(
+            _HUB + "," + _trends("5 MINUTE"), f"SELECT * FROM trend WHERE window_end <= {hub_mark}"
+        ),
+        "trends_daily_stream": _with(
+            _HUB + "," + _trends("1 DAY"), f"SELECT * FROM trend WHERE window_end <= {hub_mark}"
+        ),
+        "trends_enriched_stream": _with(
+            ",".join([_LINES, _PLACED, _STATUS, _trends_enriched("1 DAY")]),
+            f"SELECT * FROM enriched WHERE window_end <= {join_mark}",
+        ),
+        "turnover_stream": _with(
+            _PARTIALS,
+            f"SELECT * FROM turnover WHERE window_end <= {slowest} - INTERVAL 10 SECOND",
+        ),
+        "stockout_risk_hourly_stream": _with(
+            cancelled,
+            f"""SELECT item, TRUE AS at_risk, max("eventTimestamp") AS last_stockout_event_at
+                FROM cancelled
+                GROUP BY item, time_bucket(INTERVAL 1 HOUR, "eventTimestamp")
+                HAVING time_bucket(INTERVAL 1 HOUR, "eventTimestamp") + INTERVAL 1 HOUR
+                       <= {newest("cancelled")} - INTERVAL 10 SECOND""",
+        ),
+        "stockout_risk_current_stream": _with(cancelled, _RISK_CURRENT),
+        "stock_current_stream": _with(_STOCK, _STOCK_CURRENT),
+        "stock_quantity_stream": _with(_STOCK, _QUANTITY),
+        "customer_360_current_stream": _with(_PROFILE, "SELECT * FROM profile_360"),
+        "lead_time_stream": _with(
+            _LEAD,
+            f"""SELECT * FROM lead_time
+                WHERE fulfilled_at <= {newest("changes", "ts")} - INTERVAL 30 SECOND""",
+        ),
+        "order_assembly_stream": _with(
+            _IN + "," + _ASSEMBLY,
+            f"""SELECT * FROM assembled
+                WHERE last_line_at + INTERVAL 5 SECOND
+                      <= {newest("placed")} - INTERVAL 5 SECOND""",
+        ),
     }

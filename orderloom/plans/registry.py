@@ -20,16 +20,22 @@ from orderloom.operators import (
 )
 from orderloom.plans import oracle
 from orderloom.schemas import INVENTORY_OUT, LINE_A, LINE_B, ORDERS_UP
-from orderloom.session import use_utc
+from orderloom.session import ROCKSDB_PROVIDER, settings, shared_dir, use_utc
+from orderloom.sinks import lake
 from orderloom.sources import testdata as td
 from orderloom.sources import topics
+from orderloom.streaming import jobs
+from orderloom.streaming.lead_time import lead_time_stream
+from orderloom.streaming.replay import replay_append, replay_keyed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def order_events(spark: SparkSession, sf: str) -> DataFrame:
+def order_events(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
     return hub.order_events(
-        td.orders_in(spark, sf), td.orders_up(spark, sf), td.eighty_six(spark, sf)
+        td.orders_in(spark, sf, stream),
+        td.orders_up(spark, sf, stream),
+        td.eighty_six(spark, sf, stream),
     )
 
 
@@ -145,6 +151,95 @@ def _batch() -> dict[str, Query]:
         "order_assembly": lambda s, d: assembly.order_assembly(ev(s, d)),
         "json_strict_completions": _json_strict,
         "json_lenient_stock": _json_lenient,
+        "inventory_events_lake": _inventory_events_lake,
+    }
+
+
+def _inventory_events_lake(spark: SparkSession, sf: str) -> DataFrame:
+    """Write the stock events partitioned by day, read ten days of them back."""
+    path = shared_dir(spark, "tables")
+    by_day = lake.day("event_timestamp")
+    lake.append(stock_events(spark, sf), path, [by_day])
+    days = lake.read_days(spark, path, by_day, "2024-01-05", "2024-01-14")
+    return days.drop(by_day.column)
+
+
+def _customer_360_stream(spark: SparkSession, sf: str) -> DataFrame:
+    placed = hub.placed_events(td.orders_in(spark, sf, stream=True))
+    key = ["customer_name"]
+    return jobs.customer_profile(
+        replay_keyed(spark, jobs.customer_last_seen_stream(placed), key),
+        replay_keyed(spark, jobs.customer_order_count_stream(placed), key),
+    )
+
+
+def _turnover_stream(spark: SparkSession, sf: str) -> DataFrame:
+    restocks = stock.inventory_events(td.inventory_out(spark, sf, stream=True))
+    cancelled = hub.cancelled_events(td.eighty_six(spark, sf, stream=True, replay=True))
+    return replay_append(
+        spark, jobs.turnover_stream(restocks, cancelled), [lake.day("window_start")]
+    )
+
+
+def _stock_quantity_stream(spark: SparkSession, sf: str) -> DataFrame:
+    reports = jobs.stock_quantity_stream(
+        td.inventory_out(spark, sf, stream=True), td.stock_decrement(spark, sf, stream=True)
+    )
+    return replay_keyed(spark, reports, ["item"])
+
+
+def _lead_time_stream(spark: SparkSession, sf: str) -> DataFrame:
+    events = td.item_status_events(spark, sf, stream=True)
+    with settings(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB_PROVIDER):
+        return replay_append(spark, lead_time_stream(events), [lake.day("fulfilled_at")])
+
+
+def _streams() -> dict[str, Query]:
+    """Streaming forms, each run over the whole tables until nothing is left to read."""
+
+    def hub_stream(s: SparkSession, d: str) -> DataFrame:
+        return order_events(s, d, stream=True)
+
+    def cancelled(s: SparkSession, d: str) -> DataFrame:
+        return hub.cancelled_events(td.eighty_six(s, d, stream=True))
+
+    return {
+        "order_events_stream": lambda s, d: replay_append(
+            s, hub.history(hub_stream(s, d)), [lake.identity("event_type")]
+        ),
+        "trends_5m_stream": lambda s, d: replay_append(
+            s, jobs.trends_stream(hub_stream(s, d), trends.FIVE_MINUTES)
+        ),
+        "trends_daily_stream": lambda s, d: replay_append(
+            s,
+            jobs.trends_stream(hub_stream(s, d), trends.ONE_DAY),
+            [lake.month("window_start")],
+        ),
+        "trends_enriched_stream": lambda s, d: replay_append(
+            s,
+            jobs.trends_enriched_stream(
+                hub.status_events(td.orders_up(s, d, stream=True)),
+                hub.placed_events(td.orders_in(s, d, stream=True)),
+                trends.ONE_DAY,
+            ),
+        ),
+        "turnover_stream": _turnover_stream,
+        "stockout_risk_hourly_stream": lambda s, d: replay_append(
+            s, jobs.stockout_risk_hourly_stream(cancelled(s, d))
+        ),
+        "stockout_risk_current_stream": lambda s, d: replay_keyed(
+            s, jobs.stockout_risk_current_stream(cancelled(s, d)), ["item"]
+        ),
+        "stock_current_stream": lambda s, d: replay_keyed(
+            s, jobs.stock_current_stream(td.inventory_out(s, d, stream=True)), ["sku_id"]
+        ),
+        "stock_quantity_stream": _stock_quantity_stream,
+        "customer_360_current_stream": _customer_360_stream,
+        "lead_time_stream": _lead_time_stream,
+        "order_assembly_stream": lambda s, d: replay_append(
+            s,
+            jobs.order_assembly_stream(hub.placed_events(td.orders_in(s, d, stream=True))),
+        ),
     }
 
 
@@ -156,8 +251,8 @@ def _prepared(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {name: _prepared(q) for name, q in _batch().items()}
+    return {name: _prepared(q) for name, q in {**_batch(), **_streams()}.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.batch_sql()
+    return {**oracle.batch_sql(), **oracle.stream_sql()}

@@ -23,6 +23,14 @@ def _fact(spark: SparkSession, sf: str, name: str, stream: bool) -> DataFrame:
     return (table_stream if stream else table)(spark, sf, name)
 
 
+def _orders(spark: SparkSession, sf: str, stream: bool, *columns: str) -> DataFrame:
+    """Static orders. Streams need zoned times."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", *columns)
+    if stream:
+        orders = orders.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
+    return orders
+
+
 def _plus_seconds(ts: Column, seconds: Column) -> Column:
     return ts + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
 
@@ -75,8 +83,7 @@ def orders_in(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
     )
     nation = table(spark, sf, "nation").select("n_nationkey", "n_regionkey")
     orders = (
-        table(spark, sf, "orders")
-        .select("o_orderkey", "o_custkey", "o_orderdate")
+        _orders(spark, sf, stream, "o_custkey")
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     )
@@ -113,8 +120,7 @@ def orders_up(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
     """Completions: finished lines, one minute per unit after the order."""
     customer = table(spark, sf, "customer").select("c_custkey", "c_name")
     orders = (
-        table(spark, sf, "orders")
-        .select("o_orderkey", "o_custkey", "o_orderdate")
+        _orders(spark, sf, stream, "o_custkey")
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
     )
     lines = (
@@ -149,8 +155,7 @@ def eighty_six(
         start = F.lit(REPLAY_START).cast("timestamp" if stream else "timestamp_ntz")
         when = _plus_seconds(start, F.col("l_orderkey") % REPLAY_SECONDS)
     else:
-        orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-        lines = _with_order(lines, orders)
+        lines = _with_order(lines, _orders(spark, sf, stream))
         when = _plus_seconds(_order_time(), F.lit(120))
     return _with_part(lines, spark, sf).select(
         _order_id().alias("orderId"),
@@ -211,7 +216,6 @@ def completion_messages(spark: SparkSession, sf: str) -> DataFrame:
 def item_status_events(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
     """Status changes per item for the row pattern: placed, sometimes in progress, sometimes
     cancelled in between, finished lines fulfilled. One pass over the lines."""
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     lines = _fact(spark, sf, "lineitem", stream).select(
         "l_orderkey",
         "l_partkey",
@@ -221,7 +225,7 @@ def item_status_events(spark: SparkSession, sf: str, stream: bool = False) -> Da
         "l_returnflag",
         "l_linestatus",
     )
-    joined = _with_part(_with_order(lines, orders), spark, sf)
+    joined = _with_part(_with_order(lines, _orders(spark, sf, stream)), spark, sf)
     planned = F.when(F.col("l_suppkey") % 2 == 0, LINE_A).otherwise(LINE_B)
 
     def change(kind: str, status: str, line: Column, seconds: Column) -> Column:
