@@ -6,8 +6,10 @@ event-time order, and only the start of an unfinished match stays in state.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,43 +67,35 @@ def advance(rows: list[tuple]) -> tuple[list[tuple], list[tuple]]:
 
 
 class LeadTimeProcessor(StatefulProcessor):
-    """One instance per item id. ``waiting`` holds the open start and rows still too new."""
+    """One instance per item id. ``waiting`` holds the open start and rows still too new.
+
+    A timer stands for the earliest row of each batch of input. One that finds
+    its rows already taken changes nothing.
+    """
 
     def init(self, handle) -> None:
         self.handle = handle
         self.waiting = handle.getListState("waiting", _ROW)
-        self.timer = handle.getValueState(
-            "timer", T.StructType([T.StructField("at", T.LongType())])
-        )
-
-    def _set_timer(self, at: int) -> None:
-        current = self.timer.get()
-        if current is not None:
-            if current[0] <= at:
-                return
-            self.handle.deleteTimer(current[0])
-        self.handle.registerTimer(at)
-        self.timer.update((at,))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         fresh = [(r["at"], r["step"], r["order_id"], r["item"], r["line"]) for r in rows]
         self.waiting.appendList(fresh)
-        self._set_timer(min(r[0] for r in fresh))
+        self.handle.registerTimer(min(r[0] for r in fresh))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        self.timer.clear()
         rows = sorted((tuple(r) for r in self.waiting.get()), key=_sort_key)
         due = [r for r in rows if r[0] <= watermark]
         later = rows[len(due) :]
         found, opened = advance(due)
         if opened or later:
-            self.waiting.put(opened + later)
-        else:
+            if len(opened) + len(later) < len(rows):
+                self.waiting.put(opened + later)
+        elif rows:
             self.waiting.clear()
         if later:
-            self._set_timer(later[0][0])
+            self.handle.registerTimer(later[0][0])
         for start, done_at in found:
             yield Row(
                 item_id=key[0],
@@ -118,6 +112,8 @@ class LeadTimeProcessor(StatefulProcessor):
 
 def lead_time_stream(events: DataFrame) -> DataFrame:
     """Lead times in append mode. The session must use the RocksDB state store."""
+    # Send the processor itself to the workers, which need not have this package installed.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     rows = pattern_rows(events.withWatermark("eventTimestamp", PATTERN_DELAY))
     matches = (
         rows.withColumn("at", F.unix_millis("ts"))
