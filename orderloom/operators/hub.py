@@ -12,7 +12,9 @@ from orderloom.functions import (
     null_of,
     source_domain,
 )
-from orderloom.schemas import EVENT_LINE_ITEM, LINE_A, LINE_B, PRICE
+from orderloom.schemas import EVENT_LINE_ITEM, LINE_A, LINE_B, ORDER_LINE, PRICE
+
+_LINES = f"array<{ORDER_LINE.simpleString()}>"
 
 
 def _line_item(**values: Column) -> Column:
@@ -28,16 +30,21 @@ def _line_item(**values: Column) -> Column:
 def placed_events(orders_in: DataFrame) -> DataFrame:
     """One ORDER_PLACED per order line. NULL and empty line arrays give no event.
 
-    Both arrays are unnested in one pass over the orders.
+    Both arrays are unnested together, in one pass over the orders; a line's
+    position tells which array it came from.
     """
-    per_line = F.array(
-        F.struct(F.lit(LINE_A).alias("line"), F.col("qdca10LineItems").alias("items")),
-        F.struct(F.lit(LINE_B).alias("line"), F.col("qdca10proLineItems").alias("items")),
-    )
-    header = ["id", "orderSource", "location", "loyaltyMemberId", "event_time"]
-    lines = orders_in.select(*header, F.explode(per_line).alias("part")).select(
-        *header, "part.line", F.explode("part.items").alias("li")
+    first, second = F.col("qdca10LineItems"), F.col("qdca10proLineItems")
+    both = F.concat(*[F.coalesce(a, F.array().cast(_LINES)) for a in (first, second)])
+    lines = orders_in.select(
+        "id",
+        "orderSource",
+        "location",
+        "loyaltyMemberId",
+        "event_time",
+        F.coalesce(F.size(first), F.lit(0)).alias("in_first"),
+        F.posexplode(both).alias("position", "li"),
     )
+    line = F.when(F.col("position") < F.col("in_first"), LINE_A).otherwise(LINE_B)
     return lines.select(
         event_id(F.col("id"), F.col("li.itemId"), "ORDER_PLACED", F.col("event_time")).alias(
             "eventId"
@@ -55,7 +62,7 @@ def placed_events(orders_in: DataFrame) -> DataFrame:
             name=F.col("li.name"),
             price=F.col("li.price").cast(PRICE),
             lineItemStatus=F.lit("PLACED"),
-            assemblyLine=F.col("line"),
+            assemblyLine=line,
         ).alias("lineItem"),
         F.lit("counter").alias("sourceDomain"),
         F.lit("orders-in").alias("sourceTopic"),

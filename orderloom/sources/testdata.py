@@ -228,47 +228,42 @@ def item_status_events(spark: SparkSession, sf: str, stream: bool = False) -> Da
     joined = _with_part(_with_order(lines, _orders(spark, sf, stream)), spark, sf)
     planned = F.when(F.col("l_suppkey") % 2 == 0, LINE_A).otherwise(LINE_B)
 
-    def change(kind: str, status: str, line: Column, seconds: Column) -> Column:
-        return F.struct(
-            F.lit(kind).alias("eventType"),
-            F.lit(status).alias("orderStatus"),
-            line.alias("assemblyLine"),
-            _plus_seconds(_order_time(), seconds).alias("eventTimestamp"),
-        )
-
-    changed = "LINE_ITEM_STATUS_CHANGED"
-    none = F.lit(None).cast("string")
-    changes = F.array(
-        change(changed, "PLACED", planned, F.lit(0)),
-        F.when(
-            F.col("l_returnflag") == "A", change(changed, "IN_PROGRESS", planned, F.lit(30))
-        ),
-        F.when(
-            (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1),
-            change("ORDER_CANCELLED", "CANCELLED", none, F.lit(40)),
-        ),
-        F.when(
-            F.col("l_linestatus") == "F",
-            change(
-                changed,
-                "FULFILLED",
-                assembly_line(_made_by()),
-                60 * F.col("l_quantity").cast("int"),
-            ),
-        ),
+    # one row per step the line goes through; columns follow from the step number
+    placed, progress, cancelled, fulfilled = range(4)
+    step = F.col("step")
+    happens = (
+        (step == placed)
+        | ((step == progress) & (F.col("l_returnflag") == "A"))
+        | ((step == cancelled) & (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1))
+        | ((step == fulfilled) & (F.col("l_linestatus") == "F"))
+    )
+    seconds = (
+        F.when(step == placed, 0)
+        .when(step == progress, 30)
+        .when(step == cancelled, 40)
+        .otherwise(60 * F.col("l_quantity").cast("int"))
+    )
+    line = F.when(step.isin(placed, progress), planned).when(
+        step == fulfilled, assembly_line(_made_by())
     )
     return (
-        joined.select(
-            _order_id().alias("orderId"),
-            _item_id().alias("itemId"),
-            F.col("p_brand").alias("item"),
-            F.explode(F.array_compact(changes)).alias("change"),
-        )
+        joined.withColumn("step", F.explode(F.array(*[F.lit(n) for n in range(4)])))
+        .where(happens)
         .select(
-            "orderId",
-            "change.eventType",
-            "change.eventTimestamp",
-            "change.orderStatus",
-            F.struct("itemId", "item", "change.assemblyLine").alias("lineItem"),
+            _order_id().alias("orderId"),
+            F.when(step == cancelled, "ORDER_CANCELLED")
+            .otherwise("LINE_ITEM_STATUS_CHANGED")
+            .alias("eventType"),
+            _plus_seconds(_order_time(), seconds).alias("eventTimestamp"),
+            F.when(step == placed, "PLACED")
+            .when(step == progress, "IN_PROGRESS")
+            .when(step == cancelled, "CANCELLED")
+            .otherwise("FULFILLED")
+            .alias("orderStatus"),
+            F.struct(
+                _item_id().alias("itemId"),
+                F.col("p_brand").alias("item"),
+                line.alias("assemblyLine"),
+            ).alias("lineItem"),
         )
     )
