@@ -5,7 +5,7 @@ from __future__ import annotations
 # Raw topics derived from the test tables.
 _LINES = """
 li AS (
-  SELECT l.*, p_brand, c_name, c_custkey, c_acctbal, n_regionkey, o_orderkey,
+  SELECT l.*, p_brand, c_name, o_custkey, c_acctbal, n_regionkey, o_orderkey,
          l_orderkey::VARCHAR AS order_id,
          l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS item_id,
          o_orderdate + to_seconds(o_orderkey % 86400) AS t,
@@ -15,9 +15,9 @@ li AS (
               ELSE 'qdca10pro-' || l_suppkey END AS made_by
   FROM lineitem l
   JOIN orders ON o_orderkey = l_orderkey
-  JOIN customer ON c_custkey = o_custkey
-  JOIN nation ON n_nationkey = c_nationkey
-  JOIN part ON p_partkey = l_partkey)"""
+  LEFT JOIN customer ON c_custkey = o_custkey
+  LEFT JOIN nation ON n_nationkey = c_nationkey
+  LEFT JOIN part ON p_partkey = l_partkey)"""
 
 _PLACED = """
 placed AS (
@@ -28,7 +28,7 @@ placed AS (
            AS "orderSource",
          CASE n_regionkey WHEN 0 THEN 'ATLANTA' WHEN 1 THEN 'CHARLOTTE' WHEN 2 THEN 'RALEIGH'
            WHEN 3 THEN 'TOKYO' END AS location,
-         CASE WHEN c_acctbal > 0 AND o_orderkey % 2 = 0 THEN 'L' || c_custkey
+         CASE WHEN c_acctbal > 0 AND o_orderkey % 2 = 0 THEN 'L' || o_custkey
               WHEN o_orderkey % 10 = 1 THEN '' END AS "loyaltyMemberId",
          'PLACED' AS "orderStatus", item_id AS "itemId", p_brand AS item, c_name AS name,
          CAST(l_extendedprice AS DECIMAL(10,2)) AS price, 'PLACED' AS "lineItemStatus",
@@ -80,8 +80,9 @@ _HUB = ",".join(
 hub AS (SELECT * FROM placed UNION ALL SELECT * FROM status UNION ALL SELECT * FROM cancelled)""",
     ]
 )
+# replayed cancellations take their time from the line alone
 _REPLAYED = (
-    _LINES
+    _LINES.replace("JOIN orders", "LEFT JOIN orders")
     + ","
     + _cancelled("cancelled", "TIMESTAMP '2024-01-01' + to_seconds(l_orderkey % 2592000)")
 )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,14 +31,32 @@ from orderloom.streaming.replay import replay_append, replay_keyed
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def order_events(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
+ALL = td.ALL_FIELDS
+ITEM = ("item",)
+PROFILE = ("name", "location", "loyaltyMemberId")
+
+
+def order_events(
+    spark: SparkSession,
+    sf: str,
+    stream: bool = False,
+    placed: Collection[str] = ALL,
+    done: Collection[str] = ALL,
+    cancelled: Collection[str] = ALL,
+) -> DataFrame:
+    """The hub, with the dimension fields a consumer reads of each kind of event."""
     return hub.order_events(
-        td.orders_in(spark, sf, stream),
-        td.orders_up(spark, sf, stream),
-        td.eighty_six(spark, sf, stream),
+        td.orders_in(spark, sf, stream, placed),
+        td.orders_up(spark, sf, stream, done),
+        td.eighty_six(spark, sf, stream, cancelled),
     )
 
 
+def item_events(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
+    """The hub for consumers that read no dimension field but the item."""
+    return order_events(spark, sf, stream, ITEM, ITEM, ITEM)
+
+
 def replayed_cancellations(spark: SparkSession, sf: str) -> DataFrame:
     """Cancellations on the calendar of the stock events."""
     return hub.cancelled_events(td.eighty_six(spark, sf, replay=True))
@@ -49,7 +67,7 @@ def stock_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def customer_history(spark: SparkSession, sf: str) -> DataFrame:
-    return customer.customer_history(order_events(spark, sf))
+    return customer.customer_history(order_events(spark, sf, placed=PROFILE))
 
 
 def flat(events: DataFrame) -> DataFrame:
@@ -71,8 +89,11 @@ def _contract_violations(spark: SparkSession, sf: str) -> DataFrame:
     checks = [
         (events, contracts.ORDER_EVENT),
         (stock_events(spark, sf), contracts.STOCK_EVENT),
-        (trends.trends(events, trends.ONE_DAY), contracts.SALES_TREND),
-        (customer.customer_360_current(events), contracts.CUSTOMER_PROFILE),
+        (trends.trends(item_events(spark, sf), trends.ONE_DAY), contracts.SALES_TREND),
+        (
+            customer.customer_360_current(order_events(spark, sf, placed=PROFILE)),
+            contracts.CUSTOMER_PROFILE,
+        ),
     ]
     out = None
     for df, contract in checks:
@@ -103,17 +124,23 @@ def _json_lenient(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _batch() -> dict[str, Query]:
-    ev, replayed, se = order_events, replayed_cancellations, stock_events
+    ev, items, replayed, se = order_events, item_events, replayed_cancellations, stock_events
     return {
         "order_placed_events": lambda s, d: flat(hub.placed_events(td.orders_in(s, d))),
         "line_status_events": lambda s, d: flat(hub.status_events(td.orders_up(s, d))),
         "cancelled_events": lambda s, d: flat(hub.cancelled_events(td.eighty_six(s, d))),
         "order_events": lambda s, d: flat(ev(s, d)),
-        "order_events_history": lambda s, d: hub.history(ev(s, d)),
-        "order_events_current": lambda s, d: hub.current(ev(s, d)),
-        "trends_5m": lambda s, d: trends.trends(ev(s, d), trends.FIVE_MINUTES),
-        "trends_daily": lambda s, d: trends.trends(ev(s, d), trends.ONE_DAY),
-        "trends_enriched": lambda s, d: trends.trends_enriched(ev(s, d), trends.ONE_DAY),
+        "order_events_history": lambda s, d: hub.history(
+            ev(s, d, placed=PROFILE, done=("name",), cancelled=())
+        ),
+        "order_events_current": lambda s, d: hub.current(
+            ev(s, d, placed=("location", "loyaltyMemberId"), done=(), cancelled=())
+        ),
+        "trends_5m": lambda s, d: trends.trends(items(s, d), trends.FIVE_MINUTES),
+        "trends_daily": lambda s, d: trends.trends(items(s, d), trends.ONE_DAY),
+        "trends_enriched": lambda s, d: trends.trends_enriched(
+            ev(s, d, placed=("location",), done=ITEM), trends.ONE_DAY
+        ),
         "inventory_events": se,
         "stock_current": lambda s, d: stock.stock_current(td.inventory_out(s, d)),
         "stock_quantity": lambda s, d: stock.stock_quantity(
@@ -124,8 +151,8 @@ def _batch() -> dict[str, Query]:
         "turnover_from_partials": lambda s, d: turnover.turnover_from_partials(
             turnover.turnover_partials(se(s, d), replayed(s, d))
         ),
-        "stockout_risk_current": lambda s, d: turnover.stockout_risk_current(ev(s, d)),
-        "stockout_risk_hourly": lambda s, d: turnover.stockout_risk_hourly(ev(s, d)),
+        "stockout_risk_current": lambda s, d: turnover.stockout_risk_current(items(s, d)),
+        "stockout_risk_hourly": lambda s, d: turnover.stockout_risk_hourly(items(s, d)),
         "lead_time_line_a": lambda s, d: pattern.lead_times(
             td.item_status_events(s, d), lines=(LINE_A,)
         ),
@@ -133,10 +160,10 @@ def _batch() -> dict[str, Query]:
             td.item_status_events(s, d), lines=(LINE_B,)
         ),
         "lead_time_all_lines": lambda s, d: pattern.lead_times(td.item_status_events(s, d)),
-        "lead_time_on_hub": lambda s, d: pattern.lead_times(ev(s, d)),
-        "lead_time_enriched": lambda s, d: pattern.lead_times_enriched(ev(s, d)),
+        "lead_time_on_hub": lambda s, d: pattern.lead_times(items(s, d)),
+        "lead_time_enriched": lambda s, d: pattern.lead_times_enriched(items(s, d)),
         "customer_360_current": lambda s, d: customer.customer_360_current(
-            ev(s, d), with_updated_at=False
+            ev(s, d, placed=PROFILE), with_updated_at=False
         ),
         "customer_history": customer_history,
         "profile_full": lambda s, d: customer.profile_full(customer_history(s, d)),
@@ -148,7 +175,7 @@ def _batch() -> dict[str, Query]:
             td.completion_messages(s, d)
         ),
         "contract_violations": _contract_violations,
-        "order_assembly": lambda s, d: assembly.order_assembly(ev(s, d)),
+        "order_assembly": lambda s, d: assembly.order_assembly(ev(s, d, placed=())),
         "json_strict_completions": _json_strict,
         "json_lenient_stock": _json_lenient,
         "inventory_events_lake": _inventory_events_lake,
@@ -165,7 +192,7 @@ def _inventory_events_lake(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _customer_360_stream(spark: SparkSession, sf: str) -> DataFrame:
-    placed = hub.placed_events(td.orders_in(spark, sf, stream=True))
+    placed = hub.placed_events(td.orders_in(spark, sf, stream=True, fields=PROFILE))
     key = ["customer_name"]
     return jobs.customer_profile(
         replay_keyed(spark, jobs.customer_last_seen_stream(placed), key),
@@ -197,29 +224,26 @@ def _lead_time_stream(spark: SparkSession, sf: str) -> DataFrame:
 def _streams() -> dict[str, Query]:
     """Streaming forms, each run over the whole tables until nothing is left to read."""
 
-    def hub_stream(s: SparkSession, d: str) -> DataFrame:
-        return order_events(s, d, stream=True)
-
     def cancelled(s: SparkSession, d: str) -> DataFrame:
         return hub.cancelled_events(td.eighty_six(s, d, stream=True))
 
     return {
         "order_events_stream": lambda s, d: replay_append(
-            s, hub.history(hub_stream(s, d)), [lake.identity("event_type")]
+            s, hub.history(order_events(s, d, stream=True)), [lake.identity("event_type")]
         ),
         "trends_5m_stream": lambda s, d: replay_append(
-            s, jobs.trends_stream(hub_stream(s, d), trends.FIVE_MINUTES)
+            s, jobs.trends_stream(item_events(s, d, stream=True), trends.FIVE_MINUTES)
         ),
         "trends_daily_stream": lambda s, d: replay_append(
             s,
-            jobs.trends_stream(hub_stream(s, d), trends.ONE_DAY),
+            jobs.trends_stream(item_events(s, d, stream=True), trends.ONE_DAY),
             [lake.month("window_start")],
         ),
         "trends_enriched_stream": lambda s, d: replay_append(
             s,
             jobs.trends_enriched_stream(
-                hub.status_events(td.orders_up(s, d, stream=True)),
-                hub.placed_events(td.orders_in(s, d, stream=True)),
+                hub.status_events(td.orders_up(s, d, stream=True, fields=ITEM)),
+                hub.placed_events(td.orders_in(s, d, stream=True, fields=("location",))),
                 trends.ONE_DAY,
             ),
         ),
@@ -238,7 +262,9 @@ def _streams() -> dict[str, Query]:
         "lead_time_stream": _lead_time_stream,
         "order_assembly_stream": lambda s, d: replay_append(
             s,
-            jobs.order_assembly_stream(hub.placed_events(td.orders_in(s, d, stream=True))),
+            jobs.order_assembly_stream(
+                hub.placed_events(td.orders_in(s, d, stream=True, fields=()))
+            ),
         ),
     }
 

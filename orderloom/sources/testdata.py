@@ -2,16 +2,21 @@
 
 Each adapter joins only what its topic needs and leaves the join strategy to
 Catalyst: dimension sides are broadcast when their size allows it, and adaptive
-execution splits skewed sort-merge partitions. ``stream=True`` reads the fact
-table as a stream and joins it to static dimensions.
+execution splits skewed sort-merge partitions. Dimensions are left joins on
+their unique key: a missing row leaves a field NULL and drops no event. Lookups
+can be limited to the ``fields`` the consumer reads; the others are NULL and
+cost no join. ``stream=True`` reads the fact table as a stream and
+joins it to static dimensions.
 """
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.functions import assembly_line, to_millis
+from orderloom.functions import assembly_line, null_of, to_millis
 from orderloom.schemas import LINE_A, LINE_B, LOCATIONS, ORDER_LINE, ORDER_SOURCES, PRICE
 from orderloom.sources.tables import table, table_stream
 
@@ -19,6 +24,9 @@ REPLAY_START = "2024-01-01 00:00:00"
 REPLAY_SECONDS = 30 * 86400
 
 
+ALL_FIELDS = ("item", "name", "location", "loyaltyMemberId")
+
+
 def _fact(spark: SparkSession, sf: str, name: str, stream: bool) -> DataFrame:
     return (table_stream if stream else table)(spark, sf, name)
 
@@ -70,27 +78,48 @@ def _with_order(lines: DataFrame, orders: DataFrame) -> DataFrame:
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
 
 
-def _with_part(lines: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
+def _with_part(
+    lines: DataFrame, spark: SparkSession, sf: str, fields: Collection[str] = ALL_FIELDS
+) -> DataFrame:
+    """Adds ``p_brand``."""
+    if "item" not in fields:
+        return lines.withColumn("p_brand", null_of("string"))
     part = table(spark, sf, "part").select("p_partkey", "p_brand")
-    return lines.join(part, lines.l_partkey == part.p_partkey)
+    return lines.join(part, lines.l_partkey == part.p_partkey, "left")
 
 
-def orders_in(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
-    """Order records. An order's lines come as separate records of one line each,
-    so no record grows with the size of an order."""
+def _with_customer(
+    orders: DataFrame, spark: SparkSession, sf: str, fields: Collection[str]
+) -> DataFrame:
+    """Adds the customer and region columns behind the wanted fields."""
+    if not {"name", "location", "loyaltyMemberId"} & set(fields):
+        return orders.withColumns(
+            {
+                "c_name": null_of("string"),
+                "c_acctbal": null_of("double"),
+                "n_regionkey": null_of("int"),
+            }
+        )
     customer = table(spark, sf, "customer").select(
         "c_custkey", "c_name", "c_acctbal", "c_nationkey"
     )
+    known = orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
+    if "location" not in fields:
+        return known.withColumn("n_regionkey", null_of("int"))
     nation = table(spark, sf, "nation").select("n_nationkey", "n_regionkey")
-    orders = (
-        _orders(spark, sf, stream, "o_custkey")
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    )
+    return known.join(nation, known.c_nationkey == nation.n_nationkey, "left")
+
+
+def orders_in(
+    spark: SparkSession, sf: str, stream: bool = False, fields: Collection[str] = ALL_FIELDS
+) -> DataFrame:
+    """Order records. An order's lines come as separate records of one line each,
+    so no record grows with the size of an order."""
+    orders = _with_customer(_orders(spark, sf, stream, "o_custkey"), spark, sf, fields)
     lines = _fact(spark, sf, "lineitem", stream).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"
     )
-    joined = _with_part(_with_order(lines, orders), spark, sf)
+    joined = _with_part(_with_order(lines, orders), spark, sf, fields)
     key = F.col("o_orderkey")
     line = F.struct(
         _item_id().alias("itemId"),
@@ -106,7 +135,7 @@ def orders_in(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
         _pick(F.col("n_regionkey"), LOCATIONS).alias("location"),
         F.when(
             (F.col("c_acctbal") > 0) & (key % 2 == 0),
-            F.concat(F.lit("L"), F.col("c_custkey").cast("string")),
+            F.concat(F.lit("L"), F.col("o_custkey").cast("string")),
         )
         .when(key % 10 == 1, "")
         .alias("loyaltyMemberId"),
@@ -116,19 +145,18 @@ def orders_in(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
     )
 
 
-def orders_up(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
+def orders_up(
+    spark: SparkSession, sf: str, stream: bool = False, fields: Collection[str] = ALL_FIELDS
+) -> DataFrame:
     """Completions: finished lines, one minute per unit after the order."""
-    customer = table(spark, sf, "customer").select("c_custkey", "c_name")
-    orders = (
-        _orders(spark, sf, stream, "o_custkey")
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-    )
+    wanted = set(fields) & {"item", "name"}
+    orders = _with_customer(_orders(spark, sf, stream, "o_custkey"), spark, sf, wanted)
     lines = (
         _fact(spark, sf, "lineitem", stream)
         .where(F.col("l_linestatus") == "F")
         .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
     )
-    return _with_part(_with_order(lines, orders), spark, sf).select(
+    return _with_part(_with_order(lines, orders), spark, sf, fields).select(
         _order_id().alias("orderId"),
         _item_id().alias("lineItemId"),
         F.col("p_brand").alias("item"),
@@ -139,7 +167,11 @@ def orders_up(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
 
 
 def eighty_six(
-    spark: SparkSession, sf: str, stream: bool = False, replay: bool = False
+    spark: SparkSession,
+    sf: str,
+    stream: bool = False,
+    fields: Collection[str] = ALL_FIELDS,
+    replay: bool = False,
 ) -> DataFrame:
     """Cancellations: returned lines that were never finished.
 
@@ -157,7 +189,7 @@ def eighty_six(
     else:
         lines = _with_order(lines, _orders(spark, sf, stream))
         when = _plus_seconds(_order_time(), F.lit(120))
-    return _with_part(lines, spark, sf).select(
+    return _with_part(lines, spark, sf, fields).select(
         _order_id().alias("orderId"),
         _item_id().alias("lineItemId"),
         F.col("p_brand").alias("item"),

@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from datetime import datetime, timedelta
 from pathlib import Path
 
@@ -18,6 +19,7 @@ def spark():
         .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.catalogImplementation", "in-memory")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="orderloom-warehouse-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
