@@ -218,7 +218,7 @@ def _stock_quantity_stream(spark: SparkSession, sf: str) -> DataFrame:
 def _lead_time_stream(spark: SparkSession, sf: str) -> DataFrame:
     events = td.item_status_events(spark, sf, stream=True)
     with settings(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB_PROVIDER):
-        return replay_append(spark, lead_time_stream(events), [lake.day("fulfilled_at")])
+        return replay_append(spark, lead_time_stream(events))
 
 
 def _streams() -> dict[str, Query]:
