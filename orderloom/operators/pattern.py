@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from orderloom.schemas import ASSEMBLY_LINES
 
 STATUS_CHANGED = "LINE_ITEM_STATUS_CHANGED"
+SLICE = "10 minutes"
 PLACED, IN_PROGRESS, FULFILLED, OTHER = 0, 1, 2, 3
 # Rows at equal times are taken in life-cycle order; beyond that equal rows are interchangeable.
 _ORDER = ["ts", "step", "order_id", "item"]
+ROW_COLUMNS = ["item_id", "order_id", "item", "ts", "step", "line"]
 
 
 def pattern_rows(events: DataFrame, start_types: Sequence[str] = (STATUS_CHANGED,)) -> DataFrame:
@@ -67,13 +69,9 @@ def _look_ahead(rows: DataFrame, *partition: str) -> DataFrame:
     )
 
 
-def lead_times(
-    events: DataFrame,
-    lines: Sequence[str] = ASSEMBLY_LINES,
-    start_types: Sequence[str] = (STATUS_CHANGED,),
-    slice_size: str | None = "10 minutes",
-) -> DataFrame:
-    """Lead time per completed item, for all ``lines`` in one pass.
+def decide(rows: DataFrame, slice_size: str | None) -> DataFrame:
+    """Decides the pattern rows: ``done_at`` completes a match; ``open`` and
+    ``last_progress`` mark the start of one that the rows given do not finish.
 
     An item id that holds a large share of all rows (a missing id, say) must not
     end up in one task. Rows are therefore matched within time slices first. Only
@@ -81,29 +79,31 @@ def lead_times(
     first two rows, and an unfinished match at its end. ``slice_size=None`` skips
     the slicing where item ids are known to be spread evenly.
     """
-    rows = pattern_rows(events, start_types)
     if slice_size is None:
-        matched = _look_ahead(rows, "item_id").where(F.col("done_at").isNotNull())
-    else:
-        sliced = rows.withColumn("slice", F.window("ts", slice_size)["start"])
-        first = _look_ahead(sliced, "item_id", "slice")
-        undecided = F.col("open") | F.col("last_progress") | (F.col("position") <= 2)
-        carried = first.where(F.col("done_at").isNotNull() | undecided).select(
-            "item_id",
-            "order_id",
-            "item",
-            "ts",
-            "step",
-            "line",
-            F.col("done_at").alias("done_in_slice"),
-            F.col("open").alias("was_open"),
-            # decided rows keep their slice, so they stay spread out
-            F.when(~undecided, F.col("slice")).alias("group"),
-        )
-        second = _look_ahead(carried, "item_id", "group")
-        done_at = F.coalesce("done_in_slice", F.when(F.col("was_open"), F.col("done_at")))
-        matched = second.withColumn("done_at", done_at).where(F.col("done_at").isNotNull())
-    return matched.where(F.col("line").isin(*lines)).select(
+        return _look_ahead(rows, "item_id")
+    sliced = rows.withColumn("slice", F.window("ts", slice_size)["start"])
+    first = _look_ahead(sliced, "item_id", "slice")
+    undecided = F.col("open") | F.col("last_progress") | (F.col("position") <= 2)
+    carried = first.where(F.col("done_at").isNotNull() | undecided).select(
+        *ROW_COLUMNS,
+        F.col("done_at").alias("done_in_slice"),
+        F.col("open").alias("was_open"),
+        F.col("last_progress").alias("was_last"),
+        # decided rows keep their slice, so they stay spread out
+        F.when(~undecided, F.col("slice")).alias("group"),
+    )
+    second = _look_ahead(carried, "item_id", "group")
+    return second.select(
+        *ROW_COLUMNS,
+        F.coalesce("done_in_slice", F.when(F.col("was_open"), F.col("done_at"))).alias("done_at"),
+        (F.col("was_open") & F.col("open")).alias("open"),
+        (F.col("was_last") & F.col("last_progress")).alias("last_progress"),
+    )
+
+
+def lead_time_columns(decided: DataFrame) -> DataFrame:
+    """Published columns of the completed matches."""
+    return decided.where(F.col("done_at").isNotNull()).select(
         "item_id",
         "order_id",
         "item",
@@ -115,6 +115,17 @@ def lead_times(
     )
 
 
+def lead_times(
+    events: DataFrame,
+    lines: Sequence[str] = ASSEMBLY_LINES,
+    start_types: Sequence[str] = (STATUS_CHANGED,),
+    slice_size: str | None = SLICE,
+) -> DataFrame:
+    """Lead time per completed item, for all ``lines`` in one pass."""
+    decided = decide(pattern_rows(events, start_types), slice_size)
+    return lead_time_columns(decided.where(F.col("line").isin(*lines)))
+
+
 def lead_times_enriched(events: DataFrame, **options) -> DataFrame:
     """Lead times on hub data, where an item starts with its ORDER_PLACED event."""
     return lead_times(events, start_types=(STATUS_CHANGED, "ORDER_PLACED"), **options)

@@ -20,8 +20,8 @@ from orderloom.operators import (
 )
 from orderloom.plans import oracle
 from orderloom.schemas import INVENTORY_OUT, LINE_A, LINE_B, ORDERS_UP
-from orderloom.session import ROCKSDB_PROVIDER, settings, shared_dir, use_utc
-from orderloom.sinks import lake
+from orderloom.session import shared_dir, use_utc
+from orderloom.sinks import keyed, lake
 from orderloom.sources import testdata as td
 from orderloom.sources import topics
 from orderloom.streaming import jobs
@@ -216,9 +216,15 @@ def _stock_quantity_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _lead_time_stream(spark: SparkSession, sf: str) -> DataFrame:
-    events = td.item_status_events(spark, sf, stream=True)
-    with settings(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB_PROVIDER):
-        return replay_append(spark, lead_time_stream(events))
+    out = shared_dir(spark, "tables")
+    lead_time_stream(
+        td.item_status_events(spark, sf, stream=True),
+        shared_dir(spark, "state"),
+        out,
+        shared_dir(spark, "checkpoints"),
+        {"availableNow": True},
+    ).awaitTermination()
+    return spark.read.parquet(out).drop(keyed.BATCH)
 
 
 def _streams() -> dict[str, Query]:

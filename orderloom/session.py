@@ -4,14 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-ROCKSDB_PROVIDER = (
-    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-)
 _own_dir: str | None = None
 
 
@@ -36,17 +31,3 @@ def shared_dir(spark: SparkSession, purpose: str, name: str | None = None) -> st
         _own_dir = _own_dir or tempfile.mkdtemp(prefix="orderloom-")
         root = _own_dir
     return f"{root.rstrip('/')}/orderloom/{purpose}/{name or uuid.uuid4().hex}"
-
-
-@contextmanager
-def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
-    """Apply SQL settings (dots written as ``__``) and put the old ones back."""
-    keys = {k.replace("__", "."): v for k, v in conf.items()}
-    before = {k: spark.conf.get(k, None) for k in keys}
-    try:
-        for k, v in keys.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -18,7 +18,6 @@ from orderloom.schemas import REVENUE
 RAW_DELAY = "5 seconds"
 TREND_DELAY = "10 seconds"
 PROFILE_DELAY = "30 seconds"
-PATTERN_DELAY = "30 seconds"
 # --- end of fixed values ------------------------------------------------------
 
 

@@ -1,136 +1,115 @@
 """Streaming form of the assembly row pattern.
 
-Rows wait in keyed state until the watermark has passed them, are then taken in
-event-time order, and only the start of an unfinished match stays in state.
+Ordering rows by event time is not something a stream can do on its own, so each
+micro-batch runs the batch operator over the rows that event time has passed.
+Between batches a small table keeps what may still matter: rows that are too new,
+and the start of matches not finished yet. A row that breaks a match ends its
+start, so the table holds items in assembly, not everything ever placed.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Sequence
 
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql.streaming import StreamingQuery
 
 from orderloom.operators.pattern import (
-    FULFILLED,
-    IN_PROGRESS,
-    PLACED,
+    ROW_COLUMNS,
+    SLICE,
+    STATUS_CHANGED,
+    decide,
+    lead_time_columns,
     pattern_rows,
 )
-from orderloom.streaming.jobs import PATTERN_DELAY
-
-_ROW = T.StructType(
-    [
-        T.StructField("at", T.LongType()),
-        T.StructField("step", T.IntegerType()),
-        T.StructField("order_id", T.StringType()),
-        T.StructField("item", T.StringType()),
-        T.StructField("line", T.StringType()),
-    ]
-)
-_MATCH = T.StructType(
-    [
-        T.StructField("item_id", T.StringType()),
-        T.StructField("order_id", T.StringType()),
-        T.StructField("item", T.StringType()),
-        T.StructField("placed_ms", T.LongType()),
-        T.StructField("fulfilled_ms", T.LongType()),
-        T.StructField("assembly_line", T.StringType()),
-    ]
-)
+from orderloom.sinks.keyed import write_batch
 
+# --- fixed value: how late an event may be ------------------------------------
+PATTERN_DELAY_SECONDS = 30
+# --- end of fixed value -------------------------------------------------------
 
-def _sort_key(row: tuple) -> tuple:
-    return row[0], row[1], row[2] or "", row[3] or ""
+_ROWS = "item_id string, order_id string, item string, ts timestamp, step int, line string"
+_CLOCK = "batch bigint, newest bigint"
 
 
-def advance(rows: list[tuple]) -> tuple[list[tuple], list[tuple]]:
-    """Matches as (start row, end time) in ordered rows, and the open start left at their end."""
-    found, opened = [], []
-    for row in rows:
-        at, step, line = row[0], row[1], row[4]
-        follows = bool(opened) and opened[0][4] == line
-        if step == PLACED:
-            opened = [row]
-        elif follows and step == FULFILLED:
-            found.append((opened[0], at))
-            opened = []
-        elif follows and step == IN_PROGRESS and len(opened) == 1:
-            opened.append(row)
-        else:
-            opened = []
-    return found, opened
+def _clock_before(spark: SparkSession, state: str, batch_id: int) -> int | None:
+    """Newest event time, in microseconds, after the batch before this one."""
+    if batch_id == 0:
+        return None
+    row = spark.read.schema(_CLOCK).parquet(f"{state}/clock/{(batch_id - 1) % 2}").first()
+    if row is None or row["batch"] != batch_id - 1:
+        raise RuntimeError(f"{state} does not hold the state after batch {batch_id - 1}")
+    return row["newest"]
 
 
-class LeadTimeProcessor(StatefulProcessor):
-    """One instance per item id. ``waiting`` holds the open start and rows still too new.
+def lead_time_batches(
+    state: str,
+    out: str,
+    start_types: Sequence[str] = (STATUS_CHANGED,),
+    slice_size: str = SLICE,
+    delay_seconds: int = PATTERN_DELAY_SECONDS,
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function over hub events that stores finished matches under ``out``.
 
-    A timer stands for the earliest row of each batch of input. One that finds
-    its rows already taken changes nothing.
+    State has two slots used in turn, so a batch that is repeated after a failure
+    still finds the state it started from, and its output replaces itself.
     """
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", _ROW)
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        fresh = [(r["at"], r["step"], r["order_id"], r["item"], r["line"]) for r in rows]
-        self.waiting.appendList(fresh)
-        self.handle.registerTimer(min(r[0] for r in fresh))
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        watermark = timerValues.getCurrentWatermarkInMs()
-        rows = sorted((tuple(r) for r in self.waiting.get()), key=_sort_key)
-        due = [r for r in rows if r[0] <= watermark]
-        later = rows[len(due) :]
-        found, opened = advance(due)
-        if opened or later:
-            if len(opened) + len(later) < len(rows):
-                self.waiting.put(opened + later)
-        elif rows:
-            self.waiting.clear()
-        if later:
-            self.handle.registerTimer(later[0][0])
-        for start, done_at in found:
-            yield Row(
-                item_id=key[0],
-                order_id=start[2],
-                item=start[3],
-                placed_ms=start[0],
-                fulfilled_ms=done_at,
-                assembly_line=start[4],
-            )
-
-    def close(self) -> None:
-        pass
-
-
-def lead_time_stream(events: DataFrame) -> DataFrame:
-    """Lead times in append mode. The session must use the RocksDB state store."""
-    # Send the processor itself to the workers, which need not have this package installed.
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    rows = pattern_rows(events.withWatermark("eventTimestamp", PATTERN_DELAY))
-    matches = (
-        rows.withColumn("at", F.unix_millis("ts"))
-        .groupBy("item_id")
-        .transformWithState(
-            statefulProcessor=LeadTimeProcessor(),
-            outputStructType=_MATCH,
-            outputMode="Append",
-            timeMode="EventTime",
+    delay = delay_seconds * 1_000_000
+    micros = F.unix_micros("ts")
+
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = _clock_before(spark, state, batch_id)
+        rows = pattern_rows(batch, start_types).persist(StorageLevel.MEMORY_AND_DISK)
+        newest = rows.agg(F.max(micros)).first()[0]
+        newest = max((t for t in (before, newest) if t is not None), default=None)
+        if before is not None:
+            kept = spark.read.schema(_ROWS).parquet(f"{state}/rows/{(batch_id - 1) % 2}")
+            # rows behind the last release point are late
+            on_time = rows.where(micros > before - delay)
+            everything = kept.unionByName(on_time)
+        else:
+            everything = rows
+        released = micros <= F.lit(None if newest is None else newest - delay)
+        started = F.col("open") | F.col("last_progress")
+        decided = (
+            decide(everything.where(released), slice_size)
+            .where(F.col("done_at").isNotNull() | started)
+            .persist(StorageLevel.MEMORY_AND_DISK)
         )
-    )
-    return matches.select(
-        "item_id",
-        "order_id",
-        "item",
-        F.timestamp_millis("placed_ms").alias("placed_at"),
-        F.timestamp_millis("fulfilled_ms").alias("fulfilled_at"),
-        F.expr("(fulfilled_ms - placed_ms) DIV 1000").alias("lead_time_seconds"),
-        "assembly_line",
+        try:
+            write_batch(out)(lead_time_columns(decided), batch_id)
+            waiting = everything.where(~released).select(*ROW_COLUMNS)
+            unfinished = decided.where(started).select(*ROW_COLUMNS)
+            slot = batch_id % 2
+            waiting.unionByName(unfinished).write.mode("overwrite").parquet(f"{state}/rows/{slot}")
+            clock = spark.range(1).select(
+                F.lit(batch_id).cast("bigint").alias("batch"),
+                F.lit(newest).cast("bigint").alias("newest"),
+            )
+            clock.write.mode("overwrite").parquet(f"{state}/clock/{slot}")
+        finally:
+            decided.unpersist()
+            rows.unpersist()
+
+    return process
+
+
+def lead_time_stream(
+    events: DataFrame,
+    state: str,
+    out: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    **options,
+) -> StreamingQuery:
+    """Run the pattern over a stream of hub events into a table."""
+    return (
+        events.writeStream.option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "10 seconds"}))
+        .foreachBatch(lead_time_batches(state, out, **options))
+        .start()
     )

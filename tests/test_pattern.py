@@ -7,7 +7,6 @@ from hypothesis import strategies as st
 
 from orderloom import schemas
 from orderloom.operators import pattern
-from orderloom.streaming.lead_time import advance
 
 KINDS = {
     "P": ("LINE_ITEM_STATUS_CHANGED", "PLACED", "QDCA10"),
@@ -124,17 +123,3 @@ def test_one_item_with_many_rows_over_many_slices(spark):
     got = matches(spark, sequence(text, item_id=None, times=times), slice_size="60 seconds")
     want = greedy(text, times)
     assert sorted(rows(got.select("placed_at", "fulfilled_at", "assembly_line"))) == sorted(want)
-
-
-@given(st.text(alphabet="PPIFFCpif", max_size=20), st.integers(0, 20))
-@settings(max_examples=300, deadline=None)
-def test_incremental_machine_equals_greedy_matching(text, cut):
-    steps = {"P": 0, "I": 1, "F": 2, "C": 3}
-    table = [
-        (n, steps[c.upper()], "o", "X", None if c == "C" else "A" if c.isupper() else "B")
-        for n, c in enumerate(text)
-    ]
-    first, opened = advance(table[:cut])
-    second, _ = advance(opened + table[cut:])
-    got = [(at(s[0]), at(e)) for s, e in first + second]
-    assert got == [m[:2] for m in greedy(text, list(range(len(text))))]

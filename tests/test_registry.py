@@ -9,8 +9,6 @@ import __spark_entry__ as driver
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
-# one handler call per item: slow on few cores, compared at full scale by check_oracle.py
-SLOW = {"lead_time_stream"}
 
 
 @pytest.fixture(scope="module")
@@ -29,7 +27,7 @@ def test_entry(spark):
     assert driver.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries().keys() - SLOW))
+@pytest.mark.parametrize("name", sorted(driver.queries()))
 def test_query(spark, db, name):
     df = driver.queries()[name](spark, FOLDER)
     columns = sorted(df.columns)

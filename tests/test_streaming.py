@@ -2,6 +2,7 @@
 
 import json
 import os
+import random
 from decimal import Decimal
 
 import pytest
@@ -11,11 +12,10 @@ from pyspark.sql import types as T
 
 from orderloom import schemas
 from orderloom.operators import customer, pattern, stock, trends, turnover
-from orderloom.session import ROCKSDB_PROVIDER, settings
 from orderloom.sinks import keyed, lake
 from orderloom.sources import topics
 from orderloom.streaming import jobs
-from orderloom.streaming.lead_time import lead_time_stream
+from orderloom.streaming.lead_time import lead_time_batches, lead_time_stream
 
 
 def write_files(spark, folder, batches, schema):
@@ -184,15 +184,46 @@ def test_lead_time_stream_equals_batch(spark, tmp_path):
         [placed(ts=400, item_id="z")],
         [placed(ts=401, item_id="z")],
     ]
-    with settings(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB_PROVIDER):
-        stream = lead_time_stream(hub_stream(spark, f"{tmp_path}/in", batches))
-        got = run_append(stream, str(tmp_path), [lake.day("fulfilled_at")])
+    paths = [f"{tmp_path}/{n}" for n in ("state", "out", "ck")]
+    stream = hub_stream(spark, f"{tmp_path}/in", batches)
+    lead_time_stream(stream, *paths, {"availableNow": True}).awaitTermination()
+    got = spark.read.parquet(paths[1]).drop("batch_id")
     everything = spark.createDataFrame(sum(batches, []), schemas.ORDER_EVENT)
     want = pattern.lead_times(everything)
-    assert sorted(rows(got.drop("fulfilled_at_day")), key=str) == sorted(rows(want), key=str)
+    assert sorted(rows(got), key=str) == sorted(rows(want), key=str)
     assert want.count() == 4
 
 
+def test_lead_time_batches_can_be_cut_and_repeated_anywhere(spark, tmp_path):
+    rng = random.Random(5)
+    kinds = ["PLACED", "PLACED", "IN_PROGRESS", "FULFILLED", "FULFILLED", "CANCELLED"]
+    events = [
+        event(
+            status=rng.choice(kinds),
+            ts=t,
+            item_id=rng.choice(["a", "b", None]),
+            line=rng.choice(["QDCA10", "QDCA10", "QDCA10PRO"]),
+        )
+        for t in range(120)
+    ]
+    process = lead_time_batches(f"{tmp_path}/s", f"{tmp_path}/o", slice_size="5 seconds")
+    for batch_id, start in enumerate(range(0, 120, 24)):
+        part = events[start : start + 24]
+        rng.shuffle(part)
+        frame = spark.createDataFrame(part, schemas.ORDER_EVENT)
+        process(frame, batch_id)
+        if batch_id == 2:
+            process(frame, batch_id)  # the same batch after a restart
+    late = spark.createDataFrame([event(ts=3, status="PLACED")], schemas.ORDER_EVENT)
+    process(late, 5)
+    process(spark.createDataFrame([placed(ts=500, item_id="z")], schemas.ORDER_EVENT), 6)
+    got = spark.read.parquet(f"{tmp_path}/o").drop("batch_id")
+    want = pattern.lead_times(spark.createDataFrame(events, schemas.ORDER_EVENT))
+    assert sorted(rows(got), key=str) == sorted(rows(want), key=str) and want.count() > 5
+    with pytest.raises(RuntimeError):
+        process(late, 9)
+
+
 def test_restart_and_replay_change_nothing(spark, tmp_path):
     folder = f"{tmp_path}/in"
     first = [[event(ts=0)], [event(ts=400)]]
