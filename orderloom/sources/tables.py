@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+@lru_cache(maxsize=256)
+def _schema(spark: SparkSession, path: str) -> T.StructType:
+    """Read once per session: finding it takes a Spark job over the file footers."""
+    return spark.read.parquet(path).schema
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    path = f"{folder}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
 def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -16,7 +25,7 @@ def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
     Streams need zoned timestamps for event time, so zone-less ones are converted.
     """
-    schema = table(spark, folder, name).schema
+    schema = _schema(spark, f"{folder}/{name}.parquet")
     stream = spark.readStream.schema(schema).parquet(f"{folder}/{name}.parque[t]")
     zoned = {
         f.name: F.col(f.name).cast("timestamp")

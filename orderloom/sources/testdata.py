@@ -75,6 +75,9 @@ def _made_by() -> Column:
 
 
 def _with_order(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """Lines and orders are both fact tables: a sort-merge join, whatever their size."""
+    if not lines.isStreaming:
+        orders = orders.hint("merge")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
 
 
