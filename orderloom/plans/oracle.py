@@ -252,6 +252,25 @@ enriched AS (
   GROUP BY ALL)"""
 
 
+# one placement per line key, the newest: a fulfilment counts once however often it was placed
+_NEWEST_PLACED = """
+newest AS (
+  SELECT "orderId", "itemId",
+         max({'ts': "eventTimestamp", 'price': price, 'location': location}) AS p
+  FROM placed GROUP BY "orderId", "itemId")"""
+
+
+def _trends_enriched_once(width: str) -> str:
+    return (
+        _NEWEST_PLACED
+        + ","
+        + _trends_enriched(width)
+        .replace("p.price", "p.p.price")
+        .replace("p.location", "p.p.location")
+        .replace("JOIN placed p", "JOIN newest p")
+    )
+
+
 _COMPLETION = """
 messages AS (
   SELECT order_id, item_id AS line_item_id, p_brand AS item, c_name AS name,
@@ -401,7 +420,7 @@ def batch_sql() -> dict[str, str]:
         "trends_5m": _with(_UP + "," + _trends("5 MINUTE"), "SELECT * FROM trend"),
         "trends_daily": _with(_UP + "," + _trends("1 DAY"), "SELECT * FROM trend"),
         "trends_enriched": _with(
-            ",".join([_LINES, _PLACED, _STATUS, _trends_enriched("1 DAY")]),
+            ",".join([_LINES, _PLACED, _STATUS, _trends_enriched_once("1 DAY")]),
             "SELECT * FROM enriched",
         ),
         "inventory_events": _with(_STOCK, "SELECT * FROM stock_events"),

@@ -33,7 +33,8 @@ def trends_enriched_stream(
 
     An inner interval join: a line fulfilled more than ``longest`` after it was
     placed finds no partner, which bounds the join state. ``events`` and
-    ``placed`` are two reads of the hub.
+    ``placed`` are two reads of the hub. Unlike the batch form, every placement of
+    a line is a partner, so a line placed twice counts twice.
     """
     done = keep(
         events.withWatermark("eventTimestamp", TREND_DELAY),
