@@ -9,12 +9,19 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import exact_dedup, packing, simhash
-from orderloom.llm.common import table
+from orderloom.llm import exact_dedup, lm, packing, simhash
+from orderloom.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    return lm.score(docs, crc_mod("doc_id", 7) != 2).withColumn(
+        "held_out", ~F.col("trained")
+    ).drop("trained")
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents", "doc_id", "text")
     return exact_dedup.exact_duplicates(docs).select(
@@ -50,7 +57,7 @@ def _prepared(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    all_queries = (op4_exact_dedup, op5_packing, op10_simhash)
+    all_queries = (op3_lm_scoring, op4_exact_dedup, op5_packing, op10_simhash)
     return {q.__name__: _prepared(q) for q in all_queries}
 
 
