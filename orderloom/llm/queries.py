@@ -9,12 +9,28 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import exact_dedup, lm, packing, simhash
+from orderloom.llm import exact_dedup, lm, packing, secrets, simhash
 from orderloom.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    found = secrets.scan(docs, secrets.train(docs))
+    kinds = {"n_assign": 0, "n_access": 1, "n_hex": 2}
+    counts = [
+        F.size(F.filter("_base", lambda x, k=k: x["kind"] == k)).cast("long").alias(name)
+        for name, k in kinds.items()
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(secrets.digest_of(F.col("_base")), 256).alias("base_sha256"),
+        secrets.digest_of(F.col("_spans")).alias("spans"),
+    )
+
+
 def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents", "doc_id", "text")
     return lm.score(docs, crc_mod("doc_id", 7) != 2).withColumn(
@@ -57,7 +73,7 @@ def _prepared(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    all_queries = (op3_lm_scoring, op4_exact_dedup, op5_packing, op10_simhash)
+    all_queries = (op2_secret_scan, op3_lm_scoring, op4_exact_dedup, op5_packing, op10_simhash)
     return {q.__name__: _prepared(q) for q in all_queries}
 
 
