@@ -114,3 +114,19 @@ def exact_duplicates(
         F.col("_sha").alias("text_sha256"),
     )
     return alone.unionByName(compared)
+
+
+#: The same in DuckDB's SQL.
+SQL = r"""
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n,
+    sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+  FROM documents
+), r AS (
+  SELECT *, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+    row_number() OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id NULLS FIRST) AS place,
+    first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id NULLS FIRST) AS keep_id
+  FROM d
+)
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM r
+"""

@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import exact_dedup, lm, packing, secrets, simhash
+from orderloom.llm import exact_dedup, lm, packing, quality_rules, secrets, simhash
 from orderloom.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,10 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents", "doc_id", "text"))
 
 
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.rules(table(spark, folder, "documents", "doc_id", "text", "source"))
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents", "doc_id", "text")
     return simhash.near_duplicates(docs).select(
@@ -73,9 +77,9 @@ def _prepared(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    all_queries = (op2_secret_scan, op3_lm_scoring, op4_exact_dedup, op5_packing, op10_simhash)
+    all_queries = (op2_secret_scan, op3_lm_scoring, op4_exact_dedup, op5_packing, op6_quality_rules, op10_simhash)
     return {q.__name__: _prepared(q) for q in all_queries}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_exact_dedup": exact_dedup.SQL, "op6_quality_rules": quality_rules.SQL}
