@@ -161,7 +161,7 @@ WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents
 ), w AS (
   SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
-    list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
   FROM d
 ), win AS (
   SELECT rid, i, list_aggregate(ws[i:i + 4], 'string_agg', ' ') AS g
