@@ -9,11 +9,34 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import exact_dedup, lm, packing, quality_rules, secrets, simhash
+from orderloom.llm import exact_dedup, lm, packing, quality_rules, secrets, simhash, toxicity
 from orderloom.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Score from which a document counts as toxic.
+TOXIC = 0.7
+
+
+def toxicity_model(spark: SparkSession, folder: str) -> toxicity.Model:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    labels = table(spark, folder, "labels", "doc_id", "toxic")
+    return toxicity.train(docs, labels, crc_mod("doc_id", 3) != 1)
+
+
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    found = toxicity.score(docs, toxicity_model(spark, folder))
+    return found.select(
+        "doc_id",
+        (crc_mod("doc_id", 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC).cast("int").alias("predicted"),
+        F.array_join(
+            F.transform("spans", lambda x: F.concat_ws(":", x["start"], x["end"])), ","
+        ).alias("spans"),
+    )
+
 
 def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents", "doc_id", "text")
@@ -77,7 +100,7 @@ def _prepared(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    all_queries = (op2_secret_scan, op3_lm_scoring, op4_exact_dedup, op5_packing, op6_quality_rules, op10_simhash)
+    all_queries = (op1_toxicity, op2_secret_scan, op3_lm_scoring, op4_exact_dedup, op5_packing, op6_quality_rules, op10_simhash)
     return {q.__name__: _prepared(q) for q in all_queries}
 
 
