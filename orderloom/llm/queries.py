@@ -9,13 +9,22 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import exact_dedup, lm, packing, quality_rules, secrets, simhash, toxicity
+from orderloom.llm import (
+    exact_dedup,
+    lm,
+    packing,
+    quality_model,
+    quality_rules,
+    secrets,
+    simhash,
+    toxicity,
+)
 from orderloom.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-#: Score from which a document counts as toxic.
-TOXIC = 0.7
+#: Score from which a document counts as toxic, and as good.
+TOXIC, GOOD = 0.7, 0.3
 
 
 def toxicity_model(spark: SparkSession, folder: str) -> toxicity.Model:
@@ -76,6 +85,18 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.rules(table(spark, folder, "documents", "doc_id", "text", "source"))
 
 
+def op7_quality_model(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    labels = table(spark, folder, "labels", "doc_id", "quality")
+    model = quality_model.train(docs, labels, crc_mod("doc_id", 5) != 0)
+    return quality_model.score(docs, model).select(
+        "doc_id",
+        (crc_mod("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= GOOD).cast("int").alias("predicted"),
+    )
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents", "doc_id", "text")
     return simhash.near_duplicates(docs).select(
@@ -100,7 +121,16 @@ def _prepared(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    all_queries = (op1_toxicity, op2_secret_scan, op3_lm_scoring, op4_exact_dedup, op5_packing, op6_quality_rules, op10_simhash)
+    all_queries = (
+        op1_toxicity,
+        op2_secret_scan,
+        op3_lm_scoring,
+        op4_exact_dedup,
+        op5_packing,
+        op6_quality_rules,
+        op7_quality_model,
+        op10_simhash,
+    )
     return {q.__name__: _prepared(q) for q in all_queries}
 
 
