@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm import (
     exact_dedup,
+    html_text,
     lm,
     packing,
     quality_model,
@@ -97,6 +98,12 @@ def op7_quality_model(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages", "page_id", "url", "html")
+    found = html_text.main_text(pages, html_text.train(pages))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents", "doc_id", "text")
     return simhash.near_duplicates(docs).select(
@@ -129,6 +136,7 @@ def queries() -> dict[str, Query]:
         op5_packing,
         op6_quality_rules,
         op7_quality_model,
+        op8_html_text,
         op10_simhash,
     )
     return {q.__name__: _prepared(q) for q in all_queries}
