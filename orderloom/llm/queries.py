@@ -14,6 +14,7 @@ from orderloom.llm import (
     html_text,
     lm,
     packing,
+    pieces,
     quality_model,
     quality_rules,
     secrets,
@@ -104,6 +105,11 @@ def op8_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op9_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    return pieces.encode(docs, with_ids=False)
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents", "doc_id", "text")
     return simhash.near_duplicates(docs).select(
@@ -137,6 +143,7 @@ def queries() -> dict[str, Query]:
         op6_quality_rules,
         op7_quality_model,
         op8_html_text,
+        op9_pieces,
         op10_simhash,
     )
     return {q.__name__: _prepared(q) for q in all_queries}

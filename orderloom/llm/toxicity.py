@@ -356,6 +356,18 @@ def tag(model: Model, texts: list[str], rows: _Rows) -> list[tuple[float, list[t
     return list(zip(best.tolist(), spans, strict=True))
 
 
+def _tagged(model: Model, rows: _Rows, texts: list[str]) -> list:
+    """``tag`` over about a megabyte at a time."""
+    found, part, size = [], [], 0
+    for text in texts:
+        part.append(text)
+        size += len(text)
+        if size > 1 << 20:
+            found += tag(model, part, rows)
+            part, size = [], 0
+    return found + (tag(model, part, rows) if part else [])
+
+
 def score(
     docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -375,17 +387,25 @@ def score(
         model = shared.value
         rows = _Rows(model.words)
         for batch in batches:
-            texts, found, part, size = batch.column(1).to_pylist(), [], [], 0
-            for text in texts:
-                part.append(text)
-                size += len(text)
-                if size > 1 << 20:
-                    found += tag(model, part, rows)
-                    part, size = [], 0
-            found += tag(model, part, rows) if part else []
+            found = _tagged(model, rows, batch.column(1).to_pylist())
             spans = [[{"start": a, "end": b} for a, b in s] for _, s in found]
             scores = pa.array([x for x, _ in found], pa.float64())
             arrays = [batch.column(0), scores, pa.array(spans, pair)]
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return docs.select(id_col, text_of(text_col).alias("text")).mapInArrow(run, schema)
+
+
+def reject(docs: DataFrame, model: Model, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = _Rows(shared.value.words)
+        for batch in batches:
+            texts = [t or "" for t in batch.column(names.index(text_col)).to_pylist()]
+            keep = [s < threshold for s, _ in _tagged(shared.value, rows, texts)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
