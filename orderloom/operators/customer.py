@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions import keep, last_value, latest
@@ -82,13 +84,25 @@ def profile_full(history: DataFrame) -> DataFrame:
 
 def profile_masked(full: DataFrame) -> DataFrame:
     """First letter of the name; a loyalty id only shows whether there is one."""
+    return full.select(*[value.alias(name) for name, value in _masked(full).items()])
+
+
+def _masked(full: DataFrame) -> dict[str, Column]:
     hidden = F.lit("***")
-    return full.withColumns(
-        {
-            "customer_name": F.concat(F.substring("customer_name", 1, 1), hidden),
-            "loyalty_member_id": F.when(F.col("loyalty_member_id").isNotNull(), hidden),
-        }
-    )
+    return {c: F.col(c) for c in full.columns} | {
+        "customer_name": F.concat(F.substring("customer_name", 1, 1), hidden),
+        "loyalty_member_id": F.when(F.col("loyalty_member_id").isNotNull(), hidden),
+    }
+
+
+def profiles_for_groups(full: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """What each group sees, with its name as ``caller_group``. The profile is built once."""
+    each = []
+    for group in groups:
+        open_ = group in FULL_ACCESS_GROUPS
+        values = {c: F.col(c) for c in full.columns} if open_ else _masked(full)
+        each.append(F.struct(F.lit(group).alias("caller_group"), *[v.alias(c) for c, v in values.items()]))
+    return full.select(F.explode(F.array(*each)).alias("seen")).select("seen.*")
 
 
 def profile_for_group(full: DataFrame, group: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from orderloom.schemas import ASSEMBLY_LINES
 
 STATUS_CHANGED = "LINE_ITEM_STATUS_CHANGED"
-SLICE = "10 minutes"
+SLICE = "1 hour"
 PLACED, IN_PROGRESS, FULFILLED, OTHER = 0, 1, 2, 3
 # Rows at equal times are taken in life-cycle order; beyond that equal rows are interchangeable.
 _ORDER = ["ts", "step", "order_id", "item"]
@@ -24,7 +24,8 @@ ROW_COLUMNS = ["item_id", "order_id", "item", "ts", "step", "line"]
 
 def pattern_rows(events: DataFrame, start_types: Sequence[str] = (STATUS_CHANGED,)) -> DataFrame:
     """Flat rows with the pattern step each may play. ``start_types`` lists the event
-    types a PLACED row may have."""
+    types a PLACED row may have. Rows without a time have no place in the order and are
+    dropped."""
     line = F.col("lineItem.assemblyLine")
     status, kind = F.col("orderStatus"), F.col("eventType")
     known = line.isin(*ASSEMBLY_LINES)
@@ -35,7 +36,7 @@ def pattern_rows(events: DataFrame, start_types: Sequence[str] = (STATUS_CHANGED
         .when(known & changed & (status == "FULFILLED"), FULFILLED)
         .otherwise(OTHER)
     )
-    return events.select(
+    return events.where(F.col("eventTimestamp").isNotNull()).select(
         F.col("lineItem.itemId").alias("item_id"),
         F.col("orderId").alias("order_id"),
         F.col("lineItem.item").alias("item"),
@@ -64,7 +65,9 @@ def _look_ahead(rows: DataFrame, *partition: str) -> DataFrame:
             ),
             "open": is_start & (nothing_next | (ahead(1, IN_PROGRESS) & nothing_after)),
             "last_progress": (F.col("step") == IN_PROGRESS) & nothing_next,
-            "position": F.row_number().over(w),
+            # all that an unfinished match before these rows could need of them
+            "leads": F.lag("step", 1).over(w).isNull()
+            | ((F.lag("step", 1).over(w) == IN_PROGRESS) & F.lag("step", 2).over(w).isNull()),
         }
     )
 
@@ -76,14 +79,15 @@ def decide(rows: DataFrame, slice_size: str | None) -> DataFrame:
     An item id that holds a large share of all rows (a missing id, say) must not
     end up in one task. Rows are therefore matched within time slices first. Only
     what a slice cannot decide goes on to a second pass over the whole item: its
-    first two rows, and an unfinished match at its end. ``slice_size=None`` skips
+    first row, the second one if the first is IN_PROGRESS, and an unfinished match at
+    its end. ``slice_size=None`` skips
     the slicing where item ids are known to be spread evenly.
     """
     if slice_size is None:
         return _look_ahead(rows, "item_id")
     sliced = rows.withColumn("slice", F.window("ts", slice_size)["start"])
     first = _look_ahead(sliced, "item_id", "slice")
-    undecided = F.col("open") | F.col("last_progress") | (F.col("position") <= 2)
+    undecided = F.col("open") | F.col("last_progress") | F.col("leads")
     carried = first.where(F.col("done_at").isNotNull() | undecided).select(
         *ROW_COLUMNS,
         F.col("done_at").alias("done_in_slice"),

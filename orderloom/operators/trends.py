@@ -56,8 +56,9 @@ def trends_enriched(events: DataFrame, size: str) -> DataFrame:
 
     Both sides are aggregated before they meet: fulfilments to a count per line
     and window, placements to the newest price and location per line. A line that
-    repeats very often thus reaches the join as a few rows, and lines without a
-    complete key, which can match nothing, stay out of the join.
+    repeats very often thus reaches the join as a few rows. Lines without a complete
+    key match nothing; a further join column, their group's hash, keeps them from
+    meeting in one task.
     """
     key = ["order_id", "item_id"]
     done = (
@@ -85,15 +86,13 @@ def trends_enriched(events: DataFrame, size: str) -> DataFrame:
         .select(*key, "placement.price", "placement.location")
     )
     complete = F.col("order_id").isNotNull() & F.col("item_id").isNotNull()
-    matched = done.where(complete).join(placed, key, "left")
-    unkeyed = done.where(~complete).withColumns(
-        {
-            "price": F.lit(None).cast("decimal(10,2)"),
-            "location": F.lit(None).cast("string"),
-        }
+    spread = F.when(complete, 0).otherwise(
+        F.hash("window", *key, "item", "assembly_line").bitwiseOR(F.lit(1))
     )
+    done = done.withColumn("spread", spread)
+    placed = placed.withColumn("spread", F.lit(0))
     return _output(
-        matched.unionByName(unkeyed)
+        done.join(placed, [*key, "spread"], "left")
         .groupBy("window", "item", "assembly_line", "location")
         .agg(F.sum("n").alias("order_count"), F.sum(F.col("n") * F.col("price")).alias("total"))
     )

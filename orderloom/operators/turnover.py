@@ -18,7 +18,10 @@ def _requests(stock_events: DataFrame) -> DataFrame:
 
 
 def _cancellations(order_events: DataFrame) -> DataFrame:
-    rows = keep(order_events, F.col("eventType") == "ORDER_CANCELLED", "eventTimestamp")
+    timed = F.col("eventTimestamp").isNotNull()
+    rows = keep(
+        order_events, timed & (F.col("eventType") == "ORDER_CANCELLED"), "eventTimestamp"
+    )
     return rows.select(F.col("lineItem.item").alias("item"), F.col("eventTimestamp").alias("ts"))
 
 

@@ -158,6 +158,17 @@ def insert(df: DataFrame, name: str, database: str = "dataproducts") -> None:
 
 
 def overwrite_current(df: DataFrame, name: str, database: str = "dataproducts") -> None:
-    """Replace a table that holds one row per key, from a frame that does not read it."""
-    columns: Sequence[str] = df.sparkSession.table(f"{database}.{name}").columns
-    df.select(*columns).write.mode("overwrite").insertInto(f"{database}.{name}")
+    """Replace a table that holds one row per key, from a frame that does not read it.
+
+    The whole table is replaced, also where the session overwrites partitions
+    dynamically: a key that has moved must not stay in its old partition.
+    """
+    spark = df.sparkSession
+    columns: Sequence[str] = spark.table(f"{database}.{name}").columns
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "static")
+    try:
+        df.select(*columns).write.mode("overwrite").insertInto(f"{database}.{name}")
+    finally:
+        spark.conf.set(setting, before)

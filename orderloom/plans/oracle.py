@@ -9,6 +9,8 @@ li AS (
          l_orderkey::VARCHAR AS order_id,
          l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS item_id,
          o_orderdate + to_seconds(o_orderkey % 86400) AS t,
+         o_orderdate + to_seconds(o_orderkey % 86400)
+           + to_seconds((l_linenumber - 1) * CASE WHEN l_orderkey % 3 = 0 THEN 9 ELSE 2 END) AS pt,
          CASE WHEN l_suppkey % 13 = 0 THEN NULL
               WHEN l_suppkey % 11 = 0 THEN 'other-' || l_suppkey
               WHEN l_suppkey % 2 = 0 THEN 'qdca10-' || l_suppkey
@@ -21,9 +23,9 @@ li AS (
 
 _PLACED = """
 placed AS (
-  SELECT md5(order_id || '|' || item_id || '|ORDER_PLACED|' || strftime(t, '%Y-%m-%d %H:%M:%S.%g'))
+  SELECT md5(order_id || '|' || item_id || '|ORDER_PLACED|' || strftime(pt, '%Y-%m-%d %H:%M:%S.%g'))
            AS "eventId",
-         order_id AS "orderId", 'ORDER_PLACED' AS "eventType", t AS "eventTimestamp",
+         order_id AS "orderId", 'ORDER_PLACED' AS "eventType", pt AS "eventTimestamp",
          CASE o_orderkey % 3 WHEN 0 THEN 'COUNTER' WHEN 1 THEN 'WEB' ELSE 'PARTNER' END
            AS "orderSource",
          CASE n_regionkey WHEN 0 THEN 'ATLANTA' WHEN 1 THEN 'CHARLOTTE' WHEN 2 THEN 'RALEIGH'
@@ -84,7 +86,7 @@ hub AS (SELECT * FROM placed UNION ALL SELECT * FROM status UNION ALL SELECT * F
 _REPLAYED = (
     _LINES.replace("JOIN orders", "LEFT JOIN orders")
     + ","
-    + _cancelled("cancelled", "TIMESTAMP '2024-01-01' + to_seconds(l_orderkey % 2592000)")
+    + _cancelled("cancelled", "TIMESTAMP '2024-01-01' + to_seconds(l_orderkey * 104729 % 2592000)")
 )
 _STOCK = """
 inv AS (
@@ -92,7 +94,7 @@ inv AS (
          CASE event_type WHEN 'purchase' THEN 'RESTOCK_REQUESTED_EVENT'
            WHEN 'view' THEN 'RESTOCK_COMPLETED_EVENT' ELSE 'OTHER_EVENT' END AS raw_type,
          CAST(floor(value) AS BIGINT) AS quantity, date_trunc('millisecond', ts) AS ts
-  FROM events WHERE event_type IN ('purchase', 'view', 'signup')),
+  FROM events WHERE event_type <> 'click'),
 dec AS (
   SELECT 'Brand#' || (user_id % 25 + 1) AS item, CAST(floor(value) AS BIGINT) AS quantity,
          date_trunc('millisecond', ts) AS ts
@@ -307,7 +309,7 @@ _HISTORY_COLUMNS = """
   "sourceDomain" AS source_domain, "sourceTopic" AS source_topic"""
 
 
-def _contract_counts() -> str:
+def _contract_parts() -> dict[str, list[str]]:
     """One count per product, field and rule."""
 
     def count(product: str, table: str, field: str, rule: str, broken: str) -> str:
@@ -325,7 +327,8 @@ def _contract_counts() -> str:
     def allowed(product: str, table: str, field: str, column: str, values: str) -> str:
         return count(product, table, field, "allowed values", f"{column} NOT IN ({values})")
 
-    parts = required(
+    parts: dict[str, list[str]] = {}
+    parts["order_event"] = required(
         "order_event",
         "hub",
         eventId='"eventId"',
@@ -348,8 +351,8 @@ def _contract_counts() -> str:
         ("lineItem.lineItemStatus", '"lineItemStatus"', "'PLACED','IN_PROGRESS','FULFILLED'"),
         ("lineItem.assemblyLine", '"assemblyLine"', "'QDCA10','QDCA10PRO'"),
     ]:
-        parts.append(allowed("order_event", "hub", field, column, values))
-    parts += required(
+        parts["order_event"].append(allowed("order_event", "hub", field, column, values))
+    parts["stock_event"] = required(
         "stock_event",
         "stock_events",
         **{
@@ -364,7 +367,7 @@ def _contract_counts() -> str:
             )
         },
     )
-    parts.append(
+    parts["stock_event"].append(
         allowed(
             "stock_event",
             "stock_events",
@@ -373,20 +376,67 @@ def _contract_counts() -> str:
             "'RESTOCK_REQUESTED','RESTOCK_COMPLETED'",
         )
     )
-    parts += required(
+    parts["sales_trend"] = required(
         "sales_trend",
         "trend",
         **{c: c for c in ("item", "window_start", "window_end", "order_count", "revenue")},
     )
-    parts += required(
+    parts["customer_profile"] = required(
         "customer_profile",
         "profile_360",
         customerName='"customerName"',
         totalOrders='"totalOrders"',
     )
+    for product, frame, columns in [
+        ("stock_quantity", "quantities", "item quantity last_restocked_at"),
+        (
+            "turnover",
+            "turnover",
+            "item window_start window_end restock_requested_count stockout_cancelled_count",
+        ),
+        ("stockout_risk", "risk", "item at_risk last_stockout_event_at"),
+        (
+            "lead_time",
+            "lead_time",
+            "item_id order_id placed_at fulfilled_at lead_time_seconds assembly_line",
+        ),
+    ]:
+        parts[product] = required(product, frame, **{c: c for c in columns.split()})
+    parts["completion"] = required(
+        "completion",
+        "messages",
+        orderId="order_id",
+        lineItemId="line_item_id",
+        item="item",
+        name="name",
+        timestamp="time_text",
+    )
+    return parts
+
+
+def _broken(*products: str) -> str:
+    parts = [x for p in products for x in _contract_parts()[p]]
     return "SELECT * FROM (" + " UNION ALL ".join(parts) + ") WHERE violations > 0"
 
 
+def _contract_sql() -> dict[str, str]:
+    cancelled = _LINES + "," + _cancelled("cancelled", "t + to_seconds(120)")
+    ctes = {
+        "order_event": _HUB,
+        "stock_event": _STOCK,
+        "stock_quantity": f"{_STOCK}, quantities AS ({_QUANTITY})",
+        "sales_trend": _UP + "," + _trends("1 DAY"),
+        "turnover": _PARTIALS,
+        "stockout_risk": f"""{cancelled}, risk AS (
+          SELECT item, TRUE AS at_risk, max("eventTimestamp") AS last_stockout_event_at
+          FROM cancelled GROUP BY item, time_bucket(INTERVAL 1 HOUR, "eventTimestamp"))""",
+        "lead_time": _LEAD,
+        "customer_profile": _PROFILE,
+        "completion": _UP + "," + _COMPLETION,
+    }
+    return {f"contract_{p}": _with(c, _broken(p)) for p, c in ctes.items()}
+
+
 def _with(ctes: str, select: str) -> str:
     return f"WITH {ctes}\n{select}"
 
@@ -453,7 +503,8 @@ def batch_sql() -> dict[str, str]:
         ),
         "completion_contract": _with(_UP + "," + _COMPLETION, "SELECT * FROM completions"),
         "contract_violations": _with(
-            ",".join([_HUB, _STOCK, _trends("1 DAY"), _CUSTOMER]), _contract_counts()
+            ",".join([_HUB, _STOCK, _trends("1 DAY"), _CUSTOMER]),
+            _broken("order_event", "stock_event", "sales_trend", "customer_profile"),
         ),
         "order_assembly": _with(_IN + "," + _ASSEMBLY, "SELECT * FROM assembled"),
         "json_strict_completions": _with(
@@ -467,7 +518,14 @@ def batch_sql() -> dict[str, str]:
                       CASE WHEN quantity % 7 <> 3 THEN quantity END AS quantity, ts AS event_time
                FROM inv WHERE quantity % 5 <> 0""",
         ),
-        "inventory_events_lake": _with(
+        "inventory_events_lake": _with(_STOCK, "SELECT * FROM stock_events"),
+        "view_orders_current": _with(_HUB + "," + _CURRENT, "SELECT * FROM current_orders"),
+        "view_turnover": _with(_PARTIALS, "SELECT * FROM turnover"),
+        "view_all_lines": _with(_LEAD, "SELECT * FROM lead_time"),
+        "view_profile_full": _with(_PROFILE, "SELECT * FROM full_profile"),
+        "view_profile_masked": _with(_PROFILE, "SELECT * FROM masked_profile"),
+        **_contract_sql(),
+        "inventory_events_days": _with(
             _STOCK,
             """SELECT * FROM stock_events
                WHERE event_timestamp >= DATE '2024-01-05' AND event_timestamp < DATE '2024-01-15'""",
@@ -485,9 +543,15 @@ def stream_sql() -> dict[str, str]:
 
     hub_mark = newest("hub") + " - INTERVAL 10 SECOND"
     slowest = f"least({newest('stock_events', 'event_timestamp')}, {newest('cancelled')})"
-    join_mark = f"least({newest('status')}, {newest('placed')}) - INTERVAL 3610 SECOND"
+    join_mark = f"least({newest('status')}, {newest('placed')}) - INTERVAL 10 SECOND"
     return {
         "order_events_stream": _with(_HUB, f"SELECT {_HISTORY_COLUMNS} FROM hub"),
+        "inventory_events_stream": _with(_STOCK, "SELECT * FROM stock_events"),
+        "customer_history_stream": _with(_PROFILE, "SELECT * FROM history"),
+        "turnover_partials_stream": _with(
+            _PARTIALS,
+            f"SELECT * FROM partials WHERE window_end <= {slowest} - INTERVAL 10 SECOND",
+        ),
         "trends_5m_stream": _with(
             _HUB + "," + _trends("5 MINUTE"), f"SELECT * FROM trend WHERE window_end <= {hub_mark}"
         ),
@@ -495,7 +559,7 @@ def stream_sql() -> dict[str, str]:
             _HUB + "," + _trends("1 DAY"), f"SELECT * FROM trend WHERE window_end <= {hub_mark}"
         ),
         "trends_enriched_stream": _with(
-            ",".join([_LINES, _PLACED, _STATUS, _trends_enriched("1 DAY")]),
+            ",".join([_LINES, _PLACED, _STATUS, _trends_enriched_once("1 DAY")]),
             f"SELECT * FROM enriched WHERE window_end <= {join_mark}",
         ),
         "turnover_stream": _with(

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Collection
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderloom.functions import as_wall_time
 from orderloom.operators import (
@@ -18,9 +20,9 @@ from orderloom.operators import (
     trends,
     turnover,
 )
-from orderloom.plans import oracle
+from orderloom.plans import catalog, oracle
 from orderloom.schemas import INVENTORY_OUT, LINE_A, LINE_B, ORDERS_UP
-from orderloom.session import shared_dir, use_utc
+from orderloom.session import shared_dir, use_rocksdb, use_utc
 from orderloom.sinks import keyed, lake
 from orderloom.sources import testdata as td
 from orderloom.sources import topics
@@ -31,32 +33,15 @@ from orderloom.streaming.replay import replay_append, replay_keyed
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-ALL = td.ALL_FIELDS
-ITEM = ("item",)
-PROFILE = ("name", "location", "loyaltyMemberId")
-
-
-def order_events(
-    spark: SparkSession,
-    sf: str,
-    stream: bool = False,
-    placed: Collection[str] = ALL,
-    done: Collection[str] = ALL,
-    cancelled: Collection[str] = ALL,
-) -> DataFrame:
-    """The hub, with the dimension fields a consumer reads of each kind of event."""
+def order_events(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
+    """The hub, the same for all consumers."""
     return hub.order_events(
-        td.orders_in(spark, sf, stream, placed),
-        td.orders_up(spark, sf, stream, done),
-        td.eighty_six(spark, sf, stream, cancelled),
+        td.orders_in(spark, sf, stream),
+        td.orders_up(spark, sf, stream),
+        td.eighty_six(spark, sf, stream),
     )
 
 
-def item_events(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
-    """The hub for consumers that read no dimension field but the item."""
-    return order_events(spark, sf, stream, ITEM, ITEM, ITEM)
-
-
 def replayed_cancellations(spark: SparkSession, sf: str) -> DataFrame:
     """Cancellations on the calendar of the stock events."""
     return hub.cancelled_events(td.eighty_six(spark, sf, replay=True))
@@ -67,7 +52,7 @@ def stock_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def customer_history(spark: SparkSession, sf: str) -> DataFrame:
-    return customer.customer_history(order_events(spark, sf, placed=PROFILE))
+    return customer.customer_history(order_events(spark, sf))
 
 
 def flat(events: DataFrame) -> DataFrame:
@@ -77,31 +62,93 @@ def flat(events: DataFrame) -> DataFrame:
 
 def _profile_for_group(spark: SparkSession, sf: str) -> DataFrame:
     full = customer.profile_full(customer_history(spark, sf))
-    views = [
-        customer.profile_for_group(full, group).select(F.lit(group).alias("caller_group"), "*")
-        for group in ("customer360-full", "consumer")
-    ]
-    return views[0].unionByName(views[1])
+    return customer.profiles_for_groups(full, ("customer360-full", "consumer"))
 
 
-def _contract_violations(spark: SparkSession, sf: str) -> DataFrame:
-    events = order_events(spark, sf)
-    checks = [
-        (events, contracts.ORDER_EVENT),
-        (stock_events(spark, sf), contracts.STOCK_EVENT),
-        (trends.trends(item_events(spark, sf), trends.ONE_DAY), contracts.SALES_TREND),
-        (
-            customer.customer_360_current(order_events(spark, sf, placed=PROFILE)),
+def _contract_products() -> dict[str, tuple[Query, contracts.Contract]]:
+    """Every product under contract, and the frame that its contract is checked on."""
+    ev, se = order_events, stock_events
+    return {
+        "order_event": (ev, contracts.ORDER_EVENT),
+        "stock_event": (se, contracts.STOCK_EVENT),
+        "stock_quantity": (
+            lambda s, d: stock.stock_quantity(td.inventory_out(s, d), td.stock_decrement(s, d)),
+            contracts.STOCK_QUANTITY,
+        ),
+        "sales_trend": (
+            lambda s, d: trends.trends(ev(s, d), trends.ONE_DAY),
+            contracts.SALES_TREND,
+        ),
+        "turnover": (
+            lambda s, d: turnover.turnover(se(s, d), replayed_cancellations(s, d)),
+            contracts.TURNOVER,
+        ),
+        "stockout_risk": (
+            lambda s, d: turnover.stockout_risk_hourly(ev(s, d)),
+            contracts.STOCKOUT_RISK,
+        ),
+        "lead_time": (
+            lambda s, d: pattern.lead_times(td.item_status_events(s, d)),
+            contracts.LEAD_TIME,
+        ),
+        "customer_profile": (
+            lambda s, d: customer.customer_360_current(ev(s, d)),
             contracts.CUSTOMER_PROFILE,
         ),
-    ]
+        "completion": (td.completion_messages, contracts.COMPLETION),
+    }
+
+
+def _contract_query(frame: Query, contract: contracts.Contract) -> Query:
+    return lambda s, d: contracts.violations(frame(s, d), contract)
+
+
+def _contract_violations(spark: SparkSession, sf: str) -> DataFrame:
+    """The four contracts of the event and profile products in one result."""
+    products = _contract_products()
     out = None
-    for df, contract in checks:
-        found = contracts.violations(df, contract)
+    for name in ("order_event", "stock_event", "sales_trend", "customer_profile"):
+        frame, contract = products[name]
+        found = contracts.violations(frame(spark, sf), contract)
         out = found if out is None else out.unionByName(found)
     return out
 
 
+# tables that this process has filled already, by database
+_published: set[tuple[str, str]] = set()
+
+
+def _views(spark: SparkSession, sf: str, *names: str) -> None:
+    """Fill the tables ``names`` of a folder's own database and publish the views over it."""
+    events, history = order_events(spark, sf), customer_history(spark, sf)
+    app = spark.sparkContext.applicationId.replace("-", "_")
+    database = f"orderloom_{app}_{uuid.uuid5(uuid.NAMESPACE_URL, sf).hex}"
+    lead = pattern.lead_times(td.item_status_events(spark, sf))
+    frames = {
+        "order_events_current": lambda: hub.current(events),
+        "customer_events_history": lambda: history,
+        "inventory_turnover": lambda: turnover.turnover_partials(
+            stock_events(spark, sf), replayed_cancellations(spark, sf)
+        ),
+        "qdca10_lead_time": lambda: lead.where(F.col("assembly_line") == LINE_A),
+        "qdca10pro_lead_time": lambda: lead.where(F.col("assembly_line") == LINE_B),
+    }
+    catalog.create_tables(spark, database)
+    for name in names:
+        if (database, name) not in _published:
+            catalog.insert(frames[name](), name, database)
+            _published.add((database, name))
+    catalog.publish_views(spark, database)
+
+
+def _view(view: str, *names: str) -> Query:
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        _views(spark, sf, *names)
+        return spark.table(view)
+
+    return query
+
+
 def _json_strict(spark: SparkSession, sf: str) -> DataFrame:
     topic = topics.to_json_topic(td.orders_up(spark, sf))
     return topics.decode_json(topic, ORDERS_UP)
@@ -124,23 +171,17 @@ def _json_lenient(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _batch() -> dict[str, Query]:
-    ev, items, replayed, se = order_events, item_events, replayed_cancellations, stock_events
+    ev, replayed, se = order_events, replayed_cancellations, stock_events
     return {
         "order_placed_events": lambda s, d: flat(hub.placed_events(td.orders_in(s, d))),
         "line_status_events": lambda s, d: flat(hub.status_events(td.orders_up(s, d))),
         "cancelled_events": lambda s, d: flat(hub.cancelled_events(td.eighty_six(s, d))),
         "order_events": lambda s, d: flat(ev(s, d)),
-        "order_events_history": lambda s, d: hub.history(
-            ev(s, d, placed=PROFILE, done=("name",), cancelled=())
-        ),
-        "order_events_current": lambda s, d: hub.current(
-            ev(s, d, placed=("location", "loyaltyMemberId"), done=(), cancelled=())
-        ),
-        "trends_5m": lambda s, d: trends.trends(items(s, d), trends.FIVE_MINUTES),
-        "trends_daily": lambda s, d: trends.trends(items(s, d), trends.ONE_DAY),
-        "trends_enriched": lambda s, d: trends.trends_enriched(
-            ev(s, d, placed=("location",), done=ITEM), trends.ONE_DAY
-        ),
+        "order_events_history": lambda s, d: hub.history(ev(s, d)),
+        "order_events_current": lambda s, d: hub.current(ev(s, d)),
+        "trends_5m": lambda s, d: trends.trends(ev(s, d), trends.FIVE_MINUTES),
+        "trends_daily": lambda s, d: trends.trends(ev(s, d), trends.ONE_DAY),
+        "trends_enriched": lambda s, d: trends.trends_enriched(ev(s, d), trends.ONE_DAY),
         "inventory_events": se,
         "stock_current": lambda s, d: stock.stock_current(td.inventory_out(s, d)),
         "stock_quantity": lambda s, d: stock.stock_quantity(
@@ -151,8 +192,8 @@ def _batch() -> dict[str, Query]:
         "turnover_from_partials": lambda s, d: turnover.turnover_from_partials(
             turnover.turnover_partials(se(s, d), replayed(s, d))
         ),
-        "stockout_risk_current": lambda s, d: turnover.stockout_risk_current(items(s, d)),
-        "stockout_risk_hourly": lambda s, d: turnover.stockout_risk_hourly(items(s, d)),
+        "stockout_risk_current": lambda s, d: turnover.stockout_risk_current(ev(s, d)),
+        "stockout_risk_hourly": lambda s, d: turnover.stockout_risk_hourly(ev(s, d)),
         "lead_time_line_a": lambda s, d: pattern.lead_times(
             td.item_status_events(s, d), lines=(LINE_A,)
         ),
@@ -160,10 +201,10 @@ def _batch() -> dict[str, Query]:
             td.item_status_events(s, d), lines=(LINE_B,)
         ),
         "lead_time_all_lines": lambda s, d: pattern.lead_times(td.item_status_events(s, d)),
-        "lead_time_on_hub": lambda s, d: pattern.lead_times(items(s, d)),
-        "lead_time_enriched": lambda s, d: pattern.lead_times_enriched(items(s, d)),
+        "lead_time_on_hub": lambda s, d: pattern.lead_times(ev(s, d)),
+        "lead_time_enriched": lambda s, d: pattern.lead_times_enriched(ev(s, d)),
         "customer_360_current": lambda s, d: customer.customer_360_current(
-            ev(s, d, placed=PROFILE), with_updated_at=False
+            ev(s, d), with_updated_at=False
         ),
         "customer_history": customer_history,
         "profile_full": lambda s, d: customer.profile_full(customer_history(s, d)),
@@ -175,24 +216,46 @@ def _batch() -> dict[str, Query]:
             td.completion_messages(s, d)
         ),
         "contract_violations": _contract_violations,
-        "order_assembly": lambda s, d: assembly.order_assembly(ev(s, d, placed=())),
+        "order_assembly": lambda s, d: assembly.order_assembly(ev(s, d)),
         "json_strict_completions": _json_strict,
         "json_lenient_stock": _json_lenient,
         "inventory_events_lake": _inventory_events_lake,
+        "inventory_events_days": lambda s, d: _inventory_events_days(s, d, *STOCK_DAYS),
+        "view_orders_current": _view("order_events.orders_current", "order_events_current"),
+        "view_turnover": _view("inventory_analytics.turnover", "inventory_turnover"),
+        "view_all_lines": _view(
+            "assembly_lead_time.all_lines", "qdca10_lead_time", "qdca10pro_lead_time"
+        ),
+        "view_profile_full": _view("customer_360.profile_full", "customer_events_history"),
+        "view_profile_masked": _view("customer_360.profile_masked", "customer_events_history"),
+        **{
+            f"contract_{name}": _contract_query(*x) for name, x in _contract_products().items()
+        },
     }
 
 
+STOCK_DAYS = ("2024-01-05", "2024-01-14")
+
+
+def _stock_lake(spark: SparkSession, sf: str) -> tuple[str, T.StructType, list[lake.Transform]]:
+    """The stock events as a lake table partitioned by day."""
+    path, by_day = shared_dir(spark, "tables"), [lake.day("event_timestamp")]
+    events = stock_events(spark, sf)
+    lake.append(events, path, by_day)
+    return path, events.schema, by_day
+
+
 def _inventory_events_lake(spark: SparkSession, sf: str) -> DataFrame:
-    """Write the stock events partitioned by day, read ten days of them back."""
-    path = shared_dir(spark, "tables")
-    by_day = lake.day("event_timestamp")
-    lake.append(stock_events(spark, sf), path, [by_day])
-    days = lake.read_days(spark, path, by_day, "2024-01-05", "2024-01-14")
-    return days.drop(by_day.column)
+    return lake.read(spark, *_stock_lake(spark, sf))
+
+
+def _inventory_events_days(spark: SparkSession, sf: str, first: str, last: str) -> DataFrame:
+    """The rows of some days; only their partitions are read."""
+    return lake.read_days(spark, *_stock_lake(spark, sf), first, last)
 
 
 def _customer_360_stream(spark: SparkSession, sf: str) -> DataFrame:
-    placed = hub.placed_events(td.orders_in(spark, sf, stream=True, fields=PROFILE))
+    placed = hub.placed_events(td.orders_in(spark, sf, stream=True))
     key = ["customer_name"]
     return jobs.customer_profile(
         replay_keyed(spark, jobs.customer_last_seen_stream(placed), key),
@@ -208,6 +271,14 @@ def _turnover_stream(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _turnover_partials_stream(spark: SparkSession, sf: str) -> DataFrame:
+    restocks = stock.inventory_events(td.inventory_out(spark, sf, stream=True))
+    cancelled = hub.cancelled_events(td.eighty_six(spark, sf, stream=True, replay=True))
+    return replay_append(
+        spark, jobs.turnover_partials_stream(restocks, cancelled), [lake.day("window_start")]
+    )
+
+
 def _stock_quantity_stream(spark: SparkSession, sf: str) -> DataFrame:
     reports = jobs.stock_quantity_stream(
         td.inventory_out(spark, sf, stream=True), td.stock_decrement(spark, sf, stream=True)
@@ -235,21 +306,36 @@ def _streams() -> dict[str, Query]:
 
     return {
         "order_events_stream": lambda s, d: replay_append(
-            s, hub.history(order_events(s, d, stream=True)), [lake.identity("event_type")]
+            s,
+            hub.history(order_events(s, d, stream=True)),
+            [lake.day("event_timestamp"), lake.identity("event_type")],
         ),
+        "inventory_events_stream": lambda s, d: replay_append(
+            s,
+            stock.inventory_events(td.inventory_out(s, d, stream=True)),
+            [lake.day("event_timestamp")],
+        ),
+        "customer_history_stream": lambda s, d: replay_append(
+            s,
+            jobs.customer_history_stream(hub.placed_events(td.orders_in(s, d, stream=True))),
+            [lake.day("event_timestamp")],
+        ),
+        "turnover_partials_stream": _turnover_partials_stream,
         "trends_5m_stream": lambda s, d: replay_append(
-            s, jobs.trends_stream(item_events(s, d, stream=True), trends.FIVE_MINUTES)
+            s,
+            jobs.trends_stream(order_events(s, d, stream=True), trends.FIVE_MINUTES),
+            [lake.day("window_start")],
         ),
         "trends_daily_stream": lambda s, d: replay_append(
             s,
-            jobs.trends_stream(item_events(s, d, stream=True), trends.ONE_DAY),
+            jobs.trends_stream(order_events(s, d, stream=True), trends.ONE_DAY),
             [lake.month("window_start")],
         ),
         "trends_enriched_stream": lambda s, d: replay_append(
-            s,
+            use_rocksdb(s),
             jobs.trends_enriched_stream(
-                hub.status_events(td.orders_up(s, d, stream=True, fields=ITEM)),
-                hub.placed_events(td.orders_in(s, d, stream=True, fields=("location",))),
+                hub.status_events(td.orders_up(s, d, stream=True)),
+                hub.placed_events(td.orders_in(s, d, stream=True)),
                 trends.ONE_DAY,
             ),
         ),
@@ -269,7 +355,7 @@ def _streams() -> dict[str, Query]:
         "order_assembly_stream": lambda s, d: replay_append(
             s,
             jobs.order_assembly_stream(
-                hub.placed_events(td.orders_in(s, d, stream=True, fields=()))
+                hub.placed_events(td.orders_in(s, d, stream=True))
             ),
         ),
     }

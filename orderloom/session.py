@@ -17,6 +17,15 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def use_rocksdb(spark: SparkSession) -> SparkSession:
+    """Keep streaming state in RocksDB: on local disk, not in memory, and with timers."""
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    return spark
+
+
 def shared_dir(spark: SparkSession, purpose: str, name: str | None = None) -> str:
     """A folder every executor can reach, under ``spark.checkpoint.dir``.
 

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -84,16 +85,32 @@ def append_stream(
     )
 
 
+def stored_schema(schema: T.StructType, transforms: Sequence[Transform] = ()) -> T.StructType:
+    """Declared columns and the derived ones. Types are never taken from folder names: a
+    partition value like ``007`` stays text."""
+    types = {"day": T.DateType(), "month": T.StringType()}
+    derived = [T.StructField(t.column, types[t.kind]) for t in transforms if t.kind != "identity"]
+    return T.StructType([*schema.fields, *derived])
+
+
 def read(
-    spark: SparkSession, path: str, transforms: Sequence[Transform] = ()
+    spark: SparkSession, path: str, schema: T.StructType, transforms: Sequence[Transform] = ()
 ) -> DataFrame:
-    """The table without its derived partition columns."""
-    return spark.read.parquet(path).drop(*derived_columns(transforms))
+    """The table without its derived partition columns, in the declared order of columns."""
+    stored = spark.read.schema(stored_schema(schema, transforms)).parquet(path)
+    return stored.select(*schema.names)
 
 
 def read_days(
-    spark: SparkSession, path: str, transform: Transform, first: str, last: str
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    transforms: Sequence[Transform],
+    first: str,
+    last: str,
 ) -> DataFrame:
-    """Rows of whole days or months, inclusive; only their partitions are listed and read."""
-    part = F.col(transform.column)
-    return spark.read.parquet(path).where(part.between(F.lit(first), F.lit(last)))
+    """Rows of whole days or months of the first transform, inclusive; only their partitions
+    are listed and read."""
+    stored = spark.read.schema(stored_schema(schema, transforms)).parquet(path)
+    part = F.col(transforms[0].column)
+    return stored.where(part.between(F.lit(first), F.lit(last))).select(*schema.names)

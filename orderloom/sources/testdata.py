@@ -3,28 +3,23 @@
 Each adapter joins only what its topic needs and leaves the join strategy to
 Catalyst: dimension sides are broadcast when their size allows it, and adaptive
 execution splits skewed sort-merge partitions. Dimensions are left joins on
-their unique key: a missing row leaves a field NULL and drops no event. Lookups
-can be limited to the ``fields`` the consumer reads; the others are NULL and
-cost no join. ``stream=True`` reads the fact table as a stream and
-joins it to static dimensions.
+their unique key: a missing row leaves a field NULL and drops no event.
+``stream=True`` reads the fact table as a stream and joins it to static dimensions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Collection
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.functions import assembly_line, null_of, to_millis
+from orderloom.functions import assembly_line, to_millis
 from orderloom.schemas import LINE_A, LINE_B, LOCATIONS, ORDER_LINE, ORDER_SOURCES, PRICE
 from orderloom.sources.tables import table, table_stream
 
 REPLAY_START = "2024-01-01 00:00:00"
 REPLAY_SECONDS = 30 * 86400
-
-
-ALL_FIELDS = ("item", "name", "location", "loyaltyMemberId")
+# coprime to REPLAY_SECONDS: consecutive order keys spread over the whole calendar
+REPLAY_STEP = 104729
 
 
 def _fact(spark: SparkSession, sf: str, name: str, stream: bool) -> DataFrame:
@@ -81,48 +76,37 @@ def _with_order(lines: DataFrame, orders: DataFrame) -> DataFrame:
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
 
 
-def _with_part(
-    lines: DataFrame, spark: SparkSession, sf: str, fields: Collection[str] = ALL_FIELDS
-) -> DataFrame:
+def _with_part(lines: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
     """Adds ``p_brand``."""
-    if "item" not in fields:
-        return lines.withColumn("p_brand", null_of("string"))
     part = table(spark, sf, "part").select("p_partkey", "p_brand")
     return lines.join(part, lines.l_partkey == part.p_partkey, "left")
 
 
-def _with_customer(
-    orders: DataFrame, spark: SparkSession, sf: str, fields: Collection[str]
-) -> DataFrame:
-    """Adds the customer and region columns behind the wanted fields."""
-    if not {"name", "location", "loyaltyMemberId"} & set(fields):
-        return orders.withColumns(
-            {
-                "c_name": null_of("string"),
-                "c_acctbal": null_of("double"),
-                "n_regionkey": null_of("int"),
-            }
-        )
+def _with_customer(orders: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
+    """Adds the customer and region columns."""
     customer = table(spark, sf, "customer").select(
         "c_custkey", "c_name", "c_acctbal", "c_nationkey"
     )
     known = orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
-    if "location" not in fields:
-        return known.withColumn("n_regionkey", null_of("int"))
     nation = table(spark, sf, "nation").select("n_nationkey", "n_regionkey")
     return known.join(nation, known.c_nationkey == nation.n_nationkey, "left")
 
 
-def orders_in(
-    spark: SparkSession, sf: str, stream: bool = False, fields: Collection[str] = ALL_FIELDS
-) -> DataFrame:
+def _line_delay() -> Column:
+    """Seconds between an order and one of its lines. Every third order's lines come so far
+    apart that its assembly is cut between them."""
+    apart = F.when(F.col("l_orderkey") % 3 == 0, 9).otherwise(2)
+    return (F.col("l_linenumber") - 1) * apart
+
+
+def orders_in(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
     """Order records. An order's lines come as separate records of one line each,
     so no record grows with the size of an order."""
-    orders = _with_customer(_orders(spark, sf, stream, "o_custkey"), spark, sf, fields)
+    orders = _with_customer(_orders(spark, sf, stream, "o_custkey"), spark, sf)
     lines = _fact(spark, sf, "lineitem", stream).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"
     )
-    joined = _with_part(_with_order(lines, orders), spark, sf, fields)
+    joined = _with_part(_with_order(lines, orders), spark, sf)
     key = F.col("o_orderkey")
     line = F.struct(
         _item_id().alias("itemId"),
@@ -144,22 +128,19 @@ def orders_in(
         .alias("loyaltyMemberId"),
         F.when(even, F.array(line)).otherwise(none).alias("qdca10LineItems"),
         F.when(~even, F.array(line)).otherwise(none).alias("qdca10proLineItems"),
-        _order_time().alias("event_time"),
+        _plus_seconds(_order_time(), _line_delay()).alias("event_time"),
     )
 
 
-def orders_up(
-    spark: SparkSession, sf: str, stream: bool = False, fields: Collection[str] = ALL_FIELDS
-) -> DataFrame:
+def orders_up(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
     """Completions: finished lines, one minute per unit after the order."""
-    wanted = set(fields) & {"item", "name"}
-    orders = _with_customer(_orders(spark, sf, stream, "o_custkey"), spark, sf, wanted)
+    orders = _with_customer(_orders(spark, sf, stream, "o_custkey"), spark, sf)
     lines = (
         _fact(spark, sf, "lineitem", stream)
         .where(F.col("l_linestatus") == "F")
         .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
     )
-    return _with_part(_with_order(lines, orders), spark, sf, fields).select(
+    return _with_part(_with_order(lines, orders), spark, sf).select(
         _order_id().alias("orderId"),
         _item_id().alias("lineItemId"),
         F.col("p_brand").alias("item"),
@@ -170,11 +151,7 @@ def orders_up(
 
 
 def eighty_six(
-    spark: SparkSession,
-    sf: str,
-    stream: bool = False,
-    fields: Collection[str] = ALL_FIELDS,
-    replay: bool = False,
+    spark: SparkSession, sf: str, stream: bool = False, replay: bool = False
 ) -> DataFrame:
     """Cancellations: returned lines that were never finished.
 
@@ -188,11 +165,11 @@ def eighty_six(
     )
     if replay:
         start = F.lit(REPLAY_START).cast("timestamp" if stream else "timestamp_ntz")
-        when = _plus_seconds(start, F.col("l_orderkey") % REPLAY_SECONDS)
+        when = _plus_seconds(start, F.col("l_orderkey") * REPLAY_STEP % REPLAY_SECONDS)
     else:
         lines = _with_order(lines, _orders(spark, sf, stream))
         when = _plus_seconds(_order_time(), F.lit(120))
-    return _with_part(lines, spark, sf, fields).select(
+    return _with_part(lines, spark, sf).select(
         _order_id().alias("orderId"),
         _item_id().alias("lineItemId"),
         F.col("p_brand").alias("item"),
@@ -201,11 +178,12 @@ def eighty_six(
 
 
 def inventory_out(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
-    """Stock messages: purchases request a restock, views complete one."""
+    """Stock messages: purchases request a restock, views complete one, all but clicks are
+    messages with a code that nobody knows."""
     kind = F.col("event_type")
     return (
         _fact(spark, sf, "events", stream)
-        .where(kind.isin("purchase", "view", "signup"))
+        .where(kind != "click")
         .select(
             F.concat(F.lit("sku-"), F.col("user_id").cast("string")).alias("skuId"),
             F.concat(F.lit("Brand#"), (F.col("user_id") % 25 + 1).cast("string")).alias("item"),

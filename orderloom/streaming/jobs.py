@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from orderloom.functions import keep
 from orderloom.operators import assembly, customer, stock, trends, turnover
 from orderloom.schemas import REVENUE
+from orderloom.streaming.enriched import with_placements
 
 # --- fixed values: how late an event may be -----------------------------------
 RAW_DELAY = "5 seconds"
@@ -26,45 +27,33 @@ def trends_stream(events: DataFrame, size: str) -> DataFrame:
     return trends.trends(events.withWatermark("eventTimestamp", TREND_DELAY), size)
 
 
-def trends_enriched_stream(
-    events: DataFrame, placed: DataFrame, size: str, longest: str = "1 hour"
-) -> DataFrame:
-    """Trends with price and location of the line's own ORDER_PLACED event.
+def trends_enriched_stream(events: DataFrame, placed: DataFrame, size: str) -> DataFrame:
+    """Trends with price and location of the line's own ORDER_PLACED event, the newest one.
 
-    An inner interval join: a line fulfilled more than ``longest`` after it was
-    placed finds no partner, which bounds the join state. ``events`` and
-    ``placed`` are two reads of the hub. Unlike the batch form, every placement of
-    a line is a partner, so a line placed twice counts twice.
+    There is no bound on the time between the two: placements stay in keyed state.
+    A fulfilment counts once, with NULLs if no placement is known when event time
+    has passed it. ``events`` and ``placed`` may be two reads of the hub. The
+    session must use the RocksDB state store (``session.use_rocksdb``).
     """
+    key = [F.col("orderId").alias("order_id"), F.col("lineItem.itemId").alias("item_id")]
     done = keep(
         events.withWatermark("eventTimestamp", TREND_DELAY),
         (F.col("eventType") == "LINE_ITEM_STATUS_CHANGED") & (F.col("orderStatus") == "FULFILLED"),
         "eventTimestamp",
     ).select(
-        "orderId",
-        F.col("lineItem.itemId").alias("itemId"),
+        *key,
         F.col("lineItem.item").alias("item"),
-        F.col("lineItem.assemblyLine").alias("assembly_line"),
-        F.col("eventTimestamp").alias("done_at"),
+        F.col("lineItem.assemblyLine").alias("line"),
+        F.col("eventTimestamp").alias("ts"),
     )
     orders = keep(
         placed.withWatermark("eventTimestamp", TREND_DELAY),
         F.col("eventType") == "ORDER_PLACED",
         "eventTimestamp",
     ).select(
-        F.col("orderId").alias("placed_order"),
-        F.col("lineItem.itemId").alias("placed_item"),
-        F.col("lineItem.price").alias("price"),
-        "location",
-        F.col("eventTimestamp").alias("placed_at"),
-    )
-    joined = done.join(
-        orders,
-        (F.col("orderId") == F.col("placed_order"))
-        & (F.col("itemId") == F.col("placed_item"))
-        & (F.col("done_at") >= F.col("placed_at"))
-        & (F.col("done_at") <= F.col("placed_at") + F.expr(f"INTERVAL {longest}")),
+        *key, F.col("lineItem.price").alias("price"), "location", F.col("eventTimestamp").alias("ts")
     )
+    joined = with_placements(done, orders)
     return (
         joined.groupBy(F.window("done_at", size).alias("window"), "item", "assembly_line", "location")
         .agg(F.count("*").alias("order_count"), F.sum("price").alias("total"))
@@ -88,6 +77,14 @@ def turnover_stream(stock_events: DataFrame, order_events: DataFrame) -> DataFra
     )
 
 
+def turnover_partials_stream(stock_events: DataFrame, order_events: DataFrame) -> DataFrame:
+    """Append: each input's hours on their own, as the stored partial rows."""
+    return turnover.turnover_partials(
+        stock_events.withWatermark("event_timestamp", TREND_DELAY),
+        order_events.withWatermark("eventTimestamp", TREND_DELAY),
+    )
+
+
 def stockout_risk_hourly_stream(order_events: DataFrame) -> DataFrame:
     """Append, one row per item and hour with a cancellation."""
     return turnover.stockout_risk_hourly(
@@ -110,6 +107,11 @@ def stock_quantity_stream(inventory_out: DataFrame, decrement: DataFrame) -> Dat
     return stock.stock_quantity(inventory_out, decrement)
 
 
+def customer_history_stream(events: DataFrame) -> DataFrame:
+    """Append: placed lines that name a customer."""
+    return customer.customer_history(events.withWatermark("eventTimestamp", PROFILE_DELAY))
+
+
 def customer_last_seen_stream(events: DataFrame) -> DataFrame:
     """Update, keyed by customer: newest values."""
     return customer.last_seen(customer.customer_history(events))

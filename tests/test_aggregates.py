@@ -191,6 +191,10 @@ def test_masking(spark):
     masked = rows(customer.profile_masked(full))
     assert masked == [("A***", None), ("Ö***", "***"), ("Z***", "***")]
     assert rows(customer.profile_for_group(full, "consumer")) == masked
+    both = customer.profiles_for_groups(full, ("customer360-full", "consumer"))
+    assert both.columns == ["caller_group", *full.columns]
+    assert rows(both.where("caller_group = 'consumer'").drop("caller_group")) == masked
+    assert rows(both.where("caller_group <> 'consumer'").drop("caller_group")) == rows(full)
     assert rows(customer.profile_for_group(full, "customer360-full")) == rows(full)
 
 
@@ -233,3 +237,12 @@ def test_order_assembly_sessions(spark):
     ]
     streamed = sorted(rows(assembly.order_assembly_stream(df, gap_seconds=5)))
     assert streamed == got
+
+
+def test_rows_without_a_time_are_dropped_everywhere(spark):
+    timeless = [(*e[:3], None, *e[4:]) for e in (cancelled("o9", item_id="i9"), event("o9"), placed("o9"))]
+    events = spark.createDataFrame([cancelled("o1", ts=5), *timeless], schemas.ORDER_EVENT)
+    assert turnover.stockout_risk_current(events).count() == 1
+    assert turnover.stockout_risk_hourly(events).count() == 1
+    assert trends.trends(events, trends.ONE_DAY).count() == 0
+    assert assembly.order_assembly(events).count() == 0

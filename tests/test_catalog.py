@@ -84,3 +84,18 @@ def test_current_table_is_replaced(tables, events):
     catalog.overwrite_current(hub.current(events), "order_events_current")
     catalog.overwrite_current(hub.current(events), "order_events_current")
     assert tables.table("order_events.orders_current").count() == 3
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_a_key_that_moves_leaves_its_old_partition(tables, events, mode):
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    tables.conf.set(setting, mode)
+    try:
+        for location in ("TOKYO", "RALEIGH"):
+            one = tables.createDataFrame([placed("o1", 0, location=location)], schemas.ORDER_EVENT)
+            catalog.overwrite_current(hub.current(one), "order_events_current")
+        assert tables.conf.get(setting) == mode
+    finally:
+        tables.conf.unset(setting)
+    found = tables.table("order_events.orders_current").select("order_id", "location")
+    assert rows(found) == [("o1", "RALEIGH")]

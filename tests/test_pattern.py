@@ -123,3 +123,11 @@ def test_one_item_with_many_rows_over_many_slices(spark):
     got = matches(spark, sequence(text, item_id=None, times=times), slice_size="60 seconds")
     want = greedy(text, times)
     assert sorted(rows(got.select("placed_at", "fulfilled_at", "assembly_line"))) == sorted(want)
+
+
+@pytest.mark.parametrize("size", [None, "10 minutes", "1 hour"])
+def test_rows_without_a_time_are_dropped_at_any_slice_size(spark, size):
+    start = event(status="PLACED", ts=0)
+    timeless = (*start[:3], None, *start[4:])
+    events = spark.createDataFrame([timeless, event(ts=60)], schemas.ORDER_EVENT)
+    assert pattern.lead_times(events, slice_size=size).count() == 0

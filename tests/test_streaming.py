@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from orderloom import schemas
 from orderloom.operators import customer, pattern, stock, trends, turnover
+from orderloom.session import use_rocksdb
 from orderloom.sinks import keyed, lake
 from orderloom.sources import topics
 from orderloom.streaming import jobs
@@ -82,20 +83,24 @@ def test_rows_behind_the_watermark_are_dropped(spark, tmp_path):
     assert counts[at(0)] == 1
 
 
-def test_enriched_trends_stream(spark, tmp_path):
+def test_enriched_trends_stream_equals_batch_on_closed_windows(spark, tmp_path):
+    use_rocksdb(spark)
+    four, five = Decimal("4.00"), Decimal("5.00")
     batches = [
-        [placed(ts=0, price=Decimal("4.00"), location="TOKYO"), placed("o2", 5, item_id="i2")],
-        [event(ts=60), event("o3", ts=61)],
-        [event("o2", ts=90000, item_id="i2"), placed("o9", 90000)],
+        [placed(ts=0, price=four, location="TOKYO"), placed("o2", 5, item_id="i2", price=four)],
+        [placed("o2", 50, item_id="i2", price=five), event("o3", ts=61, item_id="i3")],
+        [event(ts=3 * 3600), event("o2", ts=3 * 3600, item_id="i2"), event(None, ts=70)],
+        [event(ts=4 * 3600, item_id=None), event(ts=5 * 3600)],
         [event("o8", ts=180000), placed("o9", 180000)],
+        [event("o8", ts=280000), placed("o9", 280000)],
     ]
     write_files(spark, f"{tmp_path}/in", batches, schemas.ORDER_EVENT)
     one, two = (read_files(spark, f"{tmp_path}/in", schemas.ORDER_EVENT) for _ in range(2))
     got = run_append(jobs.trends_enriched_stream(one, two, trends.ONE_DAY), str(tmp_path))
-    day = at(0).replace(hour=0)
-    assert rows(got.select("window_start", "order_count", "revenue", "location")) == [
-        (day, 1, Decimal("4.00"), "TOKYO")
-    ]
+    everything = spark.createDataFrame(sum(batches, []), schemas.ORDER_EVENT)
+    want = trends.trends_enriched(everything, trends.ONE_DAY).where(F.col("window_end") <= at(279990))
+    found = sorted(rows(got.select(*want.columns)), key=str)
+    assert found == sorted(rows(want), key=str) and len(found) == 3
 
 
 INV = "skuId string, item string, eventType string, quantity bigint, event_time timestamp"
@@ -295,12 +300,22 @@ def test_partition_pruning(spark, tmp_path, kind):
     }[kind]
     lake.append(df, f"{tmp_path}/t", [transform])
     lake.append(df, f"{tmp_path}/t", [transform])
-    assert lake.read(spark, f"{tmp_path}/t", [transform]).count() == 6
+    stored = lake.read(spark, f"{tmp_path}/t", df.schema, [transform])
+    assert stored.count() == 6 and stored.columns == df.columns
     low, high, count = {
         "day": ("2024-03-02", "2024-03-31", 2),
         "month": ("2024-03", "2024-03", 4),
         "identity": ("b", "c", 4),
     }[kind]
-    pruned = lake.read_days(spark, f"{tmp_path}/t", transform, low, high)
+    pruned = lake.read_days(spark, f"{tmp_path}/t", df.schema, [transform], low, high)
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert pruned.count() == count and f"PartitionFilters: [isnotnull({transform.column}" in plan
+
+
+def test_identity_partitions_keep_their_type(spark, tmp_path):
+    df = spark.createDataFrame([("007", 1), ("2024-01-01", 2)], "code string, n int")
+    by_code = [lake.identity("code")]
+    lake.append(df, f"{tmp_path}/t", by_code)
+    assert sorted(rows(lake.read(spark, f"{tmp_path}/t", df.schema, by_code))) == sorted(rows(df))
+    found = lake.read_days(spark, f"{tmp_path}/t", df.schema, by_code, "007", "007")
+    assert rows(found) == [("007", 1)]
