@@ -1,11 +1,10 @@
-"""Parquet tables, read whole or as a stream."""
+"""Parquet tables."""
 
 from __future__ import annotations
 
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -18,18 +17,3 @@ def _schema(spark: SparkSession, path: str) -> T.StructType:
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     path = f"{folder}/{name}.parquet"
     return spark.read.schema(_schema(spark, path)).parquet(path)
-
-
-def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The same table as a stream. The glob lets it be one file or a folder of files.
-
-    Streams need zoned timestamps for event time, so zone-less ones are converted.
-    """
-    schema = _schema(spark, f"{folder}/{name}.parquet")
-    stream = spark.readStream.schema(schema).parquet(f"{folder}/{name}.parque[t]")
-    zoned = {
-        f.name: F.col(f.name).cast("timestamp")
-        for f in schema.fields
-        if isinstance(f.dataType, T.TimestampNTZType)
-    }
-    return stream.withColumns(zoned) if zoned else stream

@@ -4,17 +4,22 @@ Each adapter joins only what its topic needs and leaves the join strategy to
 Catalyst: dimension sides are broadcast when their size allows it, and adaptive
 execution splits skewed sort-merge partitions. Dimensions are left joins on
 their unique key: a missing row leaves a field NULL and drops no event.
-``stream=True`` reads the fact table as a stream and joins it to static dimensions.
+``stream=True`` gives the same topic as a stream of files cut by time.
 """
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.functions import assembly_line, to_millis
 from orderloom.schemas import LINE_A, LINE_B, LOCATIONS, ORDER_LINE, ORDER_SOURCES, PRICE
-from orderloom.sources.tables import table, table_stream
+from orderloom.sources.replayed import as_stream
+from orderloom.sources.tables import table
 
 REPLAY_START = "2024-01-01 00:00:00"
 REPLAY_SECONDS = 30 * 86400
@@ -22,26 +27,40 @@ REPLAY_SECONDS = 30 * 86400
 REPLAY_STEP = 104729
 
 
-def _fact(spark: SparkSession, sf: str, name: str, stream: bool) -> DataFrame:
-    return (table_stream if stream else table)(spark, sf, name)
+# stretches of time that cover a calendar's events
+ORDER_CALENDAR = (datetime(1995, 1, 1), datetime(2002, 1, 1))
+STOCK_CALENDAR = (datetime(2024, 1, 1), datetime(2024, 1, 31))
+
+
+def _topic(calendar: tuple[datetime, datetime], ts: str = "event_time") -> Callable:
+    """Lets a batch topic be read as a stream too."""
+
+    def wrap(batch: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @functools.wraps(batch)
+        def topic(spark: SparkSession, sf: str, stream: bool = False, **options: bool) -> DataFrame:
+            df = batch(spark, sf, **options)
+            if not stream:
+                return df
+            replay = options.get("replay", False)
+            name = batch.__name__ + "_replayed" * replay
+            return as_stream(df, name, sf, ts, *(STOCK_CALENDAR if replay else calendar))
+
+        return topic
+
+    return wrap
 
 
-def _orders(spark: SparkSession, sf: str, stream: bool, *columns: str) -> DataFrame:
-    """Static orders. Streams need zoned times."""
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", *columns)
-    if stream:
-        orders = orders.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
-    return orders
+def _orders(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    return table(spark, sf, "orders").select("o_orderkey", "o_orderdate", *columns)
 
 
 def _plus_seconds(ts: Column, seconds: Column) -> Column:
     return ts + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
 
 
-def _millis(column: str, stream: bool) -> Column:
-    """Cut to milliseconds, keeping batch times zone-less."""
-    ms = to_millis(F.col(column))
-    return ms if stream else ms.cast("timestamp_ntz")
+def _millis(column: str) -> Column:
+    """Cut to milliseconds, without a zone."""
+    return to_millis(F.col(column)).cast("timestamp_ntz")
 
 
 def _pick(index: Column, values: tuple[str, ...]) -> Column:
@@ -71,9 +90,7 @@ def _made_by() -> Column:
 
 def _with_order(lines: DataFrame, orders: DataFrame) -> DataFrame:
     """Lines and orders are both fact tables: a sort-merge join, whatever their size."""
-    if not lines.isStreaming:
-        orders = orders.hint("merge")
-    return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+    return lines.join(orders.hint("merge"), lines.l_orderkey == orders.o_orderkey)
 
 
 def _with_part(lines: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
@@ -99,11 +116,12 @@ def _line_delay() -> Column:
     return (F.col("l_linenumber") - 1) * apart
 
 
-def orders_in(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
+@_topic(ORDER_CALENDAR)
+def orders_in(spark: SparkSession, sf: str) -> DataFrame:
     """Order records. An order's lines come as separate records of one line each,
     so no record grows with the size of an order."""
-    orders = _with_customer(_orders(spark, sf, stream, "o_custkey"), spark, sf)
-    lines = _fact(spark, sf, "lineitem", stream).select(
+    orders = _with_customer(_orders(spark, sf, "o_custkey"), spark, sf)
+    lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"
     )
     joined = _with_part(_with_order(lines, orders), spark, sf)
@@ -132,11 +150,12 @@ def orders_in(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
     )
 
 
-def orders_up(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
+@_topic(ORDER_CALENDAR)
+def orders_up(spark: SparkSession, sf: str) -> DataFrame:
     """Completions: finished lines, one minute per unit after the order."""
-    orders = _with_customer(_orders(spark, sf, stream, "o_custkey"), spark, sf)
+    orders = _with_customer(_orders(spark, sf, "o_custkey"), spark, sf)
     lines = (
-        _fact(spark, sf, "lineitem", stream)
+        table(spark, sf, "lineitem")
         .where(F.col("l_linestatus") == "F")
         .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
     )
@@ -150,24 +169,23 @@ def orders_up(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
     )
 
 
-def eighty_six(
-    spark: SparkSession, sf: str, stream: bool = False, replay: bool = False
-) -> DataFrame:
+@_topic(ORDER_CALENDAR)
+def eighty_six(spark: SparkSession, sf: str, replay: bool = False) -> DataFrame:
     """Cancellations: returned lines that were never finished.
 
     ``replay`` puts them on the calendar of the stock events, so that hourly
     windows of both can meet; the order table is not needed then.
     """
     lines = (
-        _fact(spark, sf, "lineitem", stream)
+        table(spark, sf, "lineitem")
         .where((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O"))
         .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     )
     if replay:
-        start = F.lit(REPLAY_START).cast("timestamp" if stream else "timestamp_ntz")
+        start = F.lit(REPLAY_START).cast("timestamp_ntz")
         when = _plus_seconds(start, F.col("l_orderkey") * REPLAY_STEP % REPLAY_SECONDS)
     else:
-        lines = _with_order(lines, _orders(spark, sf, stream))
+        lines = _with_order(lines, _orders(spark, sf))
         when = _plus_seconds(_order_time(), F.lit(120))
     return _with_part(lines, spark, sf).select(
         _order_id().alias("orderId"),
@@ -177,12 +195,13 @@ def eighty_six(
     )
 
 
-def inventory_out(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
+@_topic(STOCK_CALENDAR)
+def inventory_out(spark: SparkSession, sf: str) -> DataFrame:
     """Stock messages: purchases request a restock, views complete one, all but clicks are
     messages with a code that nobody knows."""
     kind = F.col("event_type")
     return (
-        _fact(spark, sf, "events", stream)
+        table(spark, sf, "events")
         .where(kind != "click")
         .select(
             F.concat(F.lit("sku-"), F.col("user_id").cast("string")).alias("skuId"),
@@ -192,20 +211,21 @@ def inventory_out(spark: SparkSession, sf: str, stream: bool = False) -> DataFra
             .otherwise("OTHER_EVENT")
             .alias("eventType"),
             F.floor("value").cast("bigint").alias("quantity"),
-            _millis("ts", stream).alias("event_time"),
+            _millis("ts").alias("event_time"),
         )
     )
 
 
-def stock_decrement(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
+@_topic(STOCK_CALENDAR)
+def stock_decrement(spark: SparkSession, sf: str) -> DataFrame:
     """Remaining quantity after consumption: click events."""
     return (
-        _fact(spark, sf, "events", stream)
+        table(spark, sf, "events")
         .where(F.col("event_type") == "click")
         .select(
             F.concat(F.lit("Brand#"), (F.col("user_id") % 25 + 1).cast("string")).alias("item"),
             F.floor("value").cast("bigint").alias("quantity"),
-            _millis("ts", stream).alias("event_time"),
+            _millis("ts").alias("event_time"),
         )
     )
 
@@ -226,10 +246,11 @@ def completion_messages(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def item_status_events(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
+@_topic(ORDER_CALENDAR, "eventTimestamp")
+def item_status_events(spark: SparkSession, sf: str) -> DataFrame:
     """Status changes per item for the row pattern: placed, sometimes in progress, sometimes
     cancelled in between, finished lines fulfilled. One pass over the lines."""
-    lines = _fact(spark, sf, "lineitem", stream).select(
+    lines = table(spark, sf, "lineitem").select(
         "l_orderkey",
         "l_partkey",
         "l_suppkey",
@@ -238,7 +259,7 @@ def item_status_events(spark: SparkSession, sf: str, stream: bool = False) -> Da
         "l_returnflag",
         "l_linestatus",
     )
-    joined = _with_part(_with_order(lines, _orders(spark, sf, stream)), spark, sf)
+    joined = _with_part(_with_order(lines, _orders(spark, sf)), spark, sf)
     planned = F.when(F.col("l_suppkey") % 2 == 0, LINE_A).otherwise(LINE_B)
 
     # one row per step the line goes through; columns follow from the step number

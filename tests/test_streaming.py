@@ -1,5 +1,6 @@
 """Streams are replayed from ordered JSON files and compared with the batch results."""
 
+import itertools
 import json
 import os
 import random
@@ -14,7 +15,7 @@ from orderloom import schemas
 from orderloom.operators import customer, pattern, stock, trends, turnover
 from orderloom.session import use_rocksdb
 from orderloom.sinks import keyed, lake
-from orderloom.sources import topics
+from orderloom.sources import testdata, topics
 from orderloom.streaming import jobs
 from orderloom.streaming.lead_time import lead_time_batches, lead_time_stream
 
@@ -319,3 +320,23 @@ def test_identity_partitions_keep_their_type(spark, tmp_path):
     assert sorted(rows(lake.read(spark, f"{tmp_path}/t", df.schema, by_code))) == sorted(rows(df))
     found = lake.read_days(spark, f"{tmp_path}/t", df.schema, by_code, "007", "007")
     assert rows(found) == [("007", 1)]
+
+
+def test_topics_are_cut_at_the_same_times(spark, tmp_path):
+    """Eight micro-batches, of both topics the same stretch of event time, in order."""
+    spans = {}
+    for name in ("inventory_out", "stock_decrement"):
+        seen = []
+
+        def note(batch, batch_id, seen=seen):
+            seen.append(batch.agg(F.min("event_time"), F.max("event_time"), F.count("*")).first())
+
+        topic = getattr(testdata, name)
+        stream = topic(spark, "/root/testdata/sf0.001", stream=True)
+        query = stream.writeStream.option("checkpointLocation", f"{tmp_path}/{name}").foreachBatch(note)
+        query.trigger(availableNow=True).start().awaitTermination()
+        assert len(seen) == 8 and sum(r[2] for r in seen) == topic(spark, "/root/testdata/sf0.001").count()
+        spans[name] = seen
+    stretches = list(zip(*spans.values(), strict=True))
+    for now, later in itertools.pairwise(stretches):
+        assert max(r[1] for r in now) < min(r[0] for r in later)
