@@ -116,6 +116,16 @@ def exact_duplicates(
     return alone.unionByName(compared)
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns, whatever those are called."""
+    packed = docs.select(
+        F.struct(*docs.columns).alias("_doc"),
+        F.col(id_col).alias("_id"),
+        F.col(text_col).alias("_text"),
+    )
+    return exact_duplicates(packed, "_id", "_text").where("kept").select("_doc.*")
+
+
 #: The same in DuckDB's SQL.
 SQL = r"""
 WITH d AS (

@@ -253,7 +253,8 @@ def redact(docs: DataFrame, models: Models, text_col: str = "text", mark: str =
 
     Rows without a secret are unchanged, a NULL text stays NULL.
     """
-    rows = scan(docs, models, text_col=text_col)
+    packed = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(text_col).alias("_raw"))
+    rows = scan(packed, models, text_col="_raw")
     zero = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
     def step(state: Column, span: Column) -> Column:
@@ -266,5 +267,6 @@ def redact(docs: DataFrame, models: Models, text_col: str = "text", mark: str =
 
     done = F.aggregate("_spans", zero, step)
     rest = F.substring(F.col("_text"), done["at"] + 1, F.length("_text"))
-    hidden = F.when(F.size("_spans") > 0, F.concat(done["out"], rest)).otherwise(F.col(text_col))
-    return rows.withColumn(text_col, hidden).select(*docs.columns)
+    hidden = F.when(F.size("_spans") > 0, F.concat(done["out"], rest)).otherwise(F.col("_raw"))
+    columns = {c: F.col("_doc").getField(c) for c in docs.columns} | {text_col: hidden}
+    return rows.select(*[value.alias(name) for name, value in columns.items()])

@@ -189,9 +189,14 @@ def one_per_component(
     Of repeated rows with that id one stays. A component without any id keeps one
     of its rows.
     """
-    rows = store(docs.withColumn("_row", F.monotonically_increasing_id()), "near-dedup")
-    named = rows.select("_row", F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    key = F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.col("_row").alias("r"))
-    found = near_duplicates(named.withColumn("_key", key), "_key", "_text", words)
+    packed = docs.select(
+        F.struct(*docs.columns).alias("_doc"), F.monotonically_increasing_id().alias("_row")
+    )
+    rows = store(packed, "near-dedup")
+    row_id, text = F.col("_doc").getField(id_col), F.col("_doc").getField(text_col)
+    # a NULL id comes last, and equal ids are told apart by the row
+    key = F.struct(row_id.isNull().alias("n"), row_id.alias("i"), F.col("_row").alias("r"))
+    named = rows.select(key.alias("_key"), text.alias("_text"))
+    found = near_duplicates(named, "_key", "_text", words)
     keep = found.where("_key.r = component_id.r").select(F.col("_key.r").alias("_row"))
-    return rows.join(keep, "_row", "left_semi").select(*docs.columns)
+    return rows.join(keep, "_row", "left_semi").select("_doc.*")

@@ -34,9 +34,12 @@ def folder(spark, tmp_path_factory):
     for i in range(640, 660):
         rows.append([i, " ".join(rng.choices(words, k=40)) + f" {SECRET} tail"])
     rows += [[660, None], [661, ""], [662, "  "], [663, rows[1][1]], [663, rows[1][1]], [None, "no id here"]]
-    docs = [(i, t, "en", "src0", None if t is None else len(t)) for i, t in rows]
+    # columns of other names stay, also where the operators use such names themselves
+    more = ("_row", "_text", "kept", "score", "_sha")
+    docs = [(i, t, "en", "src0", None if t is None else len(t), *more) for i, t in rows]
     path = str(tmp_path_factory.mktemp("corpus"))
     schema = "doc_id long, text string, lang string, source string, n_chars long"
+    schema += "".join(f", {c} string" for c in more)
     spark.createDataFrame(docs, schema).repartition(3).write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame(list(toxic.items()), "doc_id long, toxic int").write.parquet(
         f"{path}/labels.parquet"
@@ -51,7 +54,7 @@ def test_stages_and_result(spark, folder):
     columns, seen = docs.columns, {}
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = corpus_pipeline.store(stage(spark, docs, path), "test")
-        assert docs.columns == columns
+        assert docs.columns == columns and all(r._row == "_row" and r.kept == "kept" for r in docs.collect())
         seen[name] = [(r.doc_id, r.text) for r in docs.collect()]
 
     key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
