@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import struct
 
 import numpy as np
 import public_tokenizers
@@ -16,26 +17,34 @@ import tiktoken
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Words remembered in a Python worker at most.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
+MARKS = ".,;:!?"
 
 
 class Encoder:
     def __init__(self, path: str):
         with open(path, "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-        self._encode = tiktoken.Encoding(
+        own = tiktoken.Encoding(
             "public",
             pat_str=public_tokenizers.PATTERN,
             mergeable_ranks=ranks,
             special_tokens={},
-        ).encode_ordinary
-        self._known: dict[str, bytes] = {}
-
-    def _new(self, word: str) -> bytes:
-        ids = np.array(self._encode(word), "<u4").tobytes()
-        if len(self._known) >= REMEMBERED:
-            self._known.clear()
-        self._known[word] = ids
+        )
+        self._encode, self._piece = own.encode_ordinary, own._encode_single_piece
+        self._first: dict[str, bytes] = {}
+        self._later: dict[str, bytes] = {}
+
+    def _new(self, word: str, space: str, known: dict[str, bytes]) -> bytes:
+        letters = word.rstrip(MARKS)
+        if letters.isalpha():  # one piece by the pattern, and the marks another one
+            ids = self._piece(space + letters) + self._encode(word[len(letters) :])
+        else:
+            ids = self._encode(space + word)
+        ids = struct.pack(f"<{len(ids)}I", *ids)
+        if len(known) >= REMEMBERED:
+            known.clear()
+        known[word] = ids
         return ids
 
     def ids(self, text: str) -> bytes:
@@ -44,10 +53,11 @@ class Encoder:
             return b""
         if "  " in text or text[-1] == " " or text[0] == " ":
             return np.array(self._encode(text), "<u4").tobytes()
-        known, new = self._known.get, self._new
         first, *rest = text.split(" ")
-        words = [first, *[f" {w}" for w in rest]]
-        return b"".join([known(w) or new(w) for w in words])
+        head = self._first.get(first) or self._new(first, "", self._first)
+        later = self._later
+        get, new = later.get, self._new
+        return head + b"".join([get(w) or new(w, " ", later) for w in rest])
 
 
 @functools.cache

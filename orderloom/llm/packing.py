@@ -176,9 +176,8 @@ def pack(
         encode = encoder(path).ids
         head = encode(prompt) if prompt else b""
         ids = np.frombuffer(head + encode(text) + END_ID.to_bytes(4, "little"), "<u4")
-        loss = np.zeros(len(ids) + 1, np.int64)
-        np.cumsum(np.arange(len(ids)) >= len(head) // 4, out=loss[1:])
-        return Example(key, ids, loss)
+        loss = np.arange(len(ids) + 1) - len(head) // 4
+        return Example(key, ids, np.maximum(loss, 0) if head else loss)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() * PER_TASK
