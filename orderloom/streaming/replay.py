@@ -29,6 +29,8 @@ def replay_append(
 def replay_keyed(spark: SparkSession, stream: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Drive an update-mode stream into a keyed table and read its latest rows."""
     path = shared_dir(spark, "tables")
-    query = keyed.upsert_stream(stream, path, shared_dir(spark, "checkpoints"), _ALL_NOW)
+    query = keyed.upsert_stream(
+        stream, path, shared_dir(spark, "checkpoints"), _ALL_NOW, keys, compact_every=4
+    )
     query.awaitTermination()
     return keyed.read_latest(spark, path, keys, T.StructType(stream.schema.fields))

@@ -250,14 +250,32 @@ def test_repeated_batch_replaces_itself(spark, tmp_path):
     fields = T.StructType.fromDDL(schema)
     want = [("X", 2), ("Y", 1)]
     assert sorted(rows(keyed.read_latest(spark, str(tmp_path), ["item"], fields))) == want
-    keyed.compact(spark, str(tmp_path), ["item"], fields, 1, f"{tmp_path}-compact")
-    assert sorted(rows(spark.read.parquet(f"{tmp_path}-compact").drop("batch_id"))) == want
-    newer = spark.createDataFrame([("Y", 9)], schema)
-    keyed.write_batch(f"{tmp_path}-compact")(newer, 2)
-    latest = keyed.read_latest(spark, f"{tmp_path}-compact", ["item"], fields)
+    for _ in range(2):  # repeating it changes nothing
+        keyed.compact(spark, str(tmp_path), ["item"], fields, 1)
+        assert sorted(rows(keyed.read_latest(spark, str(tmp_path), ["item"], fields))) == want
+    write(spark.createDataFrame([("Y", 9)], schema), 2)
+    latest = keyed.read_latest(spark, str(tmp_path), ["item"], fields)
     assert sorted(rows(latest)) == [("X", 2), ("Y", 9)]
 
 
+def test_keyed_table_stays_small_and_survives_a_broken_compaction(spark, tmp_path):
+    path, schema = f"{tmp_path}/t", "item string, quantity bigint"
+    fields, want = T.StructType.fromDDL(schema), {}
+    write = keyed.write_batch(path)
+    for n in range(30):
+        want |= {f"i{n % 7}": n, "same": -n}
+        changed = [(f"i{n % 7}", n), ("same", -n)]
+        write(spark.createDataFrame(changed, schema).coalesce(1), n)
+        if n == 20:  # a compaction that broke off has no success mark and doesn't count
+            os.makedirs(f"{path}_base/batch_id=20")
+        if n % 5 == 4:
+            keyed.compact(spark, path, ["item"], fields, n)
+            assert dict(rows(keyed.read_latest(spark, path, ["item"], fields))) == want
+    assert sorted(os.listdir(path)) == [f"batch_id={n}" for n in range(25, 30)]
+    bases = [b for b in os.listdir(f"{path}_base") if os.listdir(f"{path}_base/{b}")]
+    assert sorted(bases) == ["batch_id=24", "batch_id=29"]
+
+
 def test_one_batch_feeds_several_targets(spark, tmp_path):
     stream = jobs.stockout_risk_current_stream(
         hub_stream(spark, f"{tmp_path}/in", [[cancelled(ts=5)], [cancelled(ts=6)]])
