@@ -6,7 +6,7 @@ import os
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm import (
@@ -52,11 +52,11 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents", "doc_id", "text")
     found = secrets.scan(docs, secrets.train(docs))
-    kinds = {"n_assign": 0, "n_access": 1, "n_hex": 2}
-    counts = [
-        F.size(F.filter("_base", lambda x, k=k: x["kind"] == k)).cast("long").alias(name)
-        for name, k in kinds.items()
-    ]
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("_base", lambda span: span["kind"] == kind)).cast("long")
+
+    counts = [count(i).alias(f"n_{name}") for i, name in enumerate(secrets.KINDS[:3])]
     return found.select(
         "doc_id",
         *counts,

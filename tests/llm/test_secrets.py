@@ -3,7 +3,7 @@ import re
 import secrets as random_source
 
 import pytest
-from orderloom.llm import secrets
+from orderloom.llm import queries, secrets
 from pyspark.sql import functions as F
 
 ASSIGN = re.compile(
@@ -93,3 +93,15 @@ def test_redacting_overlaps_and_empty_tables(frame, no_docs):
             assert text == original
         else:
             assert not spans and "<SECRET>" in text
+
+
+def test_query(frame, tmp_path):
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op2_secret_scan(frame.sparkSession, str(tmp_path)).collect()
+    assert len(got) == len(CASES) + 3
+    for r in got:
+        spans = brute_base(CASES[r.doc_id % len(CASES)])
+        want = [sum(k == kind for _, k, _ in spans) for kind in range(3)]
+        assert [r.n_assign, r.n_access, r.n_hex] == want
+        base = {f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in spans}
+        assert base <= set(filter(None, r.spans.split(",")))
