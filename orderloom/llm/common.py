@@ -37,3 +37,15 @@ def raw(column: str = "text") -> Column:
 def crc_mod(id_column: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``. A NULL id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit(""))) % modulus
+
+
+def sample(df: DataFrame, id_col: str, rows: int) -> DataFrame:
+    """About ``rows`` rows, chosen by the id's hash; all of them if there are no more.
+
+    Every task keeps its share, so nothing is sent to be compared, whatever the
+    number of tasks.
+    """
+    total = df.count()
+    if total <= rows:
+        return df
+    return df.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 40)) < int((1 << 40) * rows / total))

@@ -15,6 +15,7 @@ below, and a bounded sample of the table's own pages whose author marks one
 from __future__ import annotations
 
 import html
+import itertools
 import math
 import re
 from collections import Counter
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from orderloom.llm.common import text_of
+from orderloom.llm.common import sample, text_of
 
 # --- fixed values: element names of HTML --------------------------------------
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -241,13 +242,12 @@ def labelled_by_hand() -> list[tuple[str, list[tuple[int, int]]]]:
 
 
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", most_pages: int = 300) -> Model:
-    """Fit on the pages below and on at most ``most_pages`` of the table, in order of the
-    id's hash, that mark one article."""
-    sample = pages.where(F.col(html_col).contains("</article")).select(
-        F.col(id_col).alias("_id"), F.col(html_col).alias("_html")
-    )
-    chosen = sample.orderBy(F.xxhash64("_id"), "_id").limit(most_pages).toLocalIterator()
-    found = [x for row in chosen if (x := labelled_by_author(row._html))]
+    """Fit on the pages below and on at most ``most_pages`` of the table that mark one
+    article, from four times as many pages chosen by the id's hash."""
+    rows = pages.select(F.col(id_col).alias("_id"), F.col(html_col).alias("_html"))
+    chosen = sample(rows, "_id", 4 * most_pages).where(F.col("_html").contains("</article"))
+    marked = (labelled_by_author(row._html) for row in chosen.toLocalIterator())
+    found = list(itertools.islice(filter(None, marked), most_pages))
     by_hand = labelled_by_hand()
     return fit(found + by_hand * max(1, len(found) // (4 * len(by_hand))))
 

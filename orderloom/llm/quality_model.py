@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from orderloom.llm.common import raw
+from orderloom.llm.common import raw, sample
 
 PASSAGE = 64
 HIDDEN = 12
@@ -174,14 +174,14 @@ def train(
     most_rows: int = 5_000,
     most_passages: int = 40_000,
 ) -> Model:
-    """Fit on labelled rows that ``learn`` allows: at most ``most_rows``, in order of the id's
+    """Fit on labelled rows that ``learn`` allows: at most ``most_rows``, chosen by the id's
     hash, and of these as many as have ``most_passages`` together. The passages are encoded
     in tasks; the driver sees vectors only."""
     known = labels.where(learn & F.col(label_col).isNotNull()).select(
         F.col(id_col).alias("_id"), (F.col(label_col) != 0).cast("double").alias("_label")
     )
-    sample = known.orderBy(F.xxhash64("_id"), "_id").limit(most_rows)
-    rows = docs.select(F.col(id_col).alias("_id"), raw(text_col).alias("_text")).join(sample, "_id")
+    chosen = sample(known, "_id", most_rows)
+    rows = docs.select(F.col(id_col).alias("_id"), raw(text_col).alias("_text")).join(chosen, "_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

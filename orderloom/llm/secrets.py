@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import text_of
+from orderloom.llm.common import sample, text_of
 
 # --- fixed values: kinds, patterns and least lengths -------------------------
 ASSIGN = (
@@ -152,24 +152,23 @@ def train(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    random_docs: int = 5_000,
+    random_docs: int = 60_000,
     ordinary_docs: int = 2_000,
     least_word: int = 6,
     weight: float = 20.0,
 ) -> Models:
     """Fit both models on labelled samples.
 
-    Random strings are the values found by the fixed patterns in at most
+    Random strings are the values found by the fixed patterns in about
     ``random_docs`` documents, ordinary identifiers the words of at least
-    ``least_word`` characters in at most ``ordinary_docs`` documents without a find,
-    both in order of the id's hash. Without any sample both models are uniform or one is, and few
+    ``least_word`` characters in those of about ``ordinary_docs`` documents that
+    are without a find, both chosen by the id's hash. Without any sample both models are uniform or one is, and few
     candidates or none pass the threshold.
     """
     rows = docs.select(id_col, text_col)
-    order = F.xxhash64(id_col)
     has = F.col("_base")
-    likely = rows.where(_has_any(text_of(text_col)))
-    some = with_base_spans(likely.orderBy(order, id_col).limit(random_docs), text_col)
+    likely = sample(rows, id_col, random_docs).where(_has_any(text_of(text_col)))
+    some = with_base_spans(likely, text_col)
     span = F.struct(F.col("x.start").alias("a"), (F.col("x.end") - F.col("x.start")).alias("n"))
     values = (
         some.where(F.size(has) > 0)
@@ -182,7 +181,7 @@ def train(
         )
         .where(F.length("s") >= 16)
     )
-    clean = rows.orderBy(order, id_col).limit(ordinary_docs).where(~_has_any(text_of(text_col)))
+    clean = sample(rows, id_col, ordinary_docs).where(~_has_any(text_of(text_col)))
     words = F.regexp_extract_all(text_of(text_col), F.lit(rf"[A-Za-z0-9+/_=-]{{{least_word},}}"), F.lit(0))
     ordinary = clean.select(F.explode(words).alias("s"))
     random_pairs, random_first = _counts(values)

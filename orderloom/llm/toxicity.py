@@ -38,7 +38,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from orderloom.llm.common import text_of
+from orderloom.llm.common import sample, text_of
 
 TOKEN = re.compile(r"\w+|[.!?\n]+")
 _END = frozenset(".!?\n")
@@ -306,9 +306,9 @@ def train(
     text_col: str = "text",
     label_col: str = "toxic",
     most_rows: int = 6_000,
-    most_chars: int = 20_000_000,
+    most_chars: int = 12_000_000,
 ) -> Model:
-    """Fit on labelled rows that ``learn`` allows: at most ``most_rows`` of them, in order of
+    """Fit on labelled rows that ``learn`` allows: at most ``most_rows`` of them, chosen by
     the id's hash, and of these as many as have ``most_chars`` characters together.
 
     Without labelled rows every word has the prior's score.
@@ -316,10 +316,9 @@ def train(
     known = labels.where(learn & F.col(label_col).isNotNull()).select(
         F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")
     )
-    order = F.xxhash64("_id")
-    sample = known.orderBy(order, "_id").limit(most_rows)
+    chosen = sample(known, "_id", most_rows)
     rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
-    found = rows.join(sample, "_id").withColumn("_n", F.length("_text"))
+    found = rows.join(chosen, "_id").withColumn("_n", F.length("_text"))
     found = found.withColumn("_order", F.xxhash64("_id"))
     texts, ys, chars, same = [], [], 0, {}
     for row in found.orderBy("_order", "_id").limit(most_rows).toLocalIterator():
