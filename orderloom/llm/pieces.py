@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import functools
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -40,7 +41,7 @@ FILE = "piece_bpe_32k.model"
 SPACE_MARK = "▁"
 #: What an unknown character costs beyond the worst piece, and piece kinds of the format.
 UNKNOWN_COST, NORMAL, BYTE, USER = 10.0, 1, 6, 4
-REMEMBERED = 250_000
+REMEMBERED = 700_000
 
 
 class Pieces:
@@ -72,37 +73,36 @@ class Pieces:
 
     def segment(self, text: str) -> tuple[list[int], float]:
         """Ids and score of the best segmentation; unknown characters become their bytes."""
-        n, normal = len(text), self.normal
-        best: list[float] = [0.0] * (n + 1)
-        back: list[tuple[int, int]] = [(0, -1)] * (n + 1)
+        n, normal, unknown = len(text), self.normal, self.unknown
+        best = [0.0] * (n + 1)
+        back, taken = [0] * (n + 1), [-1] * (n + 1)  # length and id of the last piece
         done = 0
-
-        def close(upto: int) -> None:
-            """Let an unknown character end at each position up to ``upto``."""
-            nonlocal done
-            while done < upto:
+        for last, (length, score, piece) in self._automaton.iter(text) if normal else ():
+            while done < last:  # an unknown character may end at each position passed
                 done += 1
                 if text[done - 1] not in normal:
-                    score = best[done - 1] + self.unknown
-                    if not back[done][0] or score > best[done]:
-                        best[done], back[done] = score, (1, -1)
-
-        for last, (length, score, piece) in self._automaton.iter(text) if normal else ():
-            close(last)
+                    other = best[done - 1] + unknown
+                    if not back[done] or other > best[done]:
+                        best[done], back[done], taken[done] = other, 1, -1
             end = last + 1
             score += best[end - length]
-            if not back[end][0] or score > best[end] or (score == best[end] and length > back[end][0]):
-                best[end], back[end] = score, (length, piece)
-        close(n)
+            before = back[end]
+            if not before or score > best[end] or (score == best[end] and length > before):
+                best[end], back[end], taken[end] = score, length, piece
+        while done < n:
+            done += 1
+            if text[done - 1] not in normal:
+                other = best[done - 1] + unknown
+                if not back[done] or other > best[done]:
+                    best[done], back[done], taken[done] = other, 1, -1
         ids: list[int] = []
         at = n
         while at:
-            length, piece = back[at]
-            if piece >= 0:
-                ids.append(piece)
+            if taken[at] >= 0:
+                ids.append(taken[at])
             else:
                 ids += [self.bytes.get(b, 0) for b in reversed(text[at - 1].encode())]
-            at -= length
+            at -= back[at]
         return ids[::-1], best[n]
 
     def encode(self, text: str) -> tuple[bytes, float]:
@@ -115,7 +115,7 @@ class Pieces:
             found = known.get(part)
             if found is None:
                 ids, score = self.segment(part)
-                found = (np.array(ids, "<u4").tobytes(), score)
+                found = (struct.pack(f"<{len(ids)}I", *ids), score)
                 if len(known) >= REMEMBERED:
                     known.clear()
                 if len(part) < 100:
