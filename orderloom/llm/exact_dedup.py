@@ -64,6 +64,10 @@ def _maybe_repeated(rows: DataFrame, hashes: int, max_bits: int) -> tuple[Column
     return test(packed), bits
 
 
+def _order(id_col: str) -> Column:
+    return F.struct((-F.col("_chars")).alias("c"), F.col(id_col).alias("i"), F.col("_row").alias("r"))
+
+
 def exact_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -104,8 +108,7 @@ def exact_duplicates(
         F.col("_sha").alias("text_sha256"),
     )
     some = flagged.where("_maybe").drop("_maybe")
-    order = F.struct((-F.col("_chars")).alias("c"), F.col(id_col).alias("i"), F.col("_row").alias("r"))
-    best = some.groupBy("_sha").agg(F.min(order).alias("_best"), F.count("*").alias("_n"))
+    best = some.groupBy("_sha").agg(F.min(_order(id_col)).alias("_best"), F.count("*").alias("_n"))
     compared = some.join(best, "_sha").select(
         *carried,
         F.col("_best.i").alias("keep_id"),
@@ -116,14 +119,32 @@ def exact_duplicates(
     return alone.unionByName(compared)
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns, whatever those are called."""
+def one_of_each(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    hashes: int = 3,
+    max_bits: int = MAX_BITS,
+) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns, whatever those are called.
+
+    Rows are compared without their texts; what stays is then found by its row
+    number, so that no task receives the texts of a whole group of copies.
+    """
+    text = text_of(text_col)
     packed = docs.select(
         F.struct(*docs.columns).alias("_doc"),
         F.col(id_col).alias("_id"),
-        F.col(text_col).alias("_text"),
+        F.monotonically_increasing_id().alias("_row"),
+        F.length(text).alias("_chars"),
+        F.sha2(F.regexp_replace(text, f"{SPACE}+", ""), 256).alias("_sha"),
     )
-    return exact_duplicates(packed, "_id", "_text").where("kept").select("_doc.*")
+    rows = store(packed, "digests")
+    maybe, _ = _maybe_repeated(rows.select("_sha"), hashes, max_bits)
+    flagged = rows.withColumn("_maybe", maybe)
+    best = flagged.where("_maybe").groupBy("_sha").agg(F.min(_order("_id")).alias("_best"))
+    stay = flagged.where("_maybe").join(best.select(F.col("_best.r").alias("_row")), "_row", "left_semi")
+    return flagged.where(~F.col("_maybe")).select("_doc.*").unionByName(stay.select("_doc.*"))
 
 
 #: The same in DuckDB's SQL.

@@ -29,6 +29,18 @@ def test_exact_duplicates(docs, doc_rows, max_bits):
     assert Counter(map(tuple, got.collect())) == brute_exact(doc_rows)
 
 
+@pytest.mark.parametrize("max_bits", [1 << 15, exact_dedup.MAX_BITS])
+def test_one_of_each_joins_rows_by_number(docs, doc_rows, max_bits):
+    """Texts of a group of copies don't meet by digest."""
+    got = exact_dedup.one_of_each(docs, max_bits=max_bits)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins and not [line for line in joins if "_sha" in line]
+    kept = [(r[0], r[4]) for r in brute_exact(doc_rows).elements() if r[3]]
+    sha = lambda t: hashlib.sha256(re.sub(r"[\x20\x09-\x0D]", "", t or "").encode()).hexdigest()
+    assert Counter((r.doc_id, sha(r.text)) for r in got.collect()) == Counter(kept)
+
+
 def test_full_filter_changes_nothing(docs, doc_rows, monkeypatch):
     """With every bit set all rows are compared; the result is the same."""
     monkeypatch.setattr(
