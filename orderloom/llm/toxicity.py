@@ -246,7 +246,9 @@ def pair_marginals(
     return (cells / cells.sum(axis=0)).sum(axis=1).reshape(2, 2)
 
 
-def fit(documents: list[list[str]], labels: list[int], steps: int = 80) -> Model:
+def fit(
+    documents: list[list[str]], labels: list[int], steps: int = 80, most_weight: int = WEIGHT_DOCUMENTS
+) -> Model:
     """Train on documents of tokens; the gradient is observed less expected counts."""
     chosen = one_of_each(documents)
     documents, labels = [documents[i] for i in chosen], [labels[i] for i in chosen]
@@ -254,8 +256,8 @@ def fit(documents: list[list[str]], labels: list[int], steps: int = 80) -> Model
     lexicon = {w for w, x in found.items() if x > 0}
     words = _bins(found)
     # the evidence comes from all documents; so many of either label teach the few weights
-    toxic = [d for d, y in zip(documents, labels, strict=True) if y][:WEIGHT_DOCUMENTS]
-    clean = [d for d, y in zip(documents, labels, strict=True) if not y][:WEIGHT_DOCUMENTS]
+    toxic = [d for d, y in zip(documents, labels, strict=True) if y][:most_weight]
+    clean = [d for d, y in zip(documents, labels, strict=True) if not y][:most_weight]
     rows = _Rows(words)
     chains = Chains(toxic + clean, rows)
     table = rows.table()
@@ -307,9 +309,11 @@ def train(
     label_col: str = "toxic",
     most_rows: int = 6_000,
     most_chars: int = 12_000_000,
+    most_weight: int = WEIGHT_DOCUMENTS,
 ) -> Model:
     """Fit on labelled rows that ``learn`` allows: at most ``most_rows`` of them, chosen by
-    the id's hash, and of these as many as have ``most_chars`` characters together.
+    the id's hash, and of these as many as have ``most_chars`` characters together; a text
+    that doesn't fit is skipped. ``most_weight`` documents of either label teach the weights.
 
     Without labelled rows every word has the prior's score.
     """
@@ -323,11 +327,11 @@ def train(
     texts, ys, chars, same = [], [], 0, {}
     for row in found.orderBy("_order", "_id").limit(most_rows).toLocalIterator():
         if chars + row._n > most_chars:
-            break
+            continue
         chars += row._n
         texts.append([same.setdefault(w, w) for w in tokens_of(row._text)])
         ys.append(int(bool(row._label)))
-    return fit(texts, ys)
+    return fit(texts, ys, most_weight=most_weight)
 
 
 def tag(model: Model, texts: list[str], rows: _Rows) -> list[tuple[float, list[tuple[int, int]]]]:

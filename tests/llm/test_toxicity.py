@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from orderloom.llm import toxicity
 from orderloom.llm.common import crc_mod
+from pyspark.sql import functions as F
 
 
 def test_marginals_match_enumeration():
@@ -73,6 +74,20 @@ def test_held_out_documents_and_spans(spark, no_docs, labelled):
     assert toxicity.score(no_docs, model).count() == 0
 
 
+def test_a_long_labelled_text_is_skipped(spark, labelled):
+    """The first text in the order of training is longer than all that may be read."""
+    docs = spark.createDataFrame([(i, t) for i, t, _, _ in labelled[:900]], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y, _ in labelled[:900]], "doc_id long, toxic int")
+    first = docs.orderBy(F.xxhash64("doc_id"), "doc_id").first().doc_id
+    long = F.when(F.col("doc_id") == first, F.repeat(F.lit("plain "), 200_000)).otherwise(F.col("text"))
+    docs = docs.withColumn("text", long)
+    model = toxicity.train(docs, labels, F.lit(True), most_chars=1_000_000)
+    assert any(r.score >= 0.7 for r in toxicity.score(docs, model).collect())
+    # the weights' sample is a parameter
+    few = toxicity.train(docs, labels, F.lit(True), most_chars=1_000_000, most_weight=20)
+    assert not np.array_equal(few.own, model.own)
+
+
 def test_odd_texts_and_no_labels(spark, docs, doc_rows, no_docs):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.train(docs, labels, crc_mod("doc_id", 3) != 1)
