@@ -10,10 +10,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm import (
+    curriculum,
+    divergence,
     exact_dedup,
     html_text,
     lm,
     packing,
+    periodic,
     pieces,
     quality_model,
     quality_rules,
@@ -21,7 +24,7 @@ from orderloom.llm import (
     simhash,
     toxicity,
 )
-from orderloom.llm.common import crc_mod, table
+from orderloom.llm.common import SPACE, crc_mod, table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -117,6 +120,53 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_curriculum(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text", "source")
+    return curriculum.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "position")
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) where a tenth of the texts, by the id's crc32 h, repeat: from word
+    a = g % n on, the p = 1 + (n - a) // (3 + g % 8) words there over and over (g = h // 10)."""
+    h = crc_mod("doc_id", 1 << 32)
+    words = F.filter(F.split(text_of(), f"{SPACE}+"), lambda w: w != "")
+    some = docs.withColumns({"_h": h, "_words": F.when(h % 10 == 0, words)})
+    g, n = F.floor(F.col("_h") / 10), F.size("_words")
+    some = some.withColumn("_a", F.when(n > 0, g % n).cast("int"))
+    kinds = (3 + g % 8).cast("int")
+    some = some.withColumn("_p", (1 + F.floor((n - F.col("_a")) / kinds)).cast("int"))
+    part = F.slice("_words", F.col("_a") + 1, F.col("_p"))
+    often = (F.ceil((n - F.col("_a")) / F.col("_p"))).cast("int")
+    rest = F.slice(F.flatten(F.array_repeat(part, often)), F.lit(1), n - F.col("_a"))
+    text = F.array_join(F.concat(F.slice("_words", F.lit(1), F.col("_a")), rest), " ")
+    return some.select("doc_id", F.when(F.col("_p").isNotNull(), text).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    found = periodic.runs(planted(docs))
+
+    def greater(best: Column, x: Column) -> Column:
+        better = x["length"] * best["period"] > best["length"] * x["period"]
+        return F.when(best.isNull() | better, x).otherwise(best)
+
+    none = F.lit(None).cast(periodic.RUN)
+    found = found.withColumn("_best", F.aggregate("runs", none, greater))
+    line = lambda x: F.concat(F.concat_ws(",", x["start"], x["length"], x["period"]), F.lit("\n"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col("_best")[c].alias(c) for c in periodic.RUN.names],
+        F.floor(1000 * F.col("_best.length") / F.col("_best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents", "text", "lang", "source"))
+
+
 def find_package(spark: SparkSession) -> None:
     """Let Python workers import this package where it is used from a checkout."""
     env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
@@ -145,9 +195,17 @@ def queries() -> dict[str, Query]:
         op8_html_text,
         op9_pieces,
         op10_simhash,
+        op11_curriculum,
+        op12_periodic_runs,
+        op13_source_divergence,
     )
     return {q.__name__: _prepared(q) for q in all_queries}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": exact_dedup.SQL, "op6_quality_rules": quality_rules.SQL}
+    return {
+        "op4_exact_dedup": exact_dedup.SQL,
+        "op6_quality_rules": quality_rules.SQL,
+        "op11_curriculum": curriculum.SQL,
+        "op13_source_divergence": divergence.SQL,
+    }
