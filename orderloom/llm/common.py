@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderloom.session import shared_dir
@@ -49,3 +51,23 @@ def sample(df: DataFrame, id_col: str, rows: int) -> DataFrame:
     if total <= rows:
         return df
     return df.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 40)) < int((1 << 40) * rows / total))
+
+
+def numbered(rows: DataFrame, *keys: str, per_task: int = 100_000) -> DataFrame:
+    """``rows`` with ``number``: the place from 0 in the order of ``keys``, NULL last. Keys are distinct.
+
+    Rows are range-partitioned and numbered within their partition; the driver
+    sees the partitions' sizes only.
+    """
+    parts = max(1, math.ceil(rows.count() / per_task))
+    order = [F.col(key).asc_nulls_last() for key in keys]
+    ranged = rows.repartitionByRange(parts, *order) if parts > 1 else rows.coalesce(1)
+    ranged = store(ranged.withColumn("_part", F.spark_partition_id()), "ranged")
+    sizes = dict(ranged.groupBy("_part").count().collect())
+    before, start = 0, []
+    for part in sorted(sizes):
+        start += [F.lit(part), F.lit(before).cast("long")]
+        before += sizes[part]
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
+    offset = F.create_map(*start)[F.col("_part")] if start else F.lit(0)
+    return ranged.withColumn("number", (place + offset).cast("long")).drop("_part")

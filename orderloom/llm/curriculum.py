@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import NOT_SPACE, store, text_of
+from orderloom.llm.common import NOT_SPACE, numbered, store, text_of
 
 #: Items that one prefix of the hash holds on average at most, and rows alike kept in one item.
 LEAF, ALIKE = 1024, 1 << 16
@@ -73,26 +73,6 @@ def words_in(text_col: str) -> Column:
     return F.regexp_count(text_of(text_col), F.lit(f"{NOT_SPACE}+")).cast("long")
 
 
-def _numbered(rows: DataFrame, key: str) -> DataFrame:
-    """``rows`` with ``number``: the place from 0 by ``key``, NULL last. Keys are distinct.
-
-    Rows are range-partitioned and numbered within their partition; the driver
-    sees the partitions' sizes only.
-    """
-    parts = max(1, math.ceil(rows.count() / PER_TASK))
-    order = F.col(key).asc_nulls_last()
-    ranged = rows.repartitionByRange(parts, order) if parts > 1 else rows.coalesce(1)
-    ranged = store(ranged.withColumn("_part", F.spark_partition_id()), "mix-ranged")
-    sizes = dict(ranged.groupBy("_part").count().collect())
-    before, start = 0, []
-    for part in sorted(sizes):
-        start += [F.lit(part), F.lit(before).cast("long")]
-        before += sizes[part]
-    place = F.row_number().over(Window.partitionBy("_part").orderBy(order)) - 1
-    offset = F.create_map(*start)[F.col("_part")] if start else F.lit(0)
-    return ranged.withColumn("number", place + offset).drop("_part")
-
-
 def targets(sources: DataFrame, schedules: Sequence[Schedule], total: int | None, most_passes: int) -> DataFrame:
     """``sources`` (source, source_size, ...) with kind, weight, target and limit (whole words).
 
@@ -100,9 +80,9 @@ def targets(sources: DataFrame, schedules: Sequence[Schedule], total: int | None
     held there and the rest is shared anew; a round is one aggregation, and the
     set of those held only grows.
     """
-    numbered = _numbered(sources, "source").withColumn("kind", (F.col("number") % len(schedules)).cast("int"))
+    ranked = numbered(sources, "source", per_task=PER_TASK).withColumn("kind", (F.col("number") % len(schedules)).cast("int"))
     weights = F.array(*[F.lit(s.weight()) for s in schedules])
-    weighed = store(numbered.withColumn("weight", F.get(weights, F.col("kind"))), "mix-sources")
+    weighed = store(ranked.withColumn("weight", F.get(weights, F.col("kind"))), "mix-sources")
     sums = weighed.agg(F.sum("source_size"), F.sum("weight")).first()
     free, weight = total if total is not None else sums[0] or 0, sums[1] or 0.0
     whole, held = free, 0

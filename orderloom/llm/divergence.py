@@ -20,13 +20,14 @@ terms, which tasks add up into one number per pair.
 
 from __future__ import annotations
 
-import re
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,37 +36,72 @@ from orderloom.llm.common import raw, store
 #: Documents of a language that a term must occur in, and ranks of the terms' report.
 DOCUMENTS, RANKS = 3, 200
 #: Bytes of the shortest prefixes; each level has twice as many.
-FIRST_PREFIX = 4
+FIRST_PREFIX = 6
 SCALE = 1_000_000_000
-_TERM = re.compile(rb"[a-z\x80-\xff]+")
-#: Distinct entries a task adds up before it sends them on, and pairs of sources likewise.
-_ENTRIES, _PAIRS = 400_000, 1 << 20
+#: Bytes of terms: letters A-Z, lower-cased, and all beyond ASCII; the others separate them.
+_TO_TERMS = bytes(i if i > 127 else (i | 32 if chr(i).isalpha() else 32) for i in range(256))
+#: How often a group has a term, as tasks pass it on.
+_ENTRY = np.dtype([("g", "<i8"), ("n", "<i8")])
+#: Distinct terms, and terms of documents, of one block; pairs of sources added up at once.
+_ENTRIES, _WAITING, _PAIRS = 200_000, 1_000_000, 1 << 20
 _MAX_BITS, _BUCKET = 1 << 27, 1 << 15
-#: Groups, and bytes of their names, up to which their table is broadcast.
-BROADCAST, BROADCAST_BYTES = 50_000, 4 << 20
-_DOC = "lang string, source string, terms binary, counts binary"
+#: Groups at most: four numbers of each are sent to the tasks, and every pair of a language is a row.
+MOST_GROUPS = 1 << 20
+_BLOCK = "lang string, sources array<string>, source binary, size binary, terms binary, at binary, n binary"
 
 
-def _terms(docs: DataFrame, text_col: str) -> DataFrame:
-    """Per document its distinct terms, joined by a space, and their counts, 4 bytes each."""
+class _Block:
+    """Documents of one language: their distinct terms once, and where each document has them."""
+
+    def __init__(self, lang: str):
+        self.lang = lang
+        self.terms: dict[bytes, int] = defaultdict(count().__next__)
+        self.sources: dict[str, int] = {}
+        self.source, self.size, self.at, self.n = [], [], [], []
+        self.total = 0
+
+    def add(self, source: str, text: bytes) -> None:
+        found = Counter(text.translate(_TO_TERMS).split())
+        self.source.append(self.sources.setdefault(source, len(self.sources)))
+        self.size.append(len(found))
+        self.at.append(np.fromiter(map(self.terms.__getitem__, found), "<i4", len(found)))
+        self.n.append(np.fromiter(found.values(), "<i4", len(found)))
+        self.total += len(found)
+
+    def full(self) -> bool:
+        return self.total >= _WAITING or len(self.terms) >= _ENTRIES
+
+    def row(self) -> pa.RecordBatch:
+        numbers = [np.array(x, "<i4") for x in (self.source, self.size)]
+        at, n = (np.concatenate(x).astype("<i4") for x in (self.at, self.n))
+        blobs = [numbers[0], numbers[1], b" ".join(self.terms), at, n]
+        arrays = [pa.array([self.lang], pa.string()), pa.array([list(self.sources)], pa.list_(pa.string()))]
+        arrays += [pa.array([x if isinstance(x, bytes) else x.tobytes()], pa.binary()) for x in blobs]
+        return pa.RecordBatch.from_arrays(arrays, names=["lang", "sources", "source", "size", "terms", "at", "n"])
+
+
+def _blocks(docs: DataFrame) -> DataFrame:
+    """The terms of ``docs`` (lang, source, text), in blocks of documents of a language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_blocks: dict[str, _Block] = {}
         for batch in batches:
-            for start in range(0, batch.num_rows, 1000):
-                some = batch.slice(start, 1000)
-                terms, counts = [], []
-                for text in some.column(2):
-                    found = Counter(_TERM.findall(text.as_py().lower()))
-                    terms.append(b" ".join(found))
-                    counts.append(np.fromiter(found.values(), "<u4", len(found)).tobytes())
-                arrays = [some.column(0), some.column(1), pa.array(terms, pa.binary()), pa.array(counts, pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, names=["lang", "source", "terms", "counts"])
+            langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for lang, source, text in zip(langs, sources, batch.column(2), strict=True):
+                block = open_blocks.get(lang) or open_blocks.setdefault(lang, _Block(lang))
+                block.add(source, text.as_py())
+                if block.full():
+                    yield open_blocks.pop(lang).row()
+                elif len(open_blocks) > 1 and sum(b.total for b in open_blocks.values()) >= 2 * _WAITING:
+                    yield from (b.row() for b in open_blocks.values())
+                    open_blocks = {}
+        yield from (b.row() for b in open_blocks.values())
 
-    return docs.select("lang", "source", raw(text_col).alias("text")).mapInArrow(run, _DOC)
+    return docs.select("lang", "source", raw("text").alias("text")).mapInArrow(run, _BLOCK)
 
 
-def _place(lang: str, prefix: bytes, bits: int) -> int:
-    return zlib.crc32(prefix, zlib.crc32(lang.encode() + b"\0")) % bits
+def _numbers_of(blob: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(blob.as_py(), "<i4").astype(np.int64)
 
 
 def _bitmap(kept: DataFrame) -> np.ndarray:
@@ -85,66 +121,52 @@ def _bitmap(kept: DataFrame) -> np.ndarray:
     return out
 
 
-class _Kept:
-    """Whether a prefix may have stayed; remembers what it was asked."""
-
-    def __init__(self, filled: np.ndarray | None):
-        self.filled, self.known = filled, {}
+def _hits(filled: np.ndarray | None, lang: str, prefixes: list[bytes]) -> np.ndarray:
+    """Which of the prefixes may have stayed."""
+    if filled is None:
+        return np.ones(len(prefixes), bool)
+    start, crc = zlib.crc32(lang.encode() + b"\0"), zlib.crc32
+    at = np.fromiter([crc(p, start) for p in prefixes], np.int64, len(prefixes)) % (8 * len(filled))
+    return (filled[at >> 3] >> (at & 7) & 1).astype(bool)
 
-    def test(self, lang: str, prefix: bytes) -> bool:
-        if self.filled is None:
-            return True
-        known = self.known.setdefault(lang, {})
-        found = known.get(prefix)
-        if found is None:
-            if len(known) >= _ENTRIES:
-                known.clear()
-            at = _place(lang, prefix, 8 * len(self.filled))
-            found = known[prefix] = bool(self.filled[at >> 3] >> (at & 7) & 1)
-        return found
 
+def _prefixes(blocks: DataFrame, length: int, parent: int, above: DataFrame | None, documents: int) -> DataFrame:
+    """(lang, prefix): the prefixes of ``length`` bytes, and shorter terms, in enough documents.
 
-def _prefixes(terms: DataFrame, length: int, parent: int, above: DataFrame | None, documents: int) -> DataFrame:
-    """(lang, prefix): the prefixes of ``length`` bytes, and shorter terms, in enough documents."""
-    spark = terms.sparkSession
-    shared = spark.sparkContext.broadcast(None if above is None else _bitmap(above))
+    Terms shorter than ``parent`` are done with.
+    """
+    shared = blocks.sparkSession.sparkContext.broadcast(None if above is None else _bitmap(above))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, found, size = _Kept(shared.value), {}, 0
-
-        def out() -> pa.RecordBatch:
-            rows = [
-                (lang, prefix, n)
-                for lang, counts in found.items()
-                for prefix, n in counts.items()
-                if kept.test(lang, prefix[:parent])
-            ]
-            columns = list(zip(*rows, strict=True)) or [(), (), ()]
-            kinds = (pa.string(), pa.binary(), pa.int64())
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-            return pa.RecordBatch.from_arrays(arrays, names=["lang", "prefix", "n"])
-
         for batch in batches:
-            for lang, terms in zip(batch.column(0), batch.column(1), strict=True):
-                own = found.setdefault(lang.as_py(), Counter())
-                before = len(own)
-                own.update({t[:length] for t in terms.as_py().split()})
-                size += len(own) - before
-                if size >= _ENTRIES:
-                    yield out()
-                    found, size = {}, 0
-        yield out()
-
-    counted = terms.select("lang", "terms").mapInArrow(run, "lang string, prefix binary, n long")
+            for lang, size, terms, at in zip(*batch.columns, strict=True):
+                lang, terms = lang.as_py(), terms.as_py().split()
+                long = np.flatnonzero(np.fromiter(map(len, terms), np.int64, len(terms)) >= parent)
+                some = [terms[i] for i in long.tolist()]
+                hit = _hits(shared.value, lang, [t[:parent] for t in some])
+                known: dict[bytes, int] = defaultdict(count().__next__)
+                prefix_of = np.full(len(terms), -1)
+                chosen = [t[:length] for t, h in zip(some, hit.tolist(), strict=True) if h]
+                prefix_of[long[hit]] = np.fromiter(map(known.__getitem__, chosen), np.int64, len(chosen))
+                # a document counts once for each of its distinct prefixes
+                prefix = prefix_of[_numbers_of(at)]
+                size = _numbers_of(size)
+                document = np.repeat(np.arange(len(size)), size)
+                key = np.unique(document[prefix >= 0] * len(known) + prefix[prefix >= 0])
+                n = np.bincount(key % max(len(known), 1), minlength=len(known))
+                arrays = [pa.repeat(pa.scalar(lang, pa.string()), len(n)), pa.array(list(known), pa.binary()), pa.array(n)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["lang", "prefix", "n"])
+
+    counted = blocks.select("lang", "size", "terms", "at").mapInArrow(run, "lang string, prefix binary, n long")
     summed = counted.groupBy("lang", "prefix").agg(F.sum("n").alias("n"))
     return summed.where(F.col("n") >= documents).select("lang", "prefix")
 
 
-def kept_terms(terms: DataFrame, documents: int = DOCUMENTS, first: int = FIRST_PREFIX) -> DataFrame:
+def kept_terms(blocks: DataFrame, documents: int = DOCUMENTS, first: int = FIRST_PREFIX) -> DataFrame:
     """(lang, prefix): the complete terms in at least ``documents`` documents of their language."""
     done, above, parent, length = None, None, 0, first
     while True:
-        level = store(_prefixes(terms, length, parent, above, documents), "divergence-level")
+        level = store(_prefixes(blocks, length, parent, above, documents), "divergence-level")
         # those shorter than the length are complete and need no further level
         own = level.where(F.octet_length("prefix") < length)
         done = own if done is None else done.unionByName(own.where(F.octet_length("prefix") >= parent))
@@ -154,44 +176,117 @@ def kept_terms(terms: DataFrame, documents: int = DOCUMENTS, first: int = FIRST_
         above, parent, length = cut, length, 2 * length
 
 
-def _counts(terms: DataFrame, kept: DataFrame) -> DataFrame:
-    """(lang, source, term, n): occurrences of the kept terms in each group."""
-    shared = terms.sparkSession.sparkContext.broadcast(_bitmap(kept))
+def _lists(counts: np.ndarray, size: np.ndarray) -> pa.Array:
+    """Entries, ``size`` of them per row, as bytes."""
+    offsets = np.append(0, np.cumsum(size * _ENTRY.itemsize)).astype("<i4")
+    return pa.Array.from_buffers(
+        pa.binary(), len(size), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(counts.tobytes())]
+    )
+
+
+def _summed(row: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and total of each row's entries, by row and group."""
+    groups, place = np.unique(entries["g"], return_inverse=True)
+    key = row * max(len(groups), 1) + place
+    order = np.argsort(key)
+    key = key[order]
+    new = np.flatnonzero(np.append(True, np.diff(key) != 0)[: len(key)])
+    out = np.empty(len(new), _ENTRY)
+    out["g"] = entries["g"][order[new]]
+    out["n"] = np.add.reduceat(entries["n"][order], new) if len(new) else 0
+    return key[new] // max(len(groups), 1), out
+
+
+def _group(lang: Column, source: Column, seed: int) -> Column:
+    return F.xxhash64(lang, F.lit(seed), source)
+
+
+def _counts(blocks: DataFrame, kept: DataFrame) -> DataFrame:
+    """(lang, term, entries): how often each group has the kept terms (and a few others), by block.
+
+    ``blocks`` has the number ``groups`` of each of its sources.
+    """
+    shared = blocks.sparkSession.sparkContext.broadcast(_bitmap(kept))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, found, size = _Kept(shared.value), {}, 0
+        for batch in batches:
+            for lang, groups, source, size, terms, at, n in zip(*batch.columns, strict=True):
+                lang, own = lang.as_py(), terms.as_py().split()
+                term = _numbers_of(at)
+                entries = np.empty(len(term), _ENTRY)
+                entries["g"] = np.repeat(np.array(groups.as_py(), np.int64)[_numbers_of(source)], _numbers_of(size))
+                entries["n"] = _numbers_of(n)
+                hit = _hits(shared.value, lang, own)[term]
+                term, entries = _summed(term[hit], entries[hit])
+                first = np.flatnonzero(np.append(True, np.diff(term) != 0)[: len(term)])
+                names = pa.array(own, pa.binary()).take(pa.array(term[first]))
+                lists = _lists(entries, np.diff(np.append(first, len(term))))
+                arrays = [pa.repeat(pa.scalar(lang, pa.string()), len(first)), names, lists]
+                yield pa.RecordBatch.from_arrays(arrays, names=["lang", "term", "entries"])
+
+    columns = blocks.select("lang", "groups", "source", "size", "terms", "at", "n")
+    return columns.mapInArrow(run, "lang string, term binary, entries binary")
+
+
+def _merged(counts: DataFrame, kept: DataFrame) -> DataFrame:
+    """(lang, term, x): one row per kept term; x: array of (g, n) of the groups that have it.
+
+    Kept terms come along as entries that count nothing. A term's rows meet in order and
+    are added up as they come, so none of them waits for all others.
+    """
+    mark = np.array([(0, 0)], _ENTRY).tobytes()
+    marks = kept.select("lang", F.col("prefix").alias("term"), F.lit(mark).alias("entries"))
+    rows = counts.unionByName(marks).repartition("lang", "term").sortWithinPartitions("lang", "term")
 
-        def out() -> pa.RecordBatch:
-            rows = [(*group, t, n) for group, counts in found.items() for t, n in counts.items()]
-            columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
-            kinds = (pa.string(), pa.string(), pa.binary(), pa.int64())
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-            return pa.RecordBatch.from_arrays(arrays, names=["lang", "source", "term", "n"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None  # the last term may go on in the next batch
+
+        def reduced(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray]:
+            """First row, place and entries of each term."""
+            lists = batch.column(2)
+            offsets = np.frombuffer(lists.buffers()[1], "<i4")[lists.offset :][: len(lists) + 1]
+            entries = np.frombuffer(lists.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(_ENTRY)
+            change = np.zeros(batch.num_rows, bool)
+            for c in (0, 1):
+                column = batch.column(c)
+                change[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+            term = np.cumsum(change)
+            size = np.diff(offsets) // _ENTRY.itemsize
+            first = np.flatnonzero(np.append(True, change[1:])[: batch.num_rows])
+            return (batch.take(pa.array(first)), *_summed(np.repeat(term, size), entries))
+
+        def out(named: pa.RecordBatch, term: np.ndarray, entries: np.ndarray) -> pa.RecordBatch:
+            size = np.bincount(term, minlength=named.num_rows)
+            chosen = np.bincount(term[entries["n"] == 0], minlength=named.num_rows) > 0
+            own = np.repeat(chosen, size) & (entries["n"] > 0)
+            offsets = np.append(0, np.cumsum((size - 1)[chosen])).astype(np.int32)
+            values = [pa.array(np.ascontiguousarray(entries[c][own])) for c in ("g", "n")]
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(values, ["g", "n"]))
+            mask = pa.array(chosen)
+            arrays = [named.column(0).filter(mask), named.column(1).filter(mask), lists]
+            return pa.RecordBatch.from_arrays(arrays, names=["lang", "term", "x"])
 
         for batch in batches:
-            for lang, source, terms, counts in zip(*batch.columns, strict=True):
-                lang = lang.as_py()
-                own = found.setdefault((lang, source.as_py()), {})
-                before = len(own)
-                numbers = np.frombuffer(counts.as_py(), "<u4").tolist()
-                for t, n in zip(terms.as_py().split(), numbers, strict=True):
-                    if kept.test(lang, t):
-                        own[t] = own.get(t, 0) + n
-                size += len(own) - before
-                if size >= _ENTRIES:
-                    yield out()
-                    found, size = {}, 0
-        yield out()
-
-    found = terms.mapInArrow(run, "lang string, source string, term binary, n long")
-    found = found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
-    return found.join(kept.select("lang", F.col("prefix").alias("term")), ["lang", "term"], "left_semi")
-
-
-def _p(count: Column, total: Column, kept: Column) -> Column:
-    """1 + floor(SCALE * (count + 1) / (total + kept)), exactly."""
+            if not batch.num_rows:
+                continue
+            batch = batch if last is None else pa.concat_batches([last, batch])
+            named, term, entries = reduced(batch)
+            cut = int(np.searchsorted(term, named.num_rows - 1))
+            end = named.slice(named.num_rows - 1)
+            tail = [end.column(0), end.column(1), _lists(entries[cut:], np.array([len(entries) - cut]))]
+            last = pa.RecordBatch.from_arrays(tail, schema=batch.schema)
+            if cut:
+                yield out(named.slice(0, named.num_rows - 1), term[:cut], entries[:cut])
+        if last is not None:
+            yield out(*reduced(last))
+
+    return rows.mapInArrow(run, "lang string, term binary, x array<struct<g: long, n: long>>")
+
+
+def _p(count: Column, total: Column) -> Column:
+    """1 + floor(SCALE * (count + 1) / total), exactly."""
     whole = (count + 1).cast("decimal(19,0)") * F.lit(SCALE).cast("decimal(10,0)")
-    return 1 + F.call_function("div", whole, (total + kept).cast("decimal(19,0)"))
+    return 1 + F.call_function("div", whole, total.cast("decimal(19,0)"))
 
 
 def _gap(p: Column, q: Column) -> Column:
@@ -199,58 +294,116 @@ def _gap(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), q)
 
 
-def _shared(rows: DataFrame) -> DataFrame:
-    """(lang, a, b, more): what the terms that two sources share add to their closed sum.
+def _scaled(n: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """1 + floor(SCALE * n / d), exactly for n <= d < 9 * 10^15: three digits at a time."""
+    whole, rest = np.divmod(n, d)
+    for _ in range(3):
+        digits, rest = np.divmod(rest * 1000, d)
+        whole = whole * 1000 + digits
+    return 1 + whole
 
-    ``rows`` (lang, term, place, p, base): the groups that have a term, each with
-    its own and its value for terms it hasn't.
-    """
-    each = rows.groupBy("lang", "term").agg(F.collect_list(F.struct("place", "p", "base")).alias("x"))
+
+class _Numbers:
+    """By group: N + V of its own and of its language, and p of terms it hasn't."""
+
+    def __init__(self, groups: DataFrame):
+        columns = groups.select("number", "own", "whole", "base").toPandas().sort_values("number")
+        self.number, self.own, self.whole, self.base = (
+            columns[c].to_numpy(np.int64) for c in ("number", "own", "whole", "base")
+        )
+
+    def of(self, batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        """size of each term's list, and group (its place among all), count, p of each entry."""
+        lists = batch.column("x")
+        size = np.diff(lists.offsets.to_numpy())
+        entries = lists.flatten()
+        group, n = np.searchsorted(self.number, entries.field("g").to_numpy()), entries.field("n").to_numpy()
+        return size, group, n, _scaled(n + 1, self.own[group])
+
+
+def _shared(table: DataFrame, numbers: Callable[[], _Numbers]) -> DataFrame:
+    """(a, b, more): what the terms that two groups share add to their closed sum."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
-        size = 0
-
-        def summed() -> dict[str, list[tuple[np.ndarray, np.ndarray]]]:
-            out = {}
-            for lang, parts in waiting.items():
-                key, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-                total = np.zeros(len(key), np.int64)
-                np.add.at(total, at, np.concatenate([v for _, v in parts]))
-                out[lang] = [(key, total)]
-            return out
-
-        def out() -> Iterator[pa.RecordBatch]:
-            for lang, [(key, total)] in summed().items():
-                names = pa.array([lang] * len(key), pa.string())
-                arrays = [names, pa.array(key >> 32), pa.array(key & 0xFFFFFFFF), pa.array(total)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["lang", "a", "b", "more"])
+        known = numbers()
+        groups = len(known.own)
+        keys, values, waiting = [], [], 0
+        whole = np.zeros(groups**2 if groups**2 <= _PAIRS else 0, np.int64)
+
+        def summed() -> tuple[np.ndarray, np.ndarray]:
+            key, at = np.unique(np.concatenate([*keys, np.zeros(0, np.int64)]), return_inverse=True)
+            total = np.zeros(len(key), np.int64)
+            np.add.at(total, at, np.concatenate([*values, np.zeros(0, np.int64)]))
+            return key, total
+
+        def out(key: np.ndarray, total: np.ndarray) -> pa.RecordBatch:
+            arrays = [pa.array(known.number[key // groups]), pa.array(known.number[key % groups]), pa.array(total)]
+            return pa.RecordBatch.from_arrays(arrays, names=["a", "b", "more"])
 
         for batch in batches:
-            lists = batch.column(1)
-            for i, lang in enumerate(batch.column(0).to_pylist()):
-                own = lists[i].values
-                place, p, base = (own.field(c).to_numpy() for c in ("place", "p", "base"))
-                step = max(1, _PAIRS // len(place))
-                for start in range(0, len(place), step):
-                    s = slice(start, start + step)
-                    more = sum(
-                        sign * ((x[s, None] - y) ** 2 // y)
-                        for sign, x, y in ((1, p, p), (-1, p, base), (-1, base, p), (1, base, base))
-                    )
-                    key = (place[s, None] << 32) | place
-                    waiting.setdefault(lang, []).append((key.ravel(), more.ravel()))
-                    size += key.size
-                    if size > _PAIRS:
-                        waiting = summed()
-                        size = sum(len(x[0][0]) for x in waiting.values())
-                        if size > _PAIRS // 2:
-                            yield from out()
-                            waiting, size = {}, 0
-        yield from out()
-
-    parts = each.select("lang", "x").mapInArrow(run, "lang string, a long, b long, more long")
-    return parts.where("a <> b").groupBy("lang", "a", "b").agg(F.sum("more").alias("more"))
+            size, group, _, p = known.of(batch)
+            start = np.cumsum(size) - size
+            for m in np.unique(size[size > 1]).tolist():
+                rows = start[size == m]
+                step, part = max(1, _PAIRS // m**2), max(1, _PAIRS // m)
+                for i in range(0, len(rows), step):
+                    at = rows[i : i + step, None] + np.arange(m)
+                    g, y = group[at], p[at]
+                    base = known.base[g]
+                    for j in range(0, m, part):
+                        s = (slice(None), slice(j, j + part), None)
+                        here, none = y[s], base[s]
+                        y2, base2 = y[:, None, :], base[:, None, :]
+                        more = (here - y2) ** 2 // y2 - (here - base2) ** 2 // base2
+                        more += (none - base2) ** 2 // base2 - (none - y2) ** 2 // y2
+                        key = (g[s] * groups + g[:, None, :]).ravel()
+                        if len(whole):
+                            np.add.at(whole, key, more.ravel())
+                            continue
+                        keys.append(key)
+                        values.append(more.ravel())
+                        waiting += more.size
+                        if waiting > _PAIRS:
+                            key, total = summed()
+                            keys, values, waiting = [key], [total], len(key)
+                            if waiting > _PAIRS // 2:
+                                yield out(key, total)
+                                keys, values, waiting = [], [], 0
+        if len(whole):
+            key = np.flatnonzero(whole)
+            yield out(key, whole[key])
+        yield out(*summed())
+
+    parts = table.select("x").mapInArrow(run, "a long, b long, more long")
+    return parts.where("a <> b").groupBy("a", "b").agg(F.sum("more").alias("more"))
+
+
+def _above(table: DataFrame, numbers: Callable[[], _Numbers], ranks: int) -> DataFrame:
+    """(g, item, value) of the terms that a group has more often than its language.
+
+    Of each batch only what may be among a group's first ``ranks`` is sent on.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = numbers()
+        for batch in batches:
+            size, group, n, p = known.of(batch)
+            if not len(n):
+                continue
+            start = np.cumsum(size) - size
+            q = _scaled(np.add.reduceat(n, start) + 1, known.whole[group[start]])
+            term, q = np.repeat(np.arange(len(size)), size), np.repeat(q, size)
+            value = (p - q) ** 2 // q
+            at = np.flatnonzero(p > q)
+            at = at[np.lexsort((-value[at], group[at]))]
+            first = np.flatnonzero(np.append(True, np.diff(group[at]) != 0)[: len(at)])
+            length = np.diff(np.append(first, len(at)))
+            last = value[at[first + np.minimum(length, ranks) - 1]]
+            at = at[value[at] >= np.repeat(last, length)]
+            arrays = [pa.array(known.number[group[at]]), batch.column("term").take(pa.array(term[at])), pa.array(value[at])]
+            yield pa.RecordBatch.from_arrays(arrays, names=["g", "item", "value"])
+
+    return table.select("term", "x").mapInArrow(run, "g long, item binary, value long")
 
 
 def audit(
@@ -276,47 +429,55 @@ def audit(
     """
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
     own = docs.select(text(lang_col).alias("lang"), text(source_col).alias("source"), text(text_col).alias("text"))
-    terms = store(_terms(own, "text"), "divergence-terms")
-    kept = store(kept_terms(terms, documents), "divergence-kept")
-    counts = store(_counts(terms, kept), "divergence-counts")
-
-    sizes = kept.groupBy("lang").agg(F.count("*").alias("v"))
-    totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("types"))
-    groups = terms.select("lang", "source").distinct()
-    groups = groups.join(totals, ["lang", "source"], "left").join(sizes, "lang", "left").na.fill(0, ["total", "types", "v"])
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("source")).cast("long")
-    base = F.when(F.col("v") > 0, _p(F.lit(0).cast("long"), F.col("total"), F.col("v"))).otherwise(1)
-    groups = store(groups.withColumns({"place": place, "base": base}), "divergence-groups")
-
-    by_lang = counts.groupBy("lang", "term").agg(F.sum("n").alias("all"))
-    lang_totals = groups.groupBy("lang").agg(F.sum("total").alias("lang_total"), F.max("v").alias("v"))
-    q = by_lang.join(lang_totals, "lang").select("lang", "term", _p(F.col("all"), F.col("lang_total"), F.col("v")).alias("q"))
-    known, size = groups.agg(F.count("*"), F.sum(F.octet_length(F.concat("lang", "source")))).first()
-    few = known <= BROADCAST and (size or 0) <= BROADCAST_BYTES
-    own = counts.join(F.broadcast(groups) if few else groups, ["lang", "source"])
-    own = own.withColumn("p", _p(F.col("n"), F.col("total"), F.col("v")))
-    own = store(own.select("lang", "source", "term", "place", "p", "base"), "divergence-own")
-
-    above = own.join(q, ["lang", "term"]).where("p > q")
-    above = above.select("lang", "source", F.col("term").alias("item"), _gap(F.col("p"), F.col("q")).alias("value"))
-    order = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item")
-    top = above.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= ranks)
-
-    held = own.groupBy("lang", "place", "base", "p").agg(F.count("*").alias("times"))
-    ends = groups.select("lang", F.col("place").alias("b"), F.col("base").alias("base_b"))
-    # one row per pair and distinct count: what a's terms give where b has none, and the other way
-    closed = held.join(ends, "lang").where("place <> b").groupBy("lang", F.col("place").alias("a"), "b").agg(
-        F.sum(F.col("times") * _gap(F.col("p"), F.col("base_b"))).alias("here"),
-        F.sum(F.col("times") * _gap(F.col("base_b"), F.col("p"))).alias("there"),
+    blocks = store(_blocks(own), "divergence-blocks")
+    kept = store(kept_terms(blocks, documents), "divergence-kept")
+    names = store(blocks.select("lang", F.explode("sources").alias("source")).distinct(), "divergence-groups")
+    known, seed = names.count(), 0
+    if known > MOST_GROUPS:
+        raise ValueError(f"{known} groups of language and source; their pairs are too many to write")
+    while True:  # a group's number is a hash; with this seed all are distinct, and none is 0
+        groups = names.withColumn("number", _group(F.col("lang"), F.col("source"), seed))
+        if groups.where("number <> 0").select("number").distinct().count() == known:
+            break
+        seed += 1
+
+    of_group = blocks.withColumn("groups", F.transform("sources", lambda x: _group(F.col("lang"), x, seed)))
+    table = store(_merged(_counts(of_group, kept), kept), "divergence-terms-of-groups")
+
+    often = table.select(F.explode("x").alias("x")).groupBy("x.g", "x.n").agg(F.count("*").alias("times"))
+    often = store(often, "divergence-often")
+    totals = often.groupBy(F.col("g").alias("number")).agg(
+        F.sum(F.col("n") * F.col("times")).alias("total"), F.sum("times").alias("types")
+    )
+    sizes = table.groupBy("lang").agg(F.count("*").alias("v"))
+    groups = groups.join(totals, "number", "left").join(sizes, "lang", "left").na.fill(0, ["total", "types", "v"])
+    whole = groups.groupBy("lang").agg((F.sum("total") + F.max("v")).alias("whole"))
+    groups = groups.join(whole, "lang").withColumn("own", F.col("total") + F.col("v"))
+    base = F.when(F.col("v") > 0, _p(F.lit(0).cast("long"), F.col("own"))).otherwise(1)
+    groups = store(groups.withColumn("base", base), "divergence-numbers")
+    shared = docs.sparkSession.sparkContext.broadcast(_Numbers(groups))
+
+    order = Window.partitionBy("g").orderBy(F.col("value").desc(), "item")
+    top = _above(table, lambda: shared.value, ranks)
+    top = top.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= ranks)
+    top = top.join(groups.select(F.col("number").alias("g"), "lang", "source"), "g")
+
+    one = groups.select(
+        "lang", "source", F.col("number").alias("a"), F.col("base").alias("p"), F.col("types").alias("n"), "v"
     )
-    one = groups.select("lang", F.col("source"), F.col("place").alias("a"), F.col("base").alias("p"), F.col("types").alias("n"), "v")
     two = groups.select(
-        "lang", F.col("source").alias("item"), F.col("place").alias("b"), F.col("base").alias("q"), F.col("types").alias("m")
+        "lang", F.col("source").alias("item"), F.col("number").alias("b"), F.col("base").alias("q"), F.col("types").alias("m")
+    )
+    # one row per pair and distinct count: what a's terms give where b has none, and the other way
+    held = often.join(groups.select(F.col("number").alias("g"), "lang", "own"), "g")
+    held = held.select("lang", F.col("g").alias("a"), _p(F.col("n"), F.col("own")).alias("x"), "times")
+    closed = held.join(two.select("lang", "b", "q"), "lang").where("a <> b").groupBy("a", "b").agg(
+        F.sum(F.col("times") * _gap(F.col("x"), F.col("q"))).alias("here"),
+        F.sum(F.col("times") * _gap(F.col("q"), F.col("x"))).alias("there"),
     )
-    pairs = one.join(two, "lang").where("a <> b")
-    pairs = pairs.join(closed.select("lang", "a", "b", "here"), ["lang", "a", "b"], "left")
-    back = closed.select("lang", F.col("a").alias("b"), F.col("b").alias("a"), "there")
-    pairs = pairs.join(back, ["lang", "a", "b"], "left").join(_shared(own.select("lang", "term", "place", "p", "base")), ["lang", "a", "b"], "left")
+    back = closed.select(F.col("a").alias("b"), F.col("b").alias("a"), "there")
+    pairs = one.join(two, "lang").where("a <> b").join(closed.select("a", "b", "here"), ["a", "b"], "left")
+    pairs = pairs.join(back, ["a", "b"], "left").join(_shared(table, lambda: shared.value), ["a", "b"], "left")
     pairs = pairs.na.fill(0, ["here", "there", "more"])
     neither = (F.col("v") - F.col("n") - F.col("m")) * _gap(F.col("p"), F.col("q"))
     value = F.when(F.col("v") > 0, F.col("here") + F.col("there") + F.col("more") + neither).otherwise(0)

@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from orderloom.llm import divergence
 
@@ -62,8 +63,8 @@ def rows():
 def test_against_brute_force(spark, rows, docs, monkeypatch, documents, entries, pairs):
     """Also with tables that fill up and pairs in several blocks."""
     monkeypatch.setattr(divergence, "_ENTRIES", entries)
+    monkeypatch.setattr(divergence, "_WAITING", entries)
     monkeypatch.setattr(divergence, "_PAIRS", pairs)
-    monkeypatch.setattr(divergence, "BROADCAST", 0 if pairs == 7 else 1000)
     frame = spark.createDataFrame(rows, "text string, lang string, source string").repartition(5)
     got = divergence.audit(frame, documents=documents, ranks=20)
     assert Counter(map(tuple, got.collect())) == brute(rows, documents, 20)
@@ -76,13 +77,13 @@ def test_documents_with_other_columns(docs, doc_rows):
 
 def test_kept_terms_level_by_level(spark, rows, docs):
     frame = spark.createDataFrame(rows, "text string, lang string, source string").na.fill("")
-    terms = divergence._terms(frame, "text")
+    blocks = divergence._blocks(frame)
     want = set()
     for lang in {r[1] or "" for r in rows}:
         found = Counter(t for r in rows if (r[1] or "") == lang for t in set(TERM.findall(lower(r[0] or ""))))
         want |= {(lang, t.encode()) for t, n in found.items() if n >= 3}
     for first in (1, 4, 64):
-        got = divergence.kept_terms(terms, 3, first).collect()
+        got = divergence.kept_terms(blocks, 3, first).collect()
         assert len(got) == len(want) and {(r[0], bytes(r[1])) for r in got} == want
 
 
@@ -90,9 +91,11 @@ def test_whole_numbers(spark):
     """Counts beyond 2^53 / 10^9 lose nothing."""
     from pyspark.sql import functions as F
 
-    n, total = 3_333_333_333_333_333, 9_999_999_999_999_999
-    got = spark.range(1).select(divergence._p(F.lit(n), F.lit(total), F.lit(7))).first()[0]
-    assert got == 1 + 1_000_000_000 * (n + 1) // (total + 7)
+    n, total = 3_333_333_333_333_333, 8_999_999_999_999_992
+    got = spark.range(1).select(divergence._p(F.lit(n), F.lit(total + 7))).first()[0]
+    want = 1 + 1_000_000_000 * (n + 1) // (total + 7)
+    assert got == want
+    assert divergence._scaled(np.array([n + 1]), np.array([total + 7])).tolist() == [want]
 
 
 def test_empty_table(no_docs):
