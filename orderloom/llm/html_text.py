@@ -42,11 +42,13 @@ RAW = "script|style|noscript|template|iframe|svg|math|textarea|object"
 CLOSED_BY_NEXT = frozenset("p li dd dt tr td th option".split())
 # --- end of fixed values --------------------------------------------------------
 
+#: What a tag holds: a quote opens a value only after an equals sign, elsewhere it is a character.
+_INSIDE = r"(?:[^<>=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+"
 _ITEM = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<({RAW})\b(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
+    rf"|<({RAW})\b{_INSIDE}>.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z|(?=<))"
+    rf"|<(/?)([A-Za-z][^\s/>]*)({_INSIDE})(?:>|\Z|(?=<))"
     r"|([^<]+|<)",
     re.S | re.I,
 )

@@ -84,3 +84,15 @@ def test_odd_pages(spark, model, no_docs):
     assert texts[6] == f"{head}{long_text}{prose}" and texts[7] == "\n\n".join([prose] * 3)
     assert got.count() == len(rows)
     assert html_text.main_text(frame.limit(0), html_text.train(frame.limit(0))).count() == 0
+
+
+def test_a_quote_opens_a_value_only_after_an_equals_sign():
+    model = html_text.Model(1.0, {}, {}, -1.0)
+    page = "<p>one two three</p><a title=don't href='x>y' b=\"it's\">four five six</a><p>it's seven eight</p><p 'odd\">nine ten eleven</p>"
+    got = html_text.extract(page, model)
+    assert got == "one two three\n\nfour five six\n\nit's seven eight\n\nnine ten eleven"
+    open_quote = "<p>one two</p><a title='never closed>three</a><p>four</p>"
+    assert html_text.extract(open_quote, model).startswith("one two")
+    assert html_text.extract("<script a=b'c>x</script><p>text stays</p>", model) == "text stays"
+    slow = "<div " + "a='b " * 20_000
+    assert html_text.extract(slow, model) == ""
