@@ -206,9 +206,8 @@ def pack(
 
         for batch in batches:
             kind = batch.column(0).type
-            columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
             for start in range(0, batch.num_rows, 512):
-                some = zip(*[c[start : start + 512] for c in columns], strict=True)
+                some = zip(*[c.to_pylist() for c in batch.slice(start, 512).columns], strict=True)
                 yield rows(x for row in some for x in packer.add(example(*row)))
         if kind is not None:
             yield rows(packer.finish())

@@ -22,7 +22,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -359,7 +359,7 @@ def tag(model: Model, texts: list[str], rows: _Rows) -> list[tuple[float, list[t
     return list(zip(best.tolist(), spans, strict=True))
 
 
-def _tagged(model: Model, rows: _Rows, texts: list[str]) -> list:
+def _tagged(model: Model, rows: _Rows, texts: Iterable[str]) -> list:
     """``tag`` over about a megabyte at a time."""
     found, part, size = [], [], 0
     for text in texts:
@@ -402,13 +402,14 @@ def score(
 def reject(docs: DataFrame, model: Model, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, with all their columns."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = docs.columns
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("boolean")
+    def clean(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         rows = _Rows(shared.value.words)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(names.index(text_col)).to_pylist()]
-            keep = [s < threshold for s, _ in _tagged(shared.value, rows, texts)]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+        for some in texts:
+            found = _tagged(shared.value, rows, (t.as_py() or "" for t in some))
+            yield pa.array([score < threshold for score, _ in found], pa.bool_())
+        pa.default_memory_pool().release_unused()
 
-    return docs.mapInArrow(run, docs.schema)
+    # only the text goes to Python, and one answer per row comes back
+    return docs.where(clean(F.col(text_col)))

@@ -3,15 +3,16 @@
 import random
 import re
 from collections import defaultdict
+from itertools import combinations
 
 import __spark_entry__ as driver
 import corpus_pipeline
 import public_tokenizers
 import pytest
+from orderloom.llm import near_copies
 from orderloom.llm.queries import find_package
 from tokenizers import Tokenizer
 
-from .test_dedup import brute_components, brute_fingerprint
 
 BAD = ["vile", "nasty", "grim"]
 SECRET = 'token = "0123456789abcdef0123456789abcdef"'
@@ -68,12 +69,16 @@ def test_stages_and_result(spark, folder):
     kept = [tuple(min(g, key=order)) for g in groups.values()]
     assert sorted(seen["exact_dedup"], key=key) == sorted(kept, key=key)
 
-    of_fp = defaultdict(list)
-    for r in kept:
-        of_fp[brute_fingerprint(r[1])].append(r[0])
-    component = brute_components(of_fp)
-    stay = {c for c in component.values() if c is not None}
-    near = [r for r in kept if r[0] in stay or component[brute_fingerprint(r[1])] is None]
+    sets = [near_copies.shingles((r[1] or "").encode()) for r in kept]
+    root = list(range(len(kept)))
+    for i, j in combinations(range(len(kept)), 2):
+        if sets[i] and sets[j] and near_copies.jaccard(sets[i], sets[j]) >= near_copies.BOUND:
+            low, high = sorted((root[i], root[j]))
+            root = [low if x == high else x for x in root]
+    members = defaultdict(list)
+    for i, r in zip(root, kept, strict=True):
+        members[i].append(r)
+    near = [min(g, key=lambda r: (r[0] is None, r[0] or 0)) for g in members.values()]
     assert sorted(seen["near_dedup"], key=key) == sorted(near, key=key)
     assert len(near) < len(kept)
 
@@ -90,7 +95,7 @@ def test_stages_and_result(spark, folder):
 
 def test_entry_registers_all_and_works_without(monkeypatch):
     names = [n for n in driver.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in driver.queries()
     monkeypatch.setattr(driver.importlib.util, "find_spec", lambda name: None)
     assert not [n for n in driver.queries() if n.startswith("op") and n[2].isdigit()]
