@@ -83,3 +83,34 @@ def test_balls_link_all_values_at_most_two_bits_apart():
         for i, j in found:
             label[i] = label[j] = min(label[i], label[j])
     assert all(label[i] == label[j] for i, j in near)
+
+
+def test_a_large_group_is_compared_in_proportion_to_its_rows(spark, monkeypatch):
+    """Not every candidate of a dense group is compared, and none of its rows is lost."""
+    find_package(spark)
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(500)]
+    base, rows = rng.choices(words, k=150), []
+    for i in range(600):
+        own = list(base)
+        own[rng.randrange(10, 140)] = f"w{i}"
+        rows.append((i, " ".join(own)))
+    compared = []
+    plain = near_copies.verified
+
+    def counted(pairs, texts):
+        compared.append(pairs.count())
+        return plain(pairs, texts)
+
+    monkeypatch.setattr(near_copies, "verified", counted)
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    assert [r.doc_id for r in near_copies.one_per_component(docs).collect()] == [0]
+    assert compared[0] < 600 and sum(compared) <= 3 * 600
+
+
+def test_a_ball_of_four_makes_all_its_pairs():
+    key = np.array([5, 5 ^ 1, 5 ^ 2, 5 ^ 4], np.int64)
+    row, check = np.arange(4, dtype=np.int64), np.zeros(4, np.int64)
+    a, b = near_copies.ball_pairs(key, np.zeros(4, np.int64), row, check, 4)
+    pairs = {tuple(sorted(x)) for x in zip(a.tolist(), b.tolist(), strict=True)}
+    assert pairs == {(i, j) for i in range(4) for j in range(i + 1, 4)}
