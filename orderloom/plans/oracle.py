@@ -108,6 +108,9 @@ stock_events AS (
            WHEN 'RESTOCK_COMPLETED_EVENT' THEN 'RESTOCK_COMPLETED' ELSE raw_type END AS event_type,
          ts AS event_timestamp, 'inventory-out' AS source_topic
   FROM inv)"""
+_LENIENT = """SELECT sku_id AS "skuId", item, raw_type AS "eventType",
+       CASE WHEN quantity % 7 <> 3 THEN quantity END AS quantity, ts AS event_time
+  FROM inv WHERE quantity % 5 <> 0"""
 _PARTIALS = (
     _REPLAYED
     + ","
@@ -512,12 +515,7 @@ def batch_sql() -> dict[str, str]:
             """SELECT order_id AS "orderId", item_id AS "lineItemId", p_brand AS item,
                       c_name AS name, made_by AS "madeBy", up_t AS event_time FROM up""",
         ),
-        "json_lenient_stock": _with(
-            _STOCK,
-            """SELECT sku_id AS "skuId", item, raw_type AS "eventType",
-                      CASE WHEN quantity % 7 <> 3 THEN quantity END AS quantity, ts AS event_time
-               FROM inv WHERE quantity % 5 <> 0""",
-        ),
+        "json_lenient_stock": _with(_STOCK, _LENIENT),
         "inventory_events_lake": _with(_STOCK, "SELECT * FROM stock_events"),
         "view_orders_current": _with(_HUB + "," + _CURRENT, "SELECT * FROM current_orders"),
         "view_turnover": _with(_PARTIALS, "SELECT * FROM turnover"),
@@ -578,6 +576,22 @@ def stream_sql() -> dict[str, str]:
         "stock_current_stream": _with(_STOCK, _STOCK_CURRENT),
         "stock_quantity_stream": _with(_STOCK, _QUANTITY),
         "customer_360_current_stream": _with(_PROFILE, "SELECT * FROM profile_360"),
+        "customer_profile_stream": _with(_PROFILE, "SELECT * FROM profile_360"),
+        "order_events_set_stream": _with(
+            f"{_HUB}, history AS (SELECT {_HISTORY_COLUMNS} FROM hub)",
+            """SELECT 'history' AS target, event_id, order_id, event_type FROM history
+               UNION ALL SELECT lower(event_type), event_id, order_id, event_type FROM history""",
+        ),
+        "json_lenient_stock_stream": _with(_STOCK, _LENIENT),
+        "json_quarantine_stream": _with(
+            _STOCK,
+            """SELECT CASE WHEN quantity % 5 = 0 THEN item ELSE
+                   '{"skuId":"' || sku_id || '","item":"' || item || '","eventType":"' || raw_type
+                   || '","quantity":"many"}' END AS value,
+                 ts AS event_time,
+                 CASE WHEN quantity % 5 = 0 THEN 'not_an_object' ELSE 'wrong_type:quantity' END AS reason
+               FROM inv WHERE quantity % 5 = 0 OR quantity % 7 = 3""",
+        ),
         "lead_time_stream": _with(
             _LEAD,
             f"""SELECT * FROM lead_time

@@ -21,13 +21,16 @@ from orderloom.operators import (
     turnover,
 )
 from orderloom.plans import catalog, oracle
-from orderloom.schemas import INVENTORY_OUT, LINE_A, LINE_B, ORDERS_UP
-from orderloom.session import shared_dir, use_rocksdb, use_utc
-from orderloom.sinks import keyed, lake
+from orderloom.schemas import EVENT_TYPES, INVENTORY_OUT, LINE_A, LINE_B, ORDERS_UP
+from orderloom.session import shared_dir, state_in_rocksdb, use_utc
+from orderloom.sinks import lake
+from orderloom.sinks.targets import Target, read_target, set_stream
 from orderloom.sources import testdata as td
 from orderloom.sources import topics
+from orderloom.sources.replayed import as_stream
 from orderloom.streaming import jobs
 from orderloom.streaming.lead_time import lead_time_stream
+from orderloom.streaming.profile import customer_profile_stream
 from orderloom.streaming.replay import replay_append, replay_keyed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -154,8 +157,8 @@ def _json_strict(spark: SparkSession, sf: str) -> DataFrame:
     return topics.decode_json(topic, ORDERS_UP)
 
 
-def _json_lenient(spark: SparkSession, sf: str) -> DataFrame:
-    """Stock messages of which some are bare text and some carry a badly typed quantity."""
+def _stock_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Stock messages as text, of which some are bare words and some carry a badly typed quantity."""
     rows = td.inventory_out(spark, sf)
     good = F.to_json(F.struct("skuId", "item", "eventType", "quantity"))
     bad_field = F.to_json(
@@ -166,8 +169,11 @@ def _json_lenient(spark: SparkSession, sf: str) -> DataFrame:
         .when(F.col("quantity") % 7 == 3, bad_field)
         .otherwise(good)
     )
-    topic = rows.select(value.alias("value"), F.col("event_time").alias("timestamp"))
-    return topics.decode_json(topic, INVENTORY_OUT, lenient=True)
+    return rows.select(value.alias("value"), F.col("event_time").alias("timestamp"))
+
+
+def _json_lenient(spark: SparkSession, sf: str) -> DataFrame:
+    return topics.decode_json(_stock_text(spark, sf), INVENTORY_OUT, lenient=True)
 
 
 def _batch() -> dict[str, Query]:
@@ -287,15 +293,70 @@ def _stock_quantity_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _lead_time_stream(spark: SparkSession, sf: str) -> DataFrame:
-    out = shared_dir(spark, "tables")
-    lead_time_stream(
-        td.item_status_events(spark, sf, stream=True),
-        shared_dir(spark, "state"),
-        out,
-        shared_dir(spark, "checkpoints"),
-        {"availableNow": True},
-    ).awaitTermination()
-    return spark.read.parquet(out).drop(keyed.BATCH)
+    with state_in_rocksdb(spark):
+        return replay_append(spark, lead_time_stream(td.item_status_events(spark, sf, stream=True)))
+
+
+def _customer_profile_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Without the time of the update, which no two runs share."""
+    placed = hub.placed_events(td.orders_in(spark, sf, stream=True))
+    with state_in_rocksdb(spark):
+        profiles = replay_keyed(spark, customer_profile_stream(placed), ["customerName"])
+    return profiles.drop("updatedAt")
+
+
+def _trends_enriched_stream(spark: SparkSession, sf: str) -> DataFrame:
+    stream = jobs.trends_enriched_stream(
+        hub.status_events(td.orders_up(spark, sf, stream=True)),
+        hub.placed_events(td.orders_in(spark, sf, stream=True)),
+        trends.ONE_DAY,
+    )
+    with state_in_rocksdb(spark):
+        return replay_append(spark, stream)
+
+
+def _run_set(spark: SparkSession, stream: DataFrame, targets: list[Target]) -> str:
+    path = shared_dir(spark, "tables")
+    checkpoint = shared_dir(spark, "checkpoints")
+    set_stream(stream, path, checkpoint, targets, {"availableNow": True}).awaitTermination()
+    return path
+
+
+def _event_targets() -> list[Target]:
+    """Each event type's topic records, keyed by order, and the history of all of them."""
+
+    def records(kind: str) -> Target:
+        own = lambda b: topics.to_keyed_records(b.where(F.col("eventType") == kind), "orderId")
+        return Target(kind.lower(), own)
+
+    return [*[records(kind) for kind in EVENT_TYPES], Target("history", hub.history)]
+
+
+def _order_events_set_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """What the set's targets hold after the hub was read once: the history's events, and of the
+    topic records the event that is in their text."""
+    events = order_events(spark, sf, stream=True)
+    path = _run_set(spark, events, _event_targets())
+    history = hub.history(events).schema
+    out = read_target(spark, path, "history", history).select(
+        F.lit("history").alias("target"), "event_id", "order_id", "event_type"
+    )
+    keyed_record = T.StructType([T.StructField(c, T.StringType()) for c in ("key", "value")])
+    for kind in EVENT_TYPES:
+        own = read_target(spark, path, kind.lower(), keyed_record)
+        found = [F.get_json_object("value", f"$.{c}") for c in ("eventId", "eventType")]
+        own = own.select(F.lit(kind.lower()), found[0], "key", found[1])
+        out = out.union(own)
+    return out
+
+
+def _checked_stock(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Raw text in, the accepted records and the quarantine out: one read, one set."""
+    text = as_stream(_stock_text(spark, sf), "stock_text", sf, "timestamp", *td.STOCK_CALENDAR)
+    checked = topics.check_json(text, INVENTORY_OUT)
+    targets = [Target("records", topics.accepted), Target("quarantine", topics.quarantined)]
+    path = _run_set(spark, checked, targets)
+    return {t.name: read_target(spark, path, t.name, t.rows(checked).schema) for t in targets}
 
 
 def _streams() -> dict[str, Query]:
@@ -331,14 +392,7 @@ def _streams() -> dict[str, Query]:
             jobs.trends_stream(order_events(s, d, stream=True), trends.ONE_DAY),
             [lake.month("window_start")],
         ),
-        "trends_enriched_stream": lambda s, d: replay_append(
-            use_rocksdb(s),
-            jobs.trends_enriched_stream(
-                hub.status_events(td.orders_up(s, d, stream=True)),
-                hub.placed_events(td.orders_in(s, d, stream=True)),
-                trends.ONE_DAY,
-            ),
-        ),
+        "trends_enriched_stream": _trends_enriched_stream,
         "turnover_stream": _turnover_stream,
         "stockout_risk_hourly_stream": lambda s, d: replay_append(
             s, jobs.stockout_risk_hourly_stream(cancelled(s, d))
@@ -351,6 +405,10 @@ def _streams() -> dict[str, Query]:
         ),
         "stock_quantity_stream": _stock_quantity_stream,
         "customer_360_current_stream": _customer_360_stream,
+        "customer_profile_stream": _customer_profile_stream,
+        "order_events_set_stream": _order_events_set_stream,
+        "json_lenient_stock_stream": lambda s, d: _checked_stock(s, d)["records"],
+        "json_quarantine_stream": lambda s, d: _checked_stock(s, d)["quarantine"],
         "lead_time_stream": _lead_time_stream,
         "order_assembly_stream": lambda s, d: replay_append(
             s,

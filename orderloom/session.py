@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +28,29 @@ def use_rocksdb(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def state_in_rocksdb(spark: SparkSession) -> Iterator[SparkSession]:
+    """Queries started inside keep their state in RocksDB, and each batch stores its changes
+    only. The session's own settings are back afterwards."""
+    settings = {
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        yield spark
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def shared_dir(spark: SparkSession, purpose: str, name: str | None = None) -> str:
     """A folder every executor can reach, under ``spark.checkpoint.dir``.
 

@@ -1,115 +1,135 @@
-"""Streaming form of the assembly row pattern.
+"""Streaming form of the assembly row pattern, on keyed state.
 
-Ordering rows by event time is not something a stream can do on its own, so each
-micro-batch runs the batch operator over the rows that event time has passed.
-Between batches a small table keeps what may still matter: rows that are too new,
-and the start of matches not finished yet. A row that breaks a match ends its
-start, so the table holds items in assembly, not everything ever placed.
+An item's rows wait in its own state until event time has passed them, and are then
+taken in event-time order by the pattern: a start waits for its end, whatever else
+comes in between ends the start. A batch reads and writes the state of its own
+items and of those whose time has come, however many items are in assembly.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor
 
 from orderloom.operators.pattern import (
-    ROW_COLUMNS,
-    SLICE,
+    FULFILLED,
+    IN_PROGRESS,
+    PLACED,
     STATUS_CHANGED,
-    decide,
     lead_time_columns,
     pattern_rows,
 )
-from orderloom.sinks.keyed import write_batch
 
 # --- fixed value: how late an event may be ------------------------------------
-PATTERN_DELAY_SECONDS = 30
+PATTERN_DELAY = "30 seconds"
 # --- end of fixed value -------------------------------------------------------
 
-_ROWS = "item_id string, order_id string, item string, ts timestamp, step int, line string"
-_CLOCK = "batch bigint, newest bigint"
+_TEXT, _LONG = T.StringType(), T.LongType()
 
 
-def _clock_before(spark: SparkSession, state: str, batch_id: int) -> int | None:
-    """Newest event time, in microseconds, after the batch before this one."""
-    if batch_id == 0:
-        return None
-    row = spark.read.schema(_CLOCK).parquet(f"{state}/clock/{(batch_id - 1) % 2}").first()
-    if row is None or row["batch"] != batch_id - 1:
-        raise RuntimeError(f"{state} does not hold the state after batch {batch_id - 1}")
-    return row["newest"]
+def _row(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
-def lead_time_batches(
-    state: str,
-    out: str,
-    start_types: Sequence[str] = (STATUS_CHANGED,),
-    slice_size: str = SLICE,
-    delay_seconds: int = PATTERN_DELAY_SECONDS,
-) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function over hub events that stores finished matches under ``out``.
+_WAITING = _row(at=_LONG, step=_LONG, order_id=_TEXT, item=_TEXT, line=_TEXT)
+_START = _row(at=_LONG, order_id=_TEXT, item=_TEXT, line=_TEXT, progress=_LONG)
+_OUT = _row(item_id=_TEXT, order_id=_TEXT, item=_TEXT, start=_LONG, done=_LONG, line=_TEXT)
 
-    State has two slots used in turn, so a batch that is repeated after a failure
-    still finds the state it started from, and its output replaces itself.
-    """
-    delay = delay_seconds * 1_000_000
-    micros = F.unix_micros("ts")
-
-
-    def process(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        before = _clock_before(spark, state, batch_id)
-        rows = pattern_rows(batch, start_types).persist(StorageLevel.MEMORY_AND_DISK)
-        newest = rows.agg(F.max(micros)).first()[0]
-        newest = max((t for t in (before, newest) if t is not None), default=None)
-        if before is not None:
-            kept = spark.read.schema(_ROWS).parquet(f"{state}/rows/{(batch_id - 1) % 2}")
-            # rows behind the last release point are late
-            on_time = rows.where(micros > before - delay)
-            everything = kept.unionByName(on_time)
+
+def in_order(row: tuple) -> tuple:
+    """Event time, then life-cycle order, order and item, NULL first: the batch form's order."""
+    at, step, order_id, item, _ = row
+    return at, step, order_id is not None, order_id or "", item is not None, item or ""
+
+
+def follow(start: tuple | None, rows: list[tuple], steps: tuple) -> tuple[tuple | None, list[tuple]]:
+    """The unfinished start after ``rows`` (in order), and (start, end time) of what they complete."""
+    placed, progress, fulfilled = steps
+    found = []
+    for at, step, order_id, item, line in rows:
+        goes_on = start is not None and line == start[3]
+        if step == placed:
+            start = (at, order_id, item, line, 0)
+        elif step == progress and goes_on and not start[4]:
+            start = (*start[:4], 1)
+        else:
+            if step == fulfilled and goes_on:
+                found.append((start, at))
+            start = None
+    return start, found
+
+
+class LeadTimeProcessor(StatefulProcessor):
+    """One key is an item. Times are microseconds, timers milliseconds."""
+
+    def __init__(self, steps: tuple):
+        self.steps = steps
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", _WAITING)
+        self.start = handle.getValueState("start", _START)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        new = [(r["at"], r["step"], r["order_id"], r["item"], r["line"]) for r in rows]
+        if new:
+            self.waiting.appendList(new)
+            self.handle.registerTimer(min(r[0] for r in new) // 1000)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        waiting = [tuple(r) for r in self.waiting.get()]
+        due = sorted((r for r in waiting if r[0] // 1000 <= watermark), key=in_order)
+        later = [r for r in waiting if r[0] // 1000 > watermark]
+        if not due:
+            return
+        if later:
+            self.waiting.put(later)
+            self.handle.registerTimer(min(r[0] for r in later) // 1000)
         else:
-            everything = rows
-        released = micros <= F.lit(None if newest is None else newest - delay)
-        started = F.col("open") | F.col("last_progress")
-        decided = (
-            decide(everything.where(released), slice_size)
-            .where(F.col("done_at").isNotNull() | started)
-            .persist(StorageLevel.MEMORY_AND_DISK)
-        )
-        try:
-            write_batch(out)(lead_time_columns(decided), batch_id)
-            waiting = everything.where(~released).select(*ROW_COLUMNS)
-            unfinished = decided.where(started).select(*ROW_COLUMNS)
-            slot = batch_id % 2
-            waiting.unionByName(unfinished).write.mode("overwrite").parquet(f"{state}/rows/{slot}")
-            clock = spark.range(1).select(
-                F.lit(batch_id).cast("bigint").alias("batch"),
-                F.lit(newest).cast("bigint").alias("newest"),
-            )
-            clock.write.mode("overwrite").parquet(f"{state}/clock/{slot}")
-        finally:
-            decided.unpersist()
-            rows.unpersist()
-
-    return process
+            self.waiting.clear()
+        before = self.start.get()
+        before = tuple(before) if before else None
+        start, found = follow(before, due, self.steps)
+        if start is None and before is not None:
+            self.start.clear()
+        elif start is not None and start != before:
+            self.start.update(start)
+        for (at, order_id, item, line, _), done in found:
+            yield Row(item_id=key[0], order_id=order_id, item=item, start=at, done=done, line=line)
+
+    def close(self) -> None:
+        pass
 
 
 def lead_time_stream(
     events: DataFrame,
-    state: str,
-    out: str,
-    checkpoint: str,
-    trigger: dict | None = None,
-    **options,
-) -> StreamingQuery:
-    """Run the pattern over a stream of hub events into a table."""
-    return (
-        events.writeStream.option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "10 seconds"}))
-        .foreachBatch(lead_time_batches(state, out, **options))
-        .start()
+    start_types: Sequence[str] = (STATUS_CHANGED,),
+    delay: str = PATTERN_DELAY,
+) -> DataFrame:
+    """Append: lead times of completed items, once event time has passed their last row.
+
+    Rows behind the watermark are late and dropped. Items without an id are one item,
+    as in the batch form. The session must use the RocksDB state store
+    (``session.state_in_rocksdb``).
+    """
+    # the processor itself goes to the workers, which need not have this package
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    rows = pattern_rows(events.withWatermark("eventTimestamp", delay), start_types)
+    rows = rows.withColumn("at", F.unix_micros("ts")).withColumn("step", F.col("step").cast("long"))
+    found = rows.groupBy("item_id").transformWithState(
+        statefulProcessor=LeadTimeProcessor((PLACED, IN_PROGRESS, FULFILLED)),
+        outputStructType=_OUT,
+        outputMode="Append",
+        timeMode="EventTime",
+    )
+    return lead_time_columns(
+        found.withColumns({"ts": F.timestamp_micros("start"), "done_at": F.timestamp_micros("done")})
     )

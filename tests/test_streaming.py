@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom import schemas
-from orderloom.operators import customer, pattern, stock, trends, turnover
-from orderloom.session import use_rocksdb
+from orderloom.operators import contracts, customer, pattern, stock, trends, turnover
+from orderloom.session import state_in_rocksdb, use_rocksdb
 from orderloom.sinks import keyed, lake
+from orderloom.sinks.targets import Target, newest_mark, read_target, set_stream, write_set
 from orderloom.sources import testdata, topics
 from orderloom.streaming import jobs
-from orderloom.streaming.lead_time import lead_time_batches, lead_time_stream
+from orderloom.streaming.lead_time import follow, in_order, lead_time_stream
+from orderloom.streaming.profile import customer_profile_stream
 
 
 def write_files(spark, folder, batches, schema):
@@ -190,17 +192,17 @@ def test_lead_time_stream_equals_batch(spark, tmp_path):
         [placed(ts=400, item_id="z")],
         [placed(ts=401, item_id="z")],
     ]
-    paths = [f"{tmp_path}/{n}" for n in ("state", "out", "ck")]
     stream = hub_stream(spark, f"{tmp_path}/in", batches)
-    lead_time_stream(stream, *paths, {"availableNow": True}).awaitTermination()
-    got = spark.read.parquet(paths[1]).drop("batch_id")
+    with state_in_rocksdb(spark):
+        got = run_append(lead_time_stream(stream), str(tmp_path))
     everything = spark.createDataFrame(sum(batches, []), schemas.ORDER_EVENT)
     want = pattern.lead_times(everything)
     assert sorted(rows(got), key=str) == sorted(rows(want), key=str)
     assert want.count() == 4
 
 
-def test_lead_time_batches_can_be_cut_and_repeated_anywhere(spark, tmp_path):
+def test_lead_time_stream_can_be_stopped_and_started_anywhere(spark, tmp_path):
+    """Shuffled within the delay, one file at a time, each in a run of its own."""
     rng = random.Random(5)
     kinds = ["PLACED", "PLACED", "IN_PROGRESS", "FULFILLED", "FULFILLED", "CANCELLED"]
     events = [
@@ -212,22 +214,126 @@ def test_lead_time_batches_can_be_cut_and_repeated_anywhere(spark, tmp_path):
         )
         for t in range(120)
     ]
-    process = lead_time_batches(f"{tmp_path}/s", f"{tmp_path}/o", slice_size="5 seconds")
-    for batch_id, start in enumerate(range(0, 120, 24)):
-        part = events[start : start + 24]
+    batches = [events[i : i + 24] for i in range(0, 120, 24)]
+    for part in batches:
         rng.shuffle(part)
-        frame = spark.createDataFrame(part, schemas.ORDER_EVENT)
-        process(frame, batch_id)
-        if batch_id == 2:
-            process(frame, batch_id)  # the same batch after a restart
-    late = spark.createDataFrame([event(ts=3, status="PLACED")], schemas.ORDER_EVENT)
-    process(late, 5)
-    process(spark.createDataFrame([placed(ts=500, item_id="z")], schemas.ORDER_EVENT), 6)
-    got = spark.read.parquet(f"{tmp_path}/o").drop("batch_id")
+    late = [event(ts=3, status="PLACED", item_id="a")]
+    batches += [[placed(ts=500, item_id="z")], late, [placed(ts=900, item_id="z")]]
+    folder = f"{tmp_path}/in"
+    for n in range(1, len(batches) + 1):
+        stream = hub_stream(spark, folder, batches[:n])
+        with state_in_rocksdb(spark):
+            got = run_append(lead_time_stream(stream), str(tmp_path))
     want = pattern.lead_times(spark.createDataFrame(events, schemas.ORDER_EVENT))
     assert sorted(rows(got), key=str) == sorted(rows(want), key=str) and want.count() > 5
-    with pytest.raises(RuntimeError):
-        process(late, 9)
+
+
+def test_a_batch_changes_the_state_of_its_own_items_only(spark, tmp_path):
+    """With many items in assembly a batch of one row stores a few rows, not all of them."""
+    first = [event(status="PLACED", ts=0, item_id=f"i{n}") for n in range(2000)]
+    batches = [first, [event(status="PLACED", ts=100, item_id="x")], [event(status="FULFILLED", ts=101, item_id="i7")]]
+    batches += [[event(status="PLACED", ts=500 + n, item_id="y")] for n in range(3)]
+    with state_in_rocksdb(spark):
+        q = lake.append_stream(
+            lead_time_stream(hub_stream(spark, f"{tmp_path}/in", batches)),
+            f"{tmp_path}/out", f"{tmp_path}/ck", (), {"availableNow": True},
+        )
+        q.awaitTermination()
+    updated = [p["stateOperators"][0]["numRowsUpdated"] for p in q.recentProgress if p["stateOperators"]]
+    assert max(updated) >= 2000 and min(updated) < 20
+    got = spark.read.schema(T.StructType(lead_time_stream(hub_stream(spark, f"{tmp_path}/in", batches)).schema.fields))
+    assert [r.item_id for r in got.parquet(f"{tmp_path}/out").collect()] == ["i7"]
+
+
+def test_rows_at_one_time_follow_the_life_cycle():
+    due = [(5, 2, "o", "X", "L"), (5, 0, "o", "X", "L"), (5, 1, None, "X", "L"), (5, 3, None, None, None)]
+    steps = (pattern.PLACED, pattern.IN_PROGRESS, pattern.FULFILLED)
+    start, found = follow(None, sorted(due, key=in_order), steps)
+    assert start is None and found == [((5, "o", "X", "L", 1), 5)]
+    assert follow((1, "o", "X", "L", 1), [(2, 1, "o", "X", "L")], steps) == (None, [])
+    assert follow((1, "o", "X", "L", 0), [(2, 2, "o", "X", "M")], steps) == (None, [])
+
+
+def test_customer_profile_is_one_stream(spark, tmp_path):
+    batches = [
+        [placed("o1", 0, loyalty="L1", location="TOKYO"), placed("o1", 0, item_id="i2")],
+        [placed("o2", 10), placed("o3", 5, name="Bob", loyalty="")],
+        [placed("o1", 0, item_id="i3"), placed("o4", 3, name=""), placed("o0", 10)],
+    ]
+    stream = customer_profile_stream(hub_stream(spark, f"{tmp_path}/in", batches))
+    with state_in_rocksdb(spark):
+        got = run_keyed(stream, str(tmp_path), ["customerName"])
+    everything = spark.createDataFrame(sum(batches, []), schemas.ORDER_EVENT)
+    want = customer.customer_360_current(everything, with_updated_at=False)
+    assert sorted(rows(got.drop("updatedAt"))) == sorted(rows(want.select(*got.columns[:-1])))
+    assert got.where("updatedAt IS NULL").count() == 0
+    assert contracts.violations(got, contracts.CUSTOMER_PROFILE).count() == 0
+
+
+def test_state_settings_are_back_afterwards(spark):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.unset("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled")
+    with pytest.raises(KeyError), state_in_rocksdb(spark):
+        assert "RocksDB" in spark.conf.get(name)
+        raise KeyError
+    assert spark.conf.get(name) == before
+
+
+def test_readers_see_a_batch_in_all_targets_or_in_none(spark, tmp_path):
+    """A writer that dies between two targets leaves nothing to see; the next run repairs it."""
+    dies = {"at": 1}
+
+    def second(batch):
+        if dies.get("at") == batch.agg(F.max("n")).first()[0]:
+            raise RuntimeError("killed")
+        return batch.select((F.col("n") * 10).alias("ten"))
+
+    targets = [Target("one", lambda b: b), Target("two", second)]
+    write_files(spark, f"{tmp_path}/in", [[(0,)], [(1,)], [(2,)]], "n long")
+    stream = read_files(spark, f"{tmp_path}/in", T.StructType().add("n", "long"))
+    path, checkpoint, now = f"{tmp_path}/set", f"{tmp_path}/ck", {"availableNow": True}
+
+    def seen():
+        one = read_target(spark, path, "one", T.StructType().add("n", "long"))
+        two = read_target(spark, path, "two", T.StructType().add("ten", "long"))
+        return sorted(rows(one)), sorted(rows(two))
+
+    assert newest_mark(spark, path) is None and seen() == ([], [])
+    with pytest.raises(Exception, match="killed"):
+        set_stream(stream, path, checkpoint, targets, now).awaitTermination()
+    assert os.path.exists(f"{path}/one/batch_id=1") and not os.path.exists(f"{path}/two/batch_id=1")
+    assert seen() == ([(0,)], [(0,)])
+    dies.clear()
+    set_stream(stream, path, checkpoint, targets, now).awaitTermination()
+    assert seen() == ([(0,), (1,), (2,)], [(0,), (10,), (20,)])
+    # a batch whose mark was written, but which Spark repeats, is not written again
+    write_set(path, targets)(spark.createDataFrame([(9,)], "n long"), 2)
+    assert seen()[0] == [(0,), (1,), (2,)] and os.listdir(f"{path}/_complete") in (["2"], [".2.crc", "2"], ["2", ".2.crc"])
+
+
+def test_bad_json_goes_to_a_side_table_with_its_reason(spark, tmp_path):
+    good = '{"skuId":"s","item":"X","eventType":"R","quantity":4}'
+    values = [
+        good, "plain", "", None, "[1]", '"text"', '{"skuId":"s","quantity":"many"}', '{"quantity":null}',
+        '{"skuId":{"a":1},"item":7}', "{broken",
+    ]
+    schema = "value string, timestamp timestamp"
+    write_files(spark, f"{tmp_path}/in", [[(v, at(n))] for n, v in enumerate(values)], schema)
+    checked = topics.check_json(topics.file_topic(spark, f"{tmp_path}/in"), schemas.INVENTORY_OUT)
+    targets = [Target("records", topics.accepted), Target("quarantine", topics.quarantined)]
+    path = f"{tmp_path}/set"
+    set_stream(checked, path, f"{tmp_path}/ck", targets, {"availableNow": True}).awaitTermination()
+    kept, bad = (read_target(spark, path, t.name, t.rows(checked).schema) for t in targets)
+    lenient = topics.decode_json(spark.createDataFrame([(v, at(n)) for n, v in enumerate(values)], schema), schemas.INVENTORY_OUT, True)
+    assert sorted(rows(kept), key=str) == sorted(rows(lenient), key=str)
+    reasons = {r.value: r.reason for r in bad.collect()}
+    broken = {v: "not_an_object" for v in ("plain", "", None, "[1]", '"text"', "{broken")}
+    assert reasons == broken | {'{"skuId":"s","quantity":"many"}': "wrong_type:quantity"}
+    strict = topics.decode_json(topics.file_topic(spark, f"{tmp_path}/in"), schemas.INVENTORY_OUT)
+    q = strict.writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/ck2").trigger(availableNow=True).start()
+    with pytest.raises(Exception, match="(?i)malformed|parse|failfast"):
+        q.awaitTermination()
 
 
 def test_restart_and_replay_change_nothing(spark, tmp_path):
