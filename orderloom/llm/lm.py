@@ -306,7 +306,7 @@ def score(
     train: Column,
     id_col: str = "doc_id",
     text_col: str = "text",
-    left: float = 1.0,
+    left: float = 20.0,
     block_bytes: int = 8 << 20,
 ) -> DataFrame:
     """(id, trained, n_tokens, n_known, train_tokens, base_score, score) for each row of ``docs``.
