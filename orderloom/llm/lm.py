@@ -33,6 +33,7 @@ at any size of the corpus.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -61,6 +62,7 @@ _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 STRETCH = 512
 _OWN_BITS = np.uint64(40)
 _REMEMBERED = 500_000
+_COUNTED = 200_000
 _ASK = "shard int, block int, keys binary, counts binary"
 _ANSWER = "block int, shard int, others binary"
 
@@ -85,6 +87,17 @@ def _joined(before: np.ndarray, after: np.ndarray) -> np.ndarray:
     return key ^ (key >> np.uint64(29))
 
 
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values in order, a place of each, and each place's number among them."""
+    order = np.argsort(values)
+    found = values[order]
+    new = np.ones(len(found), bool)
+    new[1:] = found[1:] != found[:-1]
+    number = np.empty(len(found), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return found[new], order[new], number
+
+
 def pack_numbers(values: np.ndarray) -> bytes:
     """Non-negative numbers in the smallest type that holds them, which comes first."""
     kind = np.min_scalar_type(int(values.max(initial=0)))
@@ -129,7 +142,8 @@ class Block:
         every = np.concatenate([tokens, pairs, triples])
         shard = ((every >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
         every = (shard << _OWN_BITS) | (every & ((np.uint64(1) << _OWN_BITS) - np.uint64(1)))
-        self.keys, self.seen_at, at = np.unique(every, return_index=True, return_inverse=True)
+        self.keys, self.seen_at, at = _numbered(every)
+        self.seen_at[at[len(tokens) + self.starts]] = len(tokens) + self.starts
         self.words, self.pairs, self.triples = np.split(at, 3)
         counted = np.repeat(train, self.sizes)
         counted = np.concatenate([counted, counted, np.where(self.first, 0, counted)])
@@ -280,18 +294,19 @@ def vocabulary(rows: DataFrame, text_col: str) -> tuple[int, int]:
     """
 
     def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts = _Hashes(), {}
+        counts: Counter[bytes] = Counter()
 
         def told() -> pa.RecordBatch:
-            words = np.fromiter(counts, np.uint64, len(counts)).view(np.int64)
+            hashes = map(xxhash.xxh64_intdigest, counts)
+            words = np.fromiter(hashes, np.uint64, len(counts)).view(np.int64)
             values = np.fromiter(counts.values(), np.int64, len(counts))
             return pa.RecordBatch.from_arrays([pa.array(words), pa.array(values)], ["word", "n"])
 
         for batch in batches:
             for text in batch.column(0):
-                for word in token_hashes(text.as_py(), known):
-                    counts[word] = counts.get(word, 0) + 1
-                if len(counts) > _REMEMBERED:
+                counts.update((text.as_py() or b"").lower().split())
+                counts[b" "] += 1
+                if len(counts) > _COUNTED:
                     yield told()
                     counts.clear()
         yield told()
@@ -307,7 +322,7 @@ def score(
     id_col: str = "doc_id",
     text_col: str = "text",
     left: float = 20.0,
-    block_bytes: int = 8 << 20,
+    block_bytes: int = 6 << 20,
 ) -> DataFrame:
     """(id, trained, n_tokens, n_known, train_tokens, base_score, score) for each row of ``docs``.
 
