@@ -531,6 +531,28 @@ def batch_sql() -> dict[str, str]:
     }
 
 
+# Completions dealt to eight batches by arrival. A batch drops groups whose window ended before
+# the watermark that held when the batch before it began: the newest time of all files up to
+# the one two before, less the delay.
+_LATE = """
+arrived AS (
+  SELECT *, "eventTimestamp" + to_days(CASE WHEN CAST("orderId" AS BIGINT) % 7 = 3 THEN 700 ELSE 0 END)
+           AS arrival,
+         time_bucket(INTERVAL 1 DAY, "eventTimestamp") + INTERVAL 1 DAY AS ends
+  FROM status),
+dealt AS (
+  SELECT *, CAST(greatest(0, least(7, floor(
+           (epoch_us(arrival) - epoch_us(TIMESTAMP '1995-01-01')) * 8
+           / (epoch_us(TIMESTAMP '2002-01-01') - epoch_us(TIMESTAMP '1995-01-01'))))) AS BIGINT) AS batch
+  FROM arrived),
+marks AS (
+  SELECT b.batch, (SELECT max("eventTimestamp") FROM dealt d WHERE d.batch <= b.batch - 2)
+           - INTERVAL 10 SECOND AS mark
+  FROM (SELECT DISTINCT batch FROM dealt) b),
+judged AS (SELECT dealt.*, coalesce(ends <= mark, FALSE) AS late FROM dealt JOIN marks USING (batch)),
+kept AS (SELECT * FROM judged WHERE NOT late)"""
+
+
 def stream_sql() -> dict[str, str]:
     """A stream that has read everything has emitted what lies behind its watermark: the
     newest event time of the slowest input, less the delay."""
@@ -556,6 +578,17 @@ def stream_sql() -> dict[str, str]:
         "trends_daily_stream": _with(
             _HUB + "," + _trends("1 DAY"), f"SELECT * FROM trend WHERE window_end <= {hub_mark}"
         ),
+        "trends_late_stream": _with(
+            ",".join([_LINES, _STATUS, _LATE, _trends("1 DAY").replace("FROM status", "FROM kept")]),
+            f"SELECT * FROM trend WHERE window_end <= {newest('status')} - INTERVAL 10 SECOND",
+        ),
+        "trends_late_batches_stream": _with(
+            ",".join([_LINES, _STATUS, _LATE]),
+            """SELECT batch, CAST(count(*) AS BIGINT) AS rows_read,
+                      CAST(count(DISTINCT CASE WHEN late THEN (ends, item, "assemblyLine", location)
+                        END) AS BIGINT) AS groups_dropped
+               FROM judged GROUP BY batch""",
+        ),
         "trends_enriched_stream": _with(
             ",".join([_LINES, _PLACED, _STATUS, _trends_enriched_once("1 DAY")]),
             f"SELECT * FROM enriched WHERE window_end <= {join_mark}",

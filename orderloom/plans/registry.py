@@ -31,7 +31,7 @@ from orderloom.sources.replayed import as_stream
 from orderloom.streaming import jobs
 from orderloom.streaming.lead_time import lead_time_stream
 from orderloom.streaming.profile import customer_profile_stream
-from orderloom.streaming.replay import replay_append, replay_keyed
+from orderloom.streaming.replay import replay_append, replay_keyed, replay_measured
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -315,6 +315,12 @@ def _trends_enriched_stream(spark: SparkSession, sf: str) -> DataFrame:
         return replay_append(spark, stream)
 
 
+def _late_trends(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Trends of completions of which some arrive two years late, and the batches' figures."""
+    late = hub.status_events(td.orders_up_late(spark, sf, stream=True))
+    return replay_measured(spark, jobs.trends_stream(late, trends.ONE_DAY))
+
+
 def _run_set(spark: SparkSession, stream: DataFrame, targets: list[Target]) -> str:
     path = shared_dir(spark, "tables")
     checkpoint = shared_dir(spark, "checkpoints")
@@ -322,6 +328,9 @@ def _run_set(spark: SparkSession, stream: DataFrame, targets: list[Target]) -> s
     return path
 
 
+HISTORY_LAYOUT = (lake.month("event_timestamp"), lake.identity("event_type"))
+
+
 def _event_targets() -> list[Target]:
     """Each event type's topic records, keyed by order, and the history of all of them."""
 
@@ -329,7 +338,7 @@ def _event_targets() -> list[Target]:
         own = lambda b: topics.to_keyed_records(b.where(F.col("eventType") == kind), "orderId")
         return Target(kind.lower(), own)
 
-    return [*[records(kind) for kind in EVENT_TYPES], Target("history", hub.history)]
+    return [*[records(kind) for kind in EVENT_TYPES], Target("history", hub.history, HISTORY_LAYOUT)]
 
 
 def _order_events_set_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -338,7 +347,7 @@ def _order_events_set_stream(spark: SparkSession, sf: str) -> DataFrame:
     events = order_events(spark, sf, stream=True)
     path = _run_set(spark, events, _event_targets())
     history = hub.history(events).schema
-    out = read_target(spark, path, "history", history).select(
+    out = read_target(spark, path, "history", history, HISTORY_LAYOUT).select(
         F.lit("history").alias("target"), "event_id", "order_id", "event_type"
     )
     keyed_record = T.StructType([T.StructField(c, T.StringType()) for c in ("key", "value")])
@@ -392,6 +401,8 @@ def _streams() -> dict[str, Query]:
             jobs.trends_stream(order_events(s, d, stream=True), trends.ONE_DAY),
             [lake.month("window_start")],
         ),
+        "trends_late_stream": lambda s, d: _late_trends(s, d)[0],
+        "trends_late_batches_stream": lambda s, d: _late_trends(s, d)[1],
         "trends_enriched_stream": _trends_enriched_stream,
         "turnover_stream": _turnover_stream,
         "stockout_risk_hourly_stream": lambda s, d: replay_append(

@@ -30,6 +30,7 @@ REPLAY_STEP = 104729
 # stretches of time that cover a calendar's events
 ORDER_CALENDAR = (datetime(1995, 1, 1), datetime(2002, 1, 1))
 STOCK_CALENDAR = (datetime(2024, 1, 1), datetime(2024, 1, 31))
+LATE_DAYS = 700
 
 
 def _topic(calendar: tuple[datetime, datetime], ts: str = "event_time") -> Callable:
@@ -169,6 +170,16 @@ def orders_up(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_topic(ORDER_CALENDAR, "arrival_time")
+def orders_up_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Completions in order of arrival: those of every seventh order come 700 days late."""
+    late = F.col("orderId").cast("long") % 7 == 3
+    days = F.when(late, F.lit(LATE_DAYS)).otherwise(F.lit(0))
+    return orders_up(spark, sf).withColumn(
+        "arrival_time", _plus_seconds(F.col("event_time"), days * F.lit(86_400))
+    )
+
+
 @_topic(ORDER_CALENDAR)
 def eighty_six(spark: SparkSession, sf: str, replay: bool = False) -> DataFrame:
     """Cancellations: returned lines that were never finished.

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from orderloom.session import shared_dir
 from orderloom.sinks import keyed, lake
@@ -26,6 +27,31 @@ def replay_append(
     return spark.read.schema(schema).parquet(path).drop(*lake.derived_columns(transforms))
 
 
+def batch_figures(query: StreamingQuery) -> list[tuple[int, int, int, int]]:
+    """(batch, rows read, state rows held, groups dropped as late) of each batch that Spark still
+    remembers (``spark.sql.streaming.numRecentProgressUpdates``). Late rows are counted
+    where a stateful operator drops them, after partial aggregation: by group, not by row."""
+    return [
+        (
+            p.batchId,
+            p.numInputRows,
+            sum(s.numRowsTotal for s in p.stateOperators),
+            sum(s.numRowsDroppedByWatermark for s in p.stateOperators),
+        )
+        for p in query.recentProgress
+    ]
+
+
+def replay_measured(spark: SparkSession, stream: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Like :func:`replay_append`, with the figures of the batches that read something."""
+    path = shared_dir(spark, "tables")
+    query = lake.append_stream(stream, path, shared_dir(spark, "checkpoints"), (), _ALL_NOW)
+    query.awaitTermination()
+    figures = [(b, read, late) for b, read, _, late in batch_figures(query) if read]
+    schema = "batch long, rows_read long, groups_dropped long"
+    return spark.read.schema(stream.schema).parquet(path), spark.createDataFrame(figures, schema)
+
+
 def replay_keyed(spark: SparkSession, stream: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Drive an update-mode stream into a keyed table and read its latest rows."""
     path = shared_dir(spark, "tables")

@@ -1,5 +1,6 @@
 """Streams are replayed from ordered JSON files and compared with the batch results."""
 
+import glob
 import itertools
 import json
 import os
@@ -20,6 +21,7 @@ from orderloom.sources import testdata, topics
 from orderloom.streaming import jobs
 from orderloom.streaming.lead_time import follow, in_order, lead_time_stream
 from orderloom.streaming.profile import customer_profile_stream
+from orderloom.streaming.replay import replay_measured
 
 
 def write_files(spark, folder, batches, schema):
@@ -312,6 +314,37 @@ def test_readers_see_a_batch_in_all_targets_or_in_none(spark, tmp_path):
     assert seen()[0] == [(0,), (1,), (2,)] and os.listdir(f"{path}/_complete") in (["2"], [".2.crc", "2"], ["2", ".2.crc"])
 
 
+def test_files_of_a_set_are_sized_and_a_repeated_batch_replaces_its_own(spark, tmp_path):
+    values = [("hot", n) for n in range(1000)] + [(f"k{n % 5}", n) for n in range(50)]
+    batch = spark.createDataFrame(values, "kind string, n long").repartition(16)
+    target = Target("out", lambda b: b, [lake.identity("kind")], rows_per_file=100)
+    write = write_set(str(tmp_path), [target])
+
+    def files(kind="*", batch_id="*"):
+        return glob.glob(f"{tmp_path}/out/batch_id={batch_id}/kind={kind}/*.parquet")
+
+    write(batch, 0)
+    assert len(files("hot")) > 5 and len(files()) <= 1050 / 100 + 1 + 6
+    for name in os.listdir(f"{tmp_path}/_complete"):  # stopped before its mark
+        os.remove(f"{tmp_path}/_complete/{name}")
+    write(batch, 0)
+    write(batch.limit(30), 1)
+    assert len(files(batch_id=1)) <= 6
+    got = read_target(spark, str(tmp_path), "out", batch.schema, target.transforms)
+    assert got.columns == ["kind", "n"] and got.count() == 1080
+    assert sorted(rows(got.distinct())) == sorted(values)
+
+
+def test_groups_dropped_as_late_are_counted(spark, tmp_path):
+    """A batch's late rows are judged by the mark that held when the batch before it began."""
+    batches = [[event(ts=0)], [event(ts=5000)], [event(ts=10)], [event(ts=20), event(ts=6000)], [event(ts=9000)]]
+    stream = jobs.trends_stream(hub_stream(spark, f"{tmp_path}/in", batches), trends.FIVE_MINUTES)
+    table, figures = replay_measured(spark, stream)
+    found = {r.batch: (r.rows_read, r.groups_dropped) for r in figures.collect()}
+    assert found == {0: (1, 0), 1: (1, 0), 2: (1, 0), 3: (2, 1), 4: (1, 0)}
+    assert sum(r.order_count for r in table.collect()) == 4  # the newest window is still open
+
+
 def test_bad_json_goes_to_a_side_table_with_its_reason(spark, tmp_path):
     good = '{"skuId":"s","item":"X","eventType":"R","quantity":4}'
     values = [
