@@ -40,6 +40,8 @@ BLOCK = frozenset(
 RAW = "script|style|noscript|template|iframe|svg|math|textarea|object"
 #: Elements that end at the next one of the same kind, or where their parent ends.
 CLOSED_BY_NEXT = frozenset("p li dd dt tr td th option".split())
+#: Elements inside which the next one of the same kind is another list's.
+LISTS = ("ul", "ol", "table", "dl", "menu")
 # --- end of fixed values --------------------------------------------------------
 
 #: What a tag holds: a quote opens a value only after an equals sign, elsewhere it is a character.
@@ -67,13 +69,30 @@ class Model:
     other_tag: float
 
 
+@dataclass(eq=False, slots=True)
+class Around:
+    """Features of a run of text or an open element, and the element around it: nesting costs
+    one step each."""
+
+    own: tuple[str, ...]
+    outer: Around | None
+    score: float | None = None  #: of all features up to here, once asked for
+
+    def features(self) -> list[str]:
+        found, around = [], self
+        while around is not None:
+            found += around.own
+            around = around.outer
+        return found
+
+
 @dataclass
 class Item:
     """A run of text inside one block, or a tag (``text`` is None then)."""
 
     text: str | None
     tag: str
-    around: tuple[str, ...]
+    around: Around | None
     block: int
     at: int
 
@@ -94,13 +113,19 @@ def _size(text: str) -> str:
 
 def items_of(page: str) -> Iterator[Item]:
     """Words and tags in page order; scripts, styles and comments are left out."""
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[tuple[str, Around]] = []
+    places: dict[str, list[int]] = {}  # of each open element's name on the stack
+
+    def close(first: int) -> None:
+        while len(stack) > first:
+            places[stack.pop()[0]].pop()
+
     block = 0
     for m in _ITEM.finditer(page):
         raw_tag, slash, tag, attributes, text = m.groups()
         if text is not None:
-            around = stack[-1][1] if stack else ()
-            yield Item(text, "", around + (_size(text),), block, m.start())
+            outer = stack[-1][1] if stack else None
+            yield Item(text, "", Around((_size(text),), outer), block, m.start())
             continue
         if raw_tag or tag is None:
             continue
@@ -108,32 +133,37 @@ def items_of(page: str) -> Iterator[Item]:
         if tag in BLOCK:
             block += 1
         if slash:
-            if any(name == tag for name, _ in stack):
-                while stack.pop()[0] != tag:
-                    pass
+            if places.get(tag):
+                close(places[tag][-1])
         elif tag not in VOID:
             if tag in BLOCK:
-                names = [name for name, _ in stack]
-                if "p" in names:
-                    del stack[names.index("p") :]
-                elif tag in CLOSED_BY_NEXT and tag in names:
-                    last = len(names) - 1 - names[::-1].index(tag)
-                    if not {"ul", "ol", "table", "dl", "menu"} & set(names[last:]):
-                        del stack[last:]
-            before = stack[-1][1] if stack else ()
-            stack.append((tag, before + features_of(tag, attributes)))
-        yield Item(None, slash + tag, (), block, m.start())
-
-
-def word_score(model: Model, around: tuple[str, ...]) -> float:
-    total = model.bias + sum(model.words.get(f, 0.0) for f in around)
+                if places.get("p"):
+                    close(places["p"][0])
+                elif tag in CLOSED_BY_NEXT and places.get(tag):
+                    last = places[tag][-1]
+                    if not any(places.get(x) and places[x][-1] > last for x in LISTS):
+                        close(last)
+            places.setdefault(tag, []).append(len(stack))
+            outer = stack[-1][1] if stack else None
+            stack.append((tag, Around(features_of(tag, attributes), outer)))
+        yield Item(None, slash + tag, None, block, m.start())
+
+
+def word_score(model: Model, around: Around) -> float:
+    """Score of a word of a run of text, from the run and all elements around it."""
+    path = []
+    while around is not None and around.score is None:
+        path.append(around)
+        around = around.outer
+    total = model.bias if around is None else around.score
+    for around in reversed(path):
+        total = around.score = total + sum(model.words.get(f, 0.0) for f in around.own)
     return min(BEST, max(WORST, total))
 
 
 def extract(page: str | None, model: Model) -> str:
     """The page's main text: blocks joined by an empty line. Empty if no region scores above 0."""
     items = list(items_of(page or ""))
-    known: dict[tuple[str, ...], float] = {}
     best = total = 0.0
     start, region = 0, (0, 0)
     scores = []
@@ -141,10 +171,7 @@ def extract(page: str | None, model: Model) -> str:
         if item.text is None:
             score = model.tags.get(item.tag, model.other_tag)
         else:
-            each = known.get(item.around)
-            if each is None:
-                each = known[item.around] = word_score(model, item.around)
-            score = each * len(item.text.split())
+            score = word_score(model, item.around) * len(item.text.split())
         scores.append(score)
         if total <= 0:
             total, start = 0.0, i
@@ -174,7 +201,7 @@ def fit(labelled: Iterable[tuple[str, list[tuple[int, int]]]], steps: int = 400)
             if item.text is None:
                 (in_tags if good else out_tags)[item.tag] += 1
             elif n := len(item.text.split()):
-                runs.append(item.around)
+                runs.append(item.around.features())
                 inside.append(good)
                 weights.append(min(n, 20))
     names = {f: i for i, f in enumerate(sorted({f for r in runs for f in r}))}

@@ -1,4 +1,5 @@
 import itertools
+import time
 
 import pytest
 from orderloom.llm import html_text
@@ -96,3 +97,25 @@ def test_a_quote_opens_a_value_only_after_an_equals_sign():
     assert html_text.extract("<script a=b'c>x</script><p>text stays</p>", model) == "text stays"
     slow = "<div " + "a='b " * 20_000
     assert html_text.extract(slow, model) == ""
+
+
+def test_deep_nesting_takes_time_in_proportion():
+    model = html_text.fit(html_text.labelled_by_hand())
+    for page in ("<div><b>some words here " * 20_000, "<ul><li>" * 20_000 + "a b c" + "</li></ul>" * 20_000):
+        start = time.process_time()
+        html_text.extract(page, model)
+        assert time.process_time() - start < 2
+
+
+def test_the_next_of_its_kind_closes_an_element():
+    page = "<ul class=a><li>one<ul class=b><li>two</ul>three<li>four</ul>five<p>six<div>seven"
+    found = {i.text: i.around.features()[1:] for i in html_text.items_of(page) if i.text}
+    assert found == {
+        "one": ["li", "ul", ".a"],
+        "two": ["li", "ul", ".b", "li", "ul", ".a"],
+        "three": ["li", "ul", ".a"],
+        "four": ["li", "ul", ".a"],
+        "five": [],
+        "six": ["p"],
+        "seven": ["div"],
+    }
