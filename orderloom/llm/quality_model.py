@@ -175,8 +175,8 @@ def train(
     most_passages: int = 40_000,
 ) -> Model:
     """Fit on labelled rows that ``learn`` allows: at most ``most_rows``, chosen by the id's
-    hash, and of these as many as have ``most_passages`` together. The passages are encoded
-    in tasks; the driver sees vectors only."""
+    hash, and of these as many as have ``most_passages`` together; a text that doesn't fit
+    is skipped. The passages are encoded in tasks; the driver sees vectors only."""
     known = labels.where(learn & F.col(label_col).isNotNull()).select(
         F.col(id_col).alias("_id"), (F.col(label_col) != 0).cast("double").alias("_label")
     )
@@ -200,9 +200,9 @@ def train(
     parts, ys, total = [], [], 0
     for row in bags.orderBy("order", "bag").limit(most_rows).toLocalIterator():
         part = np.frombuffer(row.bag, np.float32).reshape(-1, SIZE)
+        if parts and total + len(part) > most_passages:
+            continue
         total += len(part)
-        if total > most_passages and parts:
-            break
         parts.append(part)
         ys.append(row.label)
     vectors = np.concatenate(parts) if parts else np.zeros((0, SIZE), np.float32)

@@ -69,3 +69,17 @@ def test_odd_texts_and_no_labels(spark, docs, doc_rows, no_docs):
     ones = docs.selectExpr("doc_id", "1 AS quality")
     model = qm.train(docs, ones, crc_mod("doc_id", 5) != 0)
     assert all(r.score > 0.9 for r in qm.score(docs, model).collect())
+
+
+def test_a_text_that_does_not_fit_is_skipped(spark, no_docs, monkeypatch):
+    """Wherever a long text stands in the order, all short ones but the room it took are learnt from."""
+    texts = [(i, "word " * (qm.PASSAGE * 30 if i == 7 else 3)) for i in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as quality")
+    seen = []
+    monkeypatch.setattr(qm, "fit", lambda vectors, sizes, ys: seen.append(sizes.tolist()))
+    qm.train(docs, labels, crc_mod("doc_id", 5) != 9, most_passages=32)
+    sizes = seen[0]
+    assert sum(sizes) == 32 and sizes.count(1) in (2, 32)
+    qm.train(docs, labels, crc_mod("doc_id", 5) != 9, most_passages=29)
+    assert seen[1] == [1] * 29 or seen[1] == [30]
