@@ -114,3 +114,37 @@ def test_a_ball_of_four_makes_all_its_pairs():
     a, b = near_copies.ball_pairs(key, np.zeros(4, np.int64), row, check, 4)
     pairs = {tuple(sorted(x)) for x in zip(a.tolist(), b.tolist(), strict=True)}
     assert pairs == {(i, j) for i in range(4) for j in range(i + 1, 4)}
+
+
+def test_bucket_counts_never_judge_below_the_jaccard():
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices("abcdefgh", k=rng.choice([0, 1, 4, 6, 60, 400]))) for _ in range(60)]
+    texts += [" ".join(f"w{i}" for i in range(k)) for k in (40_000, 45_000, 49_000)]  # counts beyond a byte
+    sets = [near_copies.shingles(t.encode()) for t in texts]
+    counts = [near_copies.bucket_counts(near_copies.shingle_hashes(t.encode())) for t in texts]
+    assert {len(c) for c in counts} == {near_copies.BUCKETS, 2 * near_copies.BUCKETS}
+    for i, x in enumerate(counts):
+        for j, y in enumerate(counts):
+            assert near_copies.most_jaccard(x, y) >= near_copies.jaccard(sets[i], sets[j])
+
+
+def test_texts_that_only_share_a_passage_are_not_compared(spark, monkeypatch):
+    find_package(spark)
+    rng = random.Random(11)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(5000)]
+    passage = rng.choices(words, k=90)
+    rows = [(i, " ".join(passage + rng.choices(words, k=60))) for i in range(300)]
+    rows += [(300 + i, rows[i][1] + " end") for i in range(3)]
+    sizes, plain = [], near_copies.plausible
+
+    def counted(pairs, sigs):
+        out = plain(pairs, sigs)
+        sizes.append((pairs.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(near_copies, "plausible", counted)
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    left = {r.doc_id for r in near_copies.one_per_component(docs).collect()}
+    assert left == set(range(300))
+    before, after = sizes[0]
+    assert after < before / 4
