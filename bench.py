@@ -2,7 +2,9 @@
 
 Every query runs once to warm up and then ``BENCH_RUNS`` times over the whole
 tables; the median counts. Results go to Spark's no-op sink, so all rows and
-columns are computed.
+columns are computed. Every stream then runs once (none with ``BENCH_STREAMS=0``);
+their seconds include writing their topics, where no stream before did, and don't
+count in the sum.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ import time
 from pyspark.sql import SparkSession
 
 from orderloom.plans import registry
+from orderloom.streaming.replay import ended_queries, summary
 
 HEADLINE = [
     "order_events",
@@ -67,6 +70,13 @@ def main() -> None:
             queries[name](spark, folder).write.format("noop").mode("overwrite").save()
             taken.append(time.perf_counter() - start)
         seconds[name] = round(statistics.median(taken[1:]), 3)
+    streams = {}
+    if not only and os.environ.get("BENCH_STREAMS", "1") != "0":
+        for name in (n for n in queries if n.endswith("_stream")):
+            start = time.perf_counter()
+            with ended_queries() as ended:
+                queries[name](spark, folder).write.format("noop").mode("overwrite").save()
+            streams[name] = {"sec": round(time.perf_counter() - start, 3), **summary(ended)}
     spark.stop()
     print(
         json.dumps(
@@ -75,6 +85,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "streams": streams,
                 "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
             }
         )

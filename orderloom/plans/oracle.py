@@ -578,6 +578,9 @@ def stream_sql() -> dict[str, str]:
         "trends_daily_stream": _with(
             _HUB + "," + _trends("1 DAY"), f"SELECT * FROM trend WHERE window_end <= {hub_mark}"
         ),
+        "trends_daily_stored_hub_stream": _with(
+            _HUB + "," + _trends("1 DAY"), f"SELECT * FROM trend WHERE window_end <= {hub_mark}"
+        ),
         "trends_late_stream": _with(
             ",".join([_LINES, _STATUS, _LATE, _trends("1 DAY").replace("FROM status", "FROM kept")]),
             f"SELECT * FROM trend WHERE window_end <= {newest('status')} - INTERVAL 10 SECOND",

@@ -19,6 +19,13 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def use_slowest(spark: SparkSession) -> SparkSession:
+    """Of several watermarks in a query the slowest counts, so no source's rows become late
+    because another one is ahead."""
+    spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min")
+    return spark
+
+
 def use_rocksdb(spark: SparkSession) -> SparkSession:
     """Keep streaming state in RocksDB: on local disk, not in memory, and with timers."""
     spark.conf.set(

@@ -101,6 +101,15 @@ def read(
     return stored.select(*schema.names)
 
 
+def read_stream(
+    spark: SparkSession, path: str, schema: T.StructType, transforms: Sequence[Transform] = ()
+) -> DataFrame:
+    """The table as a stream of what is appended to it. Where a stream writes it, only files of
+    finished batches are read, each once."""
+    stored = spark.readStream.schema(stored_schema(schema, transforms)).parquet(path)
+    return stored.select(*schema.names)
+
+
 def read_days(
     spark: SparkSession,
     path: str,

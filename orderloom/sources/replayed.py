@@ -1,11 +1,13 @@
-"""Batch topics as streams: written once, cut at fixed times, and read file by file.
+"""Batch topics as streams: written once, cut at fixed times, and read cut by cut.
 
-All topics of one calendar are cut at the same times, one file each, so that
-every micro-batch of a query sees the same stretch of event time of each topic.
+All topics of one calendar are cut at the same times, so that every micro-batch of
+a query sees the same stretch of event time of each topic. A cut is as many files
+as the largest cut needs, the same number in each, and a micro-batch reads so many.
 """
 
 from __future__ import annotations
 
+import math
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -14,9 +16,11 @@ from pyspark.sql import types as T
 
 from orderloom.session import shared_dir
 
-FILES = 8
-# topics that this process has written already: (application, folder, topic) -> path
-_written: dict[tuple[str, str, str], str] = {}
+CUTS = 8
+#: Rows of a task that writes a cut, and of a file, at most about.
+ROWS_PER_FILE = 2_000_000
+# topics that this process has written already: (application, folder, topic) -> path, files a cut
+_written: dict[tuple[str, str, str], tuple[str, int]] = {}
 
 
 def _zoned(df: DataFrame) -> DataFrame:
@@ -29,31 +33,47 @@ def _zoned(df: DataFrame) -> DataFrame:
     return df.withColumns(zoned) if zoned else df
 
 
-def write_cut(df: DataFrame, ts: str, first: datetime, last: datetime, files: int = FILES) -> str:
-    """``files`` parquet files of equal stretches of time from ``first`` to ``last``, in order.
-    Rows outside or without a time go to the nearest file, or the first one."""
+def write_cut(
+    df: DataFrame,
+    ts: str,
+    first: datetime,
+    last: datetime,
+    cuts: int = CUTS,
+    rows_per_file: int = ROWS_PER_FILE,
+) -> tuple[str, int]:
+    """Parquet files of equal stretches of time from ``first`` to ``last``, in order, and how many
+    of them are one stretch. Rows outside or without a time go to the nearest stretch, or the first
+    one. The rows of a stretch are dealt over its files; a stretch with too few rows gets empty
+    files, so that files never have to be told apart by name."""
     spark = df.sparkSession
     start, end = F.unix_micros(F.lit(first).cast("timestamp")), F.unix_micros(F.lit(last).cast("timestamp"))
-    place = F.floor((F.unix_micros(ts) - start) * files / (end - start))
-    part = F.coalesce(F.greatest(F.lit(0), F.least(F.lit(files - 1), place)), F.lit(0))
+    place = F.floor((F.unix_micros(ts) - start) * cuts / (end - start))
+    part = F.coalesce(F.greatest(F.lit(0), F.least(F.lit(cuts - 1), place)), F.lit(0))
     staged, path = shared_dir(spark, "topics"), shared_dir(spark, "topics")
     df.withColumn("part", part.cast("int")).write.partitionBy("part").parquet(staged)
     schema = T.StructType([*df.schema.fields, T.StructField("part", T.IntegerType())])
     rows = spark.read.schema(schema).parquet(staged)
-    for k in range(files):
+    largest = rows.groupBy("part").count().agg(F.max("count")).first()[0] or 0
+    files = max(1, math.ceil(largest / rows_per_file))
+    nothing = spark.createDataFrame([], df.schema).coalesce(1)
+    for k in range(cuts):
         own = rows.where(F.col("part") == k).drop("part")
-        own.coalesce(1).write.mode("append").parquet(path)
-    return path
+        dealt = own.repartition(files) if files > 1 else own.coalesce(1)
+        dealt.write.mode("append").parquet(path)
+        there = len(spark.read.schema(df.schema).parquet(path).inputFiles())
+        for _ in range(files * (k + 1) - there):
+            nothing.write.mode("append").parquet(path)
+    return path, files
 
 
 def as_stream(
     batch: DataFrame, name: str, folder: str, ts: str, first: datetime, last: datetime
 ) -> DataFrame:
-    """The topic as a stream of one file for each micro-batch. Written once per process."""
+    """The topic as a stream of one cut for each micro-batch. Written once per process."""
     df = _zoned(batch)
     spark = df.sparkSession
     key = (spark.sparkContext.applicationId, folder, name)
     if key not in _written:
         _written[key] = write_cut(df, ts, first, last)
-    reader = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1)
-    return reader.parquet(_written[key])
+    path, files = _written[key]
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)

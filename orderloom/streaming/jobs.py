@@ -22,6 +22,12 @@ PROFILE_DELAY = "30 seconds"
 # --- end of fixed values ------------------------------------------------------
 
 
+def raw(topic: DataFrame) -> DataFrame:
+    """A raw topic with its watermark at the source. With several topics the slowest decides
+    (``session.use_slowest``): one that is idle holds back what the others could close."""
+    return topic.withWatermark("event_time", RAW_DELAY)
+
+
 def trends_stream(events: DataFrame, size: str) -> DataFrame:
     """Append: a window is emitted once, when event time has passed its end."""
     return trends.trends(events.withWatermark("eventTimestamp", TREND_DELAY), size)

@@ -1,3 +1,5 @@
+import random
+from datetime import datetime
 from decimal import Decimal
 
 from conftest import at, cancelled, event, placed, rows
@@ -246,3 +248,25 @@ def test_rows_without_a_time_are_dropped_everywhere(spark):
     assert turnover.stockout_risk_hourly(events).count() == 1
     assert trends.trends(events, trends.ONE_DAY).count() == 0
     assert assembly.order_assembly(events).count() == 0
+
+
+def test_packed_quantities_order_as_time_rank_and_quantity_do(spark):
+    """Against the maximum of tuples in which NULL comes first, at the ends of both ranges."""
+    rng = random.Random(4)
+    times = [None, datetime(1, 1, 1), datetime(1969, 12, 31, 23, 59, 59, 999_999), at(0), at(1), datetime(9999, 12, 31)]
+    numbers = [None, -(2**63), -1, 0, 1, 2**63 - 1]
+    inv, dec, want = [], [], {}
+    for i in range(200):
+        for _ in range(rng.randint(1, 4)):
+            t, q, rank = rng.choice(times), rng.choice(numbers), rng.randint(0, 1)
+            (dec if rank else inv).append((f"i{i}", q, t))
+            mine = (t is not None, t or datetime.min, rank, q is not None, q or 0, q, t)
+            want[f"i{i}"] = max(want.get(f"i{i}", mine), mine, key=lambda r: r[:5])
+    schema = "item string, quantity long, event_time timestamp_ntz"
+    done = spark.createDataFrame(inv, schema).selectExpr("*", "'RESTOCK_COMPLETED_EVENT' AS eventType")
+    got = stock.stock_quantity(done, spark.createDataFrame(dec, schema))
+    assert {r.item: (r.quantity, r.last_restocked_at) for r in got.collect()} == {
+        i: (r[5], r[6]) for i, r in want.items()
+    }
+    plan = got._jdf.queryExecution().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan

@@ -14,14 +14,15 @@ from pyspark.sql import types as T
 
 from orderloom import schemas
 from orderloom.operators import contracts, customer, pattern, stock, trends, turnover
-from orderloom.session import state_in_rocksdb, use_rocksdb
+from orderloom.plans import registry
+from orderloom.session import state_in_rocksdb, use_rocksdb, use_slowest
 from orderloom.sinks import keyed, lake
 from orderloom.sinks.targets import Target, newest_mark, read_target, set_stream, write_set
-from orderloom.sources import testdata, topics
+from orderloom.sources import replayed, testdata, topics
 from orderloom.streaming import jobs
 from orderloom.streaming.lead_time import follow, in_order, lead_time_stream
 from orderloom.streaming.profile import customer_profile_stream
-from orderloom.streaming.replay import replay_measured
+from orderloom.streaming.replay import ended_queries, replay_measured, summary
 
 
 def write_files(spark, folder, batches, schema):
@@ -479,6 +480,83 @@ def test_identity_partitions_keep_their_type(spark, tmp_path):
     assert rows(found) == [("007", 1)]
 
 
+def test_cuts_of_several_files_are_one_batch_each(spark, tmp_path):
+    """Unequal cuts, one of them empty: every micro-batch still reads one cut."""
+    rows_ = [(i, at(s)) for i, s in enumerate([0] * 50 + [25] * 3 + [35] * 11)]
+    df = spark.createDataFrame(rows_, "i int, ts timestamp")
+    path, files = replayed.write_cut(df, "ts", at(0), at(40), cuts=4, rows_per_file=10)
+    assert files == 5
+    seen = []
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
+    query = stream.writeStream.option("checkpointLocation", f"{tmp_path}/ck").foreachBatch(
+        lambda batch, _: seen.append((batch.count(), batch.select("ts").distinct().count()))
+    )
+    query.trigger(availableNow=True).start().awaitTermination()
+    assert seen == [(50, 1), (0, 0), (3, 1), (11, 1)]
+    sizes = [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
+    assert max(sizes) <= 10 + 8  # each of up to eight tasks deals its own rows, starting anywhere
+
+
+def test_an_idle_source_holds_windows_back(spark, tmp_path):
+    """The stock topic is silent: no hour is over, whatever the cancellations say. After a restart
+    Spark knows a source's mark only once it has sent rows again, so both do here."""
+    use_slowest(spark)
+    write_files(spark, f"{tmp_path}/inv", [[("s", "X", "RESTOCK_REQUESTED_EVENT", 1, at(10))]], INV)
+    sent = [[cancelled(ts=20)], [cancelled(ts=90_000)]]
+    events = hub_stream(spark, f"{tmp_path}/hub", sent)
+    restocks = stock.inventory_events(read_files(spark, f"{tmp_path}/inv", INV))
+    stream = jobs.turnover_stream(restocks, events)
+    assert rows(run_append(stream, str(tmp_path))) == []
+    write_files(spark, f"{tmp_path}/hub", [*sent, [placed(ts=90_001)]], schemas.ORDER_EVENT)
+    spark.createDataFrame([("s", "Y", "OTHER_EVENT", 1, at(9000))], INV).select(
+        F.to_json(F.struct("*")).alias("value")
+    ).write.mode("append").text(f"{tmp_path}/inv")
+    assert rows(run_append(stream, str(tmp_path))) == [("X", at(0), at(3600), 1, 1)]
+
+
+def test_raw_topics_carry_a_watermark_of_their_own(spark, tmp_path):
+    """Two raw topics, one of them without rows: the watermark of the query doesn't move."""
+    use_slowest(spark)
+    write_files(spark, f"{tmp_path}/inv", [[("s", "X", "RESTOCK_COMPLETED_EVENT", 1, at(10))]], INV)
+    write_files(spark, f"{tmp_path}/dec", [[("X", 49, at(7))]], DEC)
+    os.makedirs(f"{tmp_path}/none")
+
+    def marks(dec):
+        reports = jobs.stock_quantity_stream(
+            jobs.raw(read_files(spark, f"{tmp_path}/inv", INV)), jobs.raw(read_files(spark, f"{tmp_path}/{dec}", DEC))
+        )
+        out = f"{tmp_path}/{dec}-out"
+        q = keyed.upsert_stream(reports, f"{out}/t", f"{out}/ck", {"availableNow": True})
+        q.awaitTermination()
+        return [p.eventTime.get("watermark") for p in q.recentProgress]
+
+    assert marks("none")[-1].startswith("1970-01-01T00:00:00")
+    assert marks("dec")[-1].startswith(at(2).isoformat())
+
+
+def test_consumers_of_a_stored_hub_read_each_event_once(spark, tmp_path):
+    def store_hub(batches):
+        events = hub_stream(spark, f"{tmp_path}/in", batches)
+        run_append(events, f"{tmp_path}/hub", by_type)
+        return lake.read_stream(spark, f"{tmp_path}/hub/out", events.schema, by_type)
+
+    by_type = [lake.identity("eventType")]
+    first, second = [event(ts=1), placed(ts=2)], [event(ts=3, order="o2"), placed(ts=4000)]
+    run_append(jobs.trends_stream(store_hub([first]), trends.FIVE_MINUTES), str(tmp_path))
+    stored = store_hub([first, second])
+    got = run_append(jobs.trends_stream(stored, trends.FIVE_MINUTES), str(tmp_path))
+    assert [(r.item, r.order_count) for r in got.collect()] == [("X", 2)]
+
+
+def test_figures_of_ended_queries(spark):
+    with ended_queries() as ended:
+        items = registry.queries()["stock_quantity_stream"](spark, "/root/testdata/sf0.001").count()
+    found = summary(ended)
+    topics_ = (testdata.inventory_out, testdata.stock_decrement)
+    assert found["rows"] == sum(t(spark, "/root/testdata/sf0.001").count() for t in topics_)
+    assert found["rows_per_sec"] > 0 and found["state_rows"] == items > 0 and found["late_groups"] == 0
+
+
 def test_topics_are_cut_at_the_same_times(spark, tmp_path):
     """Eight micro-batches, of both topics the same stretch of event time, in order."""
     spans = {}
