@@ -71,7 +71,7 @@ def main() -> None:
             taken.append(time.perf_counter() - start)
         seconds[name] = round(statistics.median(taken[1:]), 3)
     streams = {}
-    if not only and os.environ.get("BENCH_STREAMS", "1") != "0":
+    if os.environ.get("BENCH_STREAMS", "0" if only else "1") != "0":
         for name in (n for n in queries if n.endswith("_stream")):
             start = time.perf_counter()
             with ended_queries() as ended:
