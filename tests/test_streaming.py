@@ -575,3 +575,21 @@ def test_topics_are_cut_at_the_same_times(spark, tmp_path):
     stretches = list(zip(*spans.values(), strict=True))
     for now, later in itertools.pairwise(stretches):
         assert max(r[1] for r in now) < min(r[0] for r in later)
+
+
+def test_a_batch_adds_one_file_to_a_day_and_few_state_partitions(spark, tmp_path):
+    """Not a file for each task and day, nor state partitions that outnumber the cores many times."""
+    df = spark.range(64).selectExpr("id", "timestamp'2024-03-01' + make_interval(0, 0, 0, id % 2) AS ts")
+    df.repartition(8).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(df.schema).parquet(f"{tmp_path}/in")
+    assert run_append(stream, str(tmp_path / "a"), [lake.day("ts")]).count() == 64
+    assert len(glob.glob(f"{tmp_path}/a/out/ts_day=*/*.parquet")) == 2
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        counted = run_keyed(stream.groupBy("id").count(), str(tmp_path / "b"), ["id"])
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert counted.count() == 64
+    assert len(glob.glob(f"{tmp_path}/b/ck/state/0/*")) <= 17
