@@ -2,17 +2,22 @@
 
 An item's rows wait in its own state until event time has passed them, and are then
 taken in event-time order by the pattern: a start waits for its end, whatever else
-comes in between ends the start. A batch reads and writes the state of its own
-items and of those whose time has come, however many items are in assembly.
+comes in between ends the start. Items share buckets of state, in columns (see
+:mod:`orderloom.streaming.segments`): a batch writes the rows of its own items and of
+those whose time has come, however many items are in assembly.
 """
 
 from __future__ import annotations
 
 import sys
+from collections import defaultdict
 from collections.abc import Iterator, Sequence
 
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
@@ -25,21 +30,26 @@ from orderloom.operators.pattern import (
     lead_time_columns,
     pattern_rows,
 )
+from orderloom.streaming import segments
+from orderloom.streaming.segments import Segments, Wake, table_of
 
 # --- fixed value: how late an event may be ------------------------------------
 PATTERN_DELAY = "30 seconds"
+#: More than elsewhere: a start whose end comes batches later has its segment written again.
+BUCKETS = 1536
 # --- end of fixed value -------------------------------------------------------
 
 _TEXT, _LONG = T.StringType(), T.LongType()
-
-
-def _row(**fields: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
-
-
-_WAITING = _row(at=_LONG, step=_LONG, order_id=_TEXT, item=_TEXT, line=_TEXT)
-_START = _row(at=_LONG, order_id=_TEXT, item=_TEXT, line=_TEXT, progress=_LONG)
-_OUT = _row(item_id=_TEXT, order_id=_TEXT, item=_TEXT, start=_LONG, done=_LONG, line=_TEXT)
+_OUT = T.StructType().add("item_id", _TEXT).add("order_id", _TEXT).add("item", _TEXT)
+_OUT = _OUT.add("start", _LONG).add("done", _LONG).add("line", _TEXT)
+_WAITING = pa.schema(
+    {"item_id": pa.string(), "at": pa.int64(), "step": pa.int64(), "order_id": pa.string(), "item": pa.string(),
+     "line": pa.string()}
+)
+_STARTS = pa.schema(
+    {"item_id": pa.string(), "at": pa.int64(), "order_id": pa.string(), "item": pa.string(), "line": pa.string(),
+     "progress": pa.int64()}
+)
 
 
 def in_order(row: tuple) -> tuple:
@@ -66,44 +76,57 @@ def follow(start: tuple | None, rows: list[tuple], steps: tuple) -> tuple[tuple
 
 
 class LeadTimeProcessor(StatefulProcessor):
-    """One key is an item. Times are microseconds, timers milliseconds."""
+    """One key is a bucket of items. Times are microseconds, timers milliseconds."""
 
     def __init__(self, steps: tuple):
         self.steps = steps
 
     def init(self, handle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", _WAITING)
-        self.start = handle.getValueState("start", _START)
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        new = [(r["at"], r["step"], r["order_id"], r["item"], r["line"]) for r in rows]
-        if new:
-            self.waiting.appendList(new)
-            self.handle.registerTimer(min(r[0] for r in new) // 1000)
+        self.wake = Wake(handle)
+        self.waiting = Segments(handle, "waiting", _WAITING)
+        self.starts = Segments(handle, "starts", _STARTS)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        self._wait(table_of(rows, _WAITING))
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        watermark = timerValues.getCurrentWatermarkInMs()
-        waiting = [tuple(r) for r in self.waiting.get()]
-        due = sorted((r for r in waiting if r[0] // 1000 <= watermark), key=in_order)
-        later = [r for r in waiting if r[0] // 1000 > watermark]
-        if not due:
-            return
-        if later:
-            self.waiting.put(later)
-            self.handle.registerTimer(min(r[0] for r in later) // 1000)
-        else:
-            self.waiting.clear()
-        before = self.start.get()
-        before = tuple(before) if before else None
-        start, found = follow(before, due, self.steps)
-        if start is None and before is not None:
-            self.start.clear()
-        elif start is not None and start != before:
-            self.start.update(start)
-        for (at, order_id, item, line, _), done in found:
-            yield Row(item_id=key[0], order_id=order_id, item=item, start=at, done=done, line=line)
+    def _wait(self, rows: pa.Table) -> None:
+        """Come back when event time has passed the first of ``rows``."""
+        if rows.num_rows:
+            self.waiting.add(rows)
+            self.wake.at(-(-pc.min(rows["at"]).as_py() // 1000))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        tables = self.waiting.tables()
+        waiting = self.waiting.whole(tables)
+        is_due = pc.less_equal(waiting["at"], passed)
+        due = waiting.filter(is_due)
+        self.wake.done()
+        self.waiting.drop(tables)
+        self._wait(waiting.filter(pc.invert(is_due)).combine_chunks())
+        rows = defaultdict(list)
+        for item_id, *row in zip(*(c.to_pylist() for c in due.columns), strict=True):
+            rows[item_id].append(tuple(row))
+        items = pa.array(list(rows), pa.string())
+        tables = self.starts.tables()
+        known = self.starts.whole(tables)
+        known = known.filter(pc.is_in(known["item_id"], value_set=items))
+        before = {item: tuple(start) for item, *start in zip(*(c.to_pylist() for c in known.columns), strict=True)}
+        found, starts = [], []
+        for item_id, own in rows.items():
+            start, done = follow(before.get(item_id), sorted(own, key=in_order), self.steps)
+            found += [(item_id, s[1], s[2], s[0], at, s[3]) for s, at in done]
+            if start is not None and start == before.get(item_id):
+                del before[item_id]
+            elif start is not None:
+                starts.append((item_id, *start))
+        if before:
+            tables = self.starts.remove(tables, "item_id", pa.array(list(before), pa.string()))
+        columns = zip(*starts, strict=True) if starts else [[]] * len(_STARTS)
+        self.starts.add(pa.table([pa.array(c, t) for c, t in zip(columns, _STARTS.types, strict=True)], _STARTS), tables)
+        if found:
+            yield pd.DataFrame(found, columns=_OUT.names)
 
     def close(self) -> None:
         pass
@@ -121,10 +144,11 @@ def lead_time_stream(
     (``session.state_in_rocksdb``).
     """
     # the processor itself goes to the workers, which need not have this package
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    for module in (segments, sys.modules[__name__]):
+        cloudpickle.register_pickle_by_value(module)
     rows = pattern_rows(events.withWatermark("eventTimestamp", delay), start_types)
     rows = rows.withColumn("at", F.unix_micros("ts")).withColumn("step", F.col("step").cast("long"))
-    found = rows.groupBy("item_id").transformWithState(
+    found = rows.withColumn("bucket", segments.bucket("item_id", buckets=BUCKETS)).groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=LeadTimeProcessor((PLACED, IN_PROGRESS, FULFILLED)),
         outputStructType=_OUT,
         outputMode="Append",

@@ -1,4 +1,4 @@
-"""Keyed state behind the customer profile stream: one state per customer.
+"""Keyed state behind the customer profile stream: customers share buckets of state.
 
 The orders seen and the newest values of a customer change together, in one
 processor, so no reader ever finds a count that its values don't belong to.
@@ -8,74 +8,82 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
-from datetime import UTC, datetime, timedelta
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
 from orderloom.operators.customer import customer_history
+from orderloom.streaming import segments
+from orderloom.streaming.segments import Segments, table_of
 
-_EPOCH = datetime(1970, 1, 1, tzinfo=UTC)
-_TEXT, _LONG, _TIME = T.StringType(), T.LongType(), T.TimestampType()
+_TEXT, _LONG = T.StringType(), T.LongType()
 #: What a profile keeps the newest non-NULL value of.
 VALUES = ("loyalty_member_id", "location", "order_id")
+#: The time of rows without one: before all others.
+NO_TIME = -(1 << 62)
 
-
-def _row(**fields: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
-
-
-_ORDER, _SEEN = _row(order_id=_TEXT), _row(seen=T.BooleanType())
-_NEWEST = _row(
-    orders=_LONG, newest=_LONG, **{f"{v}{s}": k for v in VALUES for s, k in (("_at", _LONG), ("", _TEXT))}
+_ORDERS = pa.schema({"customer_name": pa.string(), "order_id": pa.string()})
+_NEWEST = pa.schema(
+    {"customer_name": pa.string(), "orders": pa.int64(), "newest": pa.int64()}
+    | {k: t for v in VALUES for k, t in ((f"{v}_at", pa.int64()), (v, pa.string()))}
 )
-_OUT = _row(
-    customerName=_TEXT, loyaltyMemberId=_TEXT, lastLocation=_TEXT, lastOrderId=_TEXT,
-    lastOrderAt=_TIME, totalOrders=_LONG,
-)
-
-
-def _later(a: tuple, b: tuple) -> tuple:
-    """Equal times fall back to the values, as in the batch form; NULL comes first."""
-    return max(a, b, key=lambda r: [(x is not None, x) for x in r])
+_OUT = T.StructType().add("customerName", _TEXT).add("loyaltyMemberId", _TEXT).add("lastLocation", _TEXT)
+_OUT = _OUT.add("lastOrderId", _TEXT).add("at", _LONG).add("totalOrders", _LONG)
 
 
 class ProfileProcessor(StatefulProcessor):
-    """One key is a customer. Times are microseconds."""
+    """One key is a bucket of customers. Times are microseconds."""
 
     def init(self, handle) -> None:
-        self.orders = handle.getMapState("orders", _ORDER, _SEEN)
-        self.newest = handle.getValueState("newest", _NEWEST)
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        before = self.newest.get()
-        count, newest, *rest = tuple(before) if before else (0, None, *(None,) * (2 * len(VALUES)))
-        last = {v: (rest[2 * i], rest[2 * i + 1]) for i, v in enumerate(VALUES)}
-        orders = set()
-        for r in rows:
-            at = r["at"]
-            newest = at if newest is None else newest if at is None else max(newest, at)
-            for v in VALUES:
-                if r[v] is not None:
-                    last[v] = _later(last[v], (at, r[v])) if last[v][1] is not None else (at, r[v])
-            if r["order_id"] is not None:
-                orders.add(r["order_id"])
-        for order in sorted(orders):
-            if not self.orders.containsKey((order,)):
-                self.orders.updateValue((order,), (True,))
-                count += 1
-        self.newest.update((count, newest, *[x for v in VALUES for x in last[v]]))
-        yield Row(
-            customerName=key[0],
-            loyaltyMemberId=last["loyalty_member_id"][1],
-            lastLocation=last["location"][1],
-            lastOrderId=last["order_id"][1],
-            lastOrderAt=None if newest is None else _EPOCH + timedelta(microseconds=newest),
-            totalOrders=count,
-        )
+        self.orders = Segments(handle, "orders", _ORDERS)
+        self.newest = Segments(handle, "newest", _NEWEST)
+
+    def _count_new(self, rows: pd.DataFrame) -> pd.Series:
+        """Orders that each customer has for the first time; they are remembered."""
+        named = rows[rows["order_id"].notna()][_ORDERS.names].drop_duplicates()
+        tables = self.orders.tables()
+        seen = self.orders.whole(tables)
+        seen = seen.filter(pc.is_in(seen["order_id"], value_set=pa.array(named["order_id"], pa.string())))
+        both = named.merge(seen.to_pandas(), "left", _ORDERS.names, indicator="there")
+        new = both[both["there"] == "left_only"][_ORDERS.names]
+        self.orders.add(table_of([new], _ORDERS), tables)
+        return new.groupby("customer_name").size()
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(rows), ignore_index=True)
+        new_orders = self._count_new(rows)
+        tables = self.newest.tables()
+        before = self.newest.whole(tables).to_pandas()
+        touched = pd.Index(rows["customer_name"].unique(), name="customer_name")
+        known = before[before["customer_name"].isin(touched)].set_index("customer_name")
+        out = pd.DataFrame(index=touched)
+        out["orders"] = known["orders"].reindex(touched, fill_value=0) + new_orders.reindex(touched, fill_value=0)
+        at = rows.groupby("customer_name")["at"].max()
+        out["newest"] = np.maximum(known["newest"].reindex(touched, fill_value=NO_TIME), at.reindex(touched))
+        for v in VALUES:
+            old = known[[f"{v}_at", v]].reset_index().set_axis(["customer_name", "at", v], axis=1)
+            each = pd.concat([old, rows[["customer_name", "at", v]]])
+            # equal times fall back to the values, as in the batch form
+            each = each[each[v].notna()].sort_values(["at", v]).drop_duplicates("customer_name", keep="last")
+            each = each.set_index("customer_name")
+            out[f"{v}_at"] = each["at"].reindex(touched, fill_value=NO_TIME).astype("int64")
+            out[v] = each[v].reindex(touched)
+        out = out.reset_index()
+        self.newest.drop(tables)
+        untouched = before[~before["customer_name"].isin(touched)]
+        self.newest.add(table_of([untouched, out], _NEWEST), {})
+        yield pd.DataFrame(
+            {"customerName": out["customer_name"], "loyaltyMemberId": out["loyalty_member_id"],
+             "lastLocation": out["location"], "lastOrderId": out["order_id"], "at": out["newest"],
+             "totalOrders": out["orders"]}
+        )
 
     def close(self) -> None:
         pass
@@ -85,16 +93,23 @@ def customer_profile_stream(events: DataFrame) -> DataFrame:
     """Update, keyed by customer: the whole profile of each customer that a batch names.
 
     ``updatedAt`` is the time of the batch. A customer's rows of one batch go through
-    one task; the orders seen before are looked up one by one, never read as a whole.
+    one task; of the orders seen before only the batch's own leave Arrow.
     The session must use the RocksDB state store (``session.state_in_rocksdb``).
     """
     # the processor itself goes to the workers, which need not have this package
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    rows = customer_history(events).withColumn("at", F.unix_micros("event_timestamp"))
-    profiles = rows.select("customer_name", *VALUES, "at").groupBy("customer_name").transformWithState(
+    for module in (segments, sys.modules[__name__]):
+        cloudpickle.register_pickle_by_value(module)
+    at = F.coalesce(F.unix_micros("event_timestamp"), F.lit(NO_TIME)).alias("at")
+    rows = customer_history(events).select("customer_name", *VALUES, at)
+    profiles = rows.withColumn("bucket", segments.bucket("customer_name")).groupBy("bucket")
+    profiles = profiles.transformWithStateInPandas(
         statefulProcessor=ProfileProcessor(),
         outputStructType=_OUT,
         outputMode="Update",
         timeMode="None",
     )
-    return profiles.withColumn("updatedAt", F.current_timestamp())
+    last = F.when(F.col("at") != NO_TIME, F.timestamp_micros("at")).alias("lastOrderAt")
+    return profiles.select(
+        "customerName", "loyaltyMemberId", "lastLocation", "lastOrderId", last, "totalOrders",
+        F.current_timestamp().alias("updatedAt"),
+    )

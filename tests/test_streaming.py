@@ -5,6 +5,7 @@ import itertools
 import json
 import os
 import random
+import threading
 from decimal import Decimal
 
 import pytest
@@ -19,7 +20,7 @@ from orderloom.session import state_in_rocksdb, use_rocksdb, use_slowest
 from orderloom.sinks import keyed, lake
 from orderloom.sinks.targets import Target, newest_mark, read_target, set_stream, write_set
 from orderloom.sources import replayed, testdata, topics
-from orderloom.streaming import jobs
+from orderloom.streaming import jobs, segments
 from orderloom.streaming.lead_time import follow, in_order, lead_time_stream
 from orderloom.streaming.profile import customer_profile_stream
 from orderloom.streaming.replay import ended_queries, replay_measured, summary
@@ -593,3 +594,29 @@ def test_a_batch_adds_one_file_to_a_day_and_few_state_partitions(spark, tmp_path
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert counted.count() == 64
     assert len(glob.glob(f"{tmp_path}/b/ck/state/0/*")) <= 17
+
+
+def test_targets_of_a_set_are_written_at_the_same_time(spark, tmp_path):
+    """Each target waits for the other to begin."""
+    meet = threading.Barrier(2, timeout=60)
+
+    def rows_of(batch):
+        meet.wait()
+        return batch
+
+    write_set(str(tmp_path), [Target(n, rows_of) for n in ("one", "two")])(spark.range(10), 0)
+    for name in ("one", "two"):
+        assert read_target(spark, str(tmp_path), name, spark.range(1).schema).count() == 10
+
+
+def test_many_keys_take_few_state_rows(spark, tmp_path):
+    """Customers share buckets of state: 3000 of them in one batch are far fewer rows of it."""
+    batches = [[placed(f"o{n}", n % 60, name=f"c{n}") for n in range(3000)], [placed("o1", 3, name="c1")]]
+    stream = customer_profile_stream(hub_stream(spark, f"{tmp_path}/in", batches))
+    with state_in_rocksdb(spark):
+        q = keyed.upsert_stream(stream, f"{tmp_path}/out", f"{tmp_path}/ck", {"availableNow": True})
+        q.awaitTermination()
+    updated = [p["stateOperators"][0]["numRowsUpdated"] for p in q.recentProgress if p["stateOperators"]]
+    assert max(updated) <= 2 * segments.BUCKETS and min(updated) <= 2
+    got = keyed.read_latest(spark, f"{tmp_path}/out", ["customerName"], T.StructType(stream.schema.fields))
+    assert got.count() == 3000 and got.where("totalOrders = 1").count() == 3000
