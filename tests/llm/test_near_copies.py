@@ -148,3 +148,40 @@ def test_texts_that_only_share_a_passage_are_not_compared(spark, monkeypatch):
     assert left == set(range(300))
     before, after = sizes[0]
     assert after < before / 4
+
+
+def test_no_pair_of_a_dense_group_is_lost(spark):
+    """Texts that are all alike, though below the bound, and far from their group's ends pairs above it."""
+    find_package(spark)
+    rng = random.Random(13)
+    base = [f"w{i}" for i in range(400)]
+
+    def changed(words, times):
+        own = list(words)
+        for at in rng.sample(range(400), times):
+            own[at] = f"x{rng.random()}"
+        return own
+
+    firsts = [changed(base, 7) for _ in range(200)]
+    rows = [(i, " ".join(words)) for i, words in enumerate([*firsts, *[changed(w, 8) for w in firsts]])]
+    true = brute(rows)
+    assert len(true) == 200
+    label = list(range(len(rows)))
+    for _ in range(10):
+        for i, j in true:
+            label[i] = label[j] = min(label[i], label[j])
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    left = {r.doc_id for r in near_copies.one_per_component(docs).collect()}
+    assert left == set(label)
+
+
+def test_the_prefix_keeps_every_pair_whatever_is_frequent():
+    rng = random.Random(17)
+    rows, _ = planted()
+    hashes = [near_copies.shingle_hashes(t.encode()) for _, t in rows]
+    every = sorted({int(h) for own in hashes for h in own})
+    for share in (0.0, 0.3, 1.0):
+        frequent = np.array(sorted(rng.sample(every, int(share * len(every)))), np.uint64)
+        first = [set(near_copies.prefix(h, frequent).tolist()) for h in hashes]
+        assert all(first[i] & first[j] for i, j in brute(rows))
+    assert near_copies.prefix(np.zeros(0, np.uint64), np.zeros(0, np.uint64)).tolist() == [0]
