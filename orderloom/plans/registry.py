@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -132,15 +133,22 @@ def _views(spark: SparkSession, sf: str, *names: str) -> None:
     events, history = order_events(spark, sf), customer_history(spark, sf)
     app = spark.sparkContext.applicationId.replace("-", "_")
     database = f"orderloom_{app}_{uuid.uuid5(uuid.NAMESPACE_URL, sf).hex}"
-    lead = pattern.lead_times(td.item_status_events(spark, sf))
+
+    @functools.cache
+    def lead() -> DataFrame:
+        """Both lines' lead times, found once and stored: each line's table is a part of them."""
+        path, found = shared_dir(spark, "tables"), pattern.lead_times(td.item_status_events(spark, sf))
+        found.write.parquet(path)
+        return spark.read.schema(found.schema).parquet(path)
+
     frames = {
         "order_events_current": lambda: hub.current(events),
         "customer_events_history": lambda: history,
         "inventory_turnover": lambda: turnover.turnover_partials(
             stock_events(spark, sf), replayed_cancellations(spark, sf)
         ),
-        "qdca10_lead_time": lambda: lead.where(F.col("assembly_line") == LINE_A),
-        "qdca10pro_lead_time": lambda: lead.where(F.col("assembly_line") == LINE_B),
+        "qdca10_lead_time": lambda: lead().where(F.col("assembly_line") == LINE_A),
+        "qdca10pro_lead_time": lambda: lead().where(F.col("assembly_line") == LINE_B),
     }
     catalog.create_tables(spark, database)
     for name in names:

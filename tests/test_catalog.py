@@ -99,3 +99,23 @@ def test_a_key_that_moves_leaves_its_old_partition(tables, events, mode):
         tables.conf.unset(setting)
     found = tables.table("order_events.orders_current").select("order_id", "location")
     assert rows(found) == [("o1", "RALEIGH")]
+
+
+def test_lead_times_of_both_lines_are_found_once(spark, monkeypatch):
+    from orderloom.plans import registry
+
+    found = spark.createDataFrame([("A", "QDCA10"), ("B", "QDCA10PRO")], "item_id string, assembly_line string")
+    calls, inserted = [], {}
+    monkeypatch.setattr(registry, "order_events", lambda *_: None)
+    monkeypatch.setattr(registry, "customer_history", lambda *_: None)
+    monkeypatch.setattr(registry.td, "item_status_events", lambda *_: None)
+    monkeypatch.setattr(registry.pattern, "lead_times", lambda _: calls.append(1) or found)
+    monkeypatch.setattr(registry.catalog, "insert", lambda df, name, _: inserted.update({name: df}))
+    registry._views(spark, "once", "qdca10_lead_time", "qdca10pro_lead_time")
+    assert len(calls) == 1
+    files = [df.inputFiles() for df in inserted.values()]
+    assert files[0] == files[1] != []
+    assert {n: [r.item_id for r in df.collect()] for n, df in inserted.items()} == {
+        "qdca10_lead_time": ["A"],
+        "qdca10pro_lead_time": ["B"],
+    }
