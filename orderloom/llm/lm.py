@@ -32,6 +32,7 @@ at any size of the corpus.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -194,11 +195,16 @@ def _answers(asked: pa.Table) -> pa.Table:
 
 @dataclass
 class Automaton:
-    """A block's part of the model. States are numbers of n-grams; then the begin, then the root."""
+    """A block's part of the model. States are numbers of n-grams; then the begin, then the root.
 
-    arcs: np.ndarray  #: sorted: state * (root + 1) + word
+    An arc has the number of the n-gram that it completes."""
+
+    arcs: np.ndarray  #: whether an n-gram has one
     weights: np.ndarray
+    sources: np.ndarray
+    words: np.ndarray
     targets: np.ndarray
+    of_pair: np.ndarray  #: whether a state is that of a pair
     fail_to: np.ndarray
     fail_weights: np.ndarray
     root_weights: np.ndarray  #: of each word
@@ -206,8 +212,29 @@ class Automaton:
     begin: int
     root: int
 
-    def read(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The weight of reading each word in its state, and the state after it."""
+    @functools.cached_property
+    def _sorted(self) -> tuple[np.ndarray, np.ndarray]:
+        arc = np.flatnonzero(self.arcs)
+        key = self.sources[arc].astype(np.int64) * (self.root + 1) + self.words[arc]
+        order = np.argsort(key)
+        return key[order], arc[order]
+
+    def find(self, state: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """The arc of each word from its state, -1 without one."""
+        keys, arcs = self._sorted
+        if not len(keys):
+            return np.full(len(state), -1)
+        key = state * (self.root + 1) + word
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        return np.where(keys[at] == key, arcs[at], -1)
+
+    def read(
+        self, state: np.ndarray, word: np.ndarray, ended: tuple[np.ndarray, np.ndarray] | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The weight of reading each word in its state, and the state after it.
+
+        ``ended`` are the pairs and the triples that the words end where they are read: these
+        tell the arcs, which then needn't be searched for."""
         weight, after = np.zeros(len(state)), np.empty(len(state), np.int64)
         open_ = np.arange(len(state))
         while len(open_):
@@ -217,10 +244,12 @@ class Automaton:
             weight[done] += self.root_weights[w_done]
             after[done] = self.root_targets[w_done]
             open_, s, w = open_[~at_root], s[~at_root], w[~at_root]
-            key = s * (self.root + 1) + w
-            arc = np.searchsorted(self.arcs, key)
-            arc[arc == len(self.arcs)] = 0
-            found = self.arcs[arc] == key if len(self.arcs) else np.zeros(len(key), bool)
+            if ended is None:
+                arc = self.find(s, w)
+                found = arc >= 0
+            else:
+                arc = np.where(self.of_pair[s], ended[1][open_], ended[0][open_])
+                found = self.arcs[arc]
             weight[open_[found]] += self.weights[arc[found]]
             after[open_[found]] = self.targets[arc[found]]
             open_, s = open_[~found], s[~found]
@@ -239,20 +268,22 @@ def automaton(block: Block, total: np.ndarray, tokens: int, types: int, left: fl
     to_word = lambda at: block.words[at]
     pair, triple = known & (order == 1), known & (order == 2)
     p, t = place[pair], place[triple]
-    source = np.concatenate([
-        np.where(block.first[p], begin, to_word(p - 1)), block.pairs[t - 1]
-    ])
-    word = np.concatenate([to_word(p), to_word(t)])
-    target = np.concatenate([block.pairs[p], block.pairs[t]])
-    weight = np.log10(np.concatenate([total[pair], total[triple]]) / (times[source] + left))
-    arcs = source * (root + 1) + word
-    sort = np.argsort(arcs)
+    sources, words, targets = np.zeros((3, begin), np.int32)
+    weights = np.zeros(begin)
+    sources[pair], sources[triple] = np.where(block.first[p], begin, to_word(p - 1)), block.pairs[t - 1]
+    words[pair], words[triple] = to_word(p), to_word(t)
+    targets[pair], targets[triple] = block.pairs[p], block.pairs[t]
+    arcs = pair | triple
+    weights[arcs] = np.log10(total[arcs] / (times[sources[arcs]] + left))
     fail_to = np.full(root + 1, root)
     fail_to[:begin][order == 1] = to_word(place[order == 1])
     return Automaton(
-        arcs=arcs[sort],
-        weights=weight[sort],
-        targets=target[sort],
+        arcs=arcs,
+        weights=weights,
+        sources=sources,
+        words=words,
+        targets=targets,
+        of_pair=np.append(order == 1, [False, False]),
         fail_to=fail_to,
         fail_weights=np.log10(left) - np.log10(np.append(times, 0) + left),
         root_weights=np.log10((total + 1) / (tokens + types + 1)),
@@ -281,7 +312,8 @@ def walk(block: Block, model: Automaton) -> np.ndarray:
     total = np.zeros(len(text))
     for step in range(int(size.max(initial=0))):
         n = int(np.searchsorted(-size, -step, side="left"))
-        weight, state[:n] = model.read(state[:n].copy(), block.words[start[:n] + step])
+        at = start[:n] + step
+        weight, state[:n] = model.read(state[:n].copy(), block.words[at], (block.pairs[at], block.triples[at]))
         total[:n] += np.where(step >= ahead[:n], weight, 0.0)
     return np.bincount(text, weights=total, minlength=len(per_text))
 

@@ -117,6 +117,21 @@ def test_a_long_text_is_read_as_in_one_walk():
     assert lm.walk(block, model)[0] == pytest.approx(total, rel=1e-12)
 
 
+def test_a_walk_knows_its_arcs_without_a_search(monkeypatch):
+    """The n-grams that end where a word is read tell the arc that a search would find."""
+    rng = np.random.default_rng(3)
+    texts = [b" ".join(b"w%d" % i for i in rng.integers(0, 30, n)) for n in (0, 1, 2, 900, 40)]
+    block = lm.Block(texts, np.ones(len(texts)), 1)
+    total = np.where(rng.random(len(block.counts)) < 0.3, 0, block.counts)
+    model = lm.automaton(block, total, 1000, 31, 1.0)
+    read = model.read
+    monkeypatch.setattr(model, "read", lambda state, word, ended=None: read(state, word))
+    searched = lm.walk(block, model)
+    monkeypatch.undo()
+    monkeypatch.setattr(lm.Automaton, "find", None)
+    assert lm.walk(block, model) == pytest.approx(searched, rel=1e-12)
+
+
 def test_messages_grow_with_the_input_and_not_its_square():
     texts = [b"one two three", b"four five"]
     sent = [lm.Block(texts, np.ones(2), shards).questions(0).num_rows for shards in (10**4, 10**5)]
