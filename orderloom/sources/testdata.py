@@ -95,7 +95,8 @@ def _with_order(lines: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def _with_part(lines: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
-    """Adds ``p_brand``."""
+    """Adds ``p_brand``, before the lines meet their orders: where both joins shuffle, the
+    lines that move to their parts are narrow."""
     part = table(spark, sf, "part").select("p_partkey", "p_brand")
     return lines.join(part, lines.l_partkey == part.p_partkey, "left")
 
@@ -125,7 +126,7 @@ def orders_in(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"
     )
-    joined = _with_part(_with_order(lines, orders), spark, sf)
+    joined = _with_order(_with_part(lines, spark, sf), orders)
     key = F.col("o_orderkey")
     line = F.struct(
         _item_id().alias("itemId"),
@@ -160,7 +161,7 @@ def orders_up(spark: SparkSession, sf: str) -> DataFrame:
         .where(F.col("l_linestatus") == "F")
         .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
     )
-    return _with_part(_with_order(lines, orders), spark, sf).select(
+    return _with_order(_with_part(lines, spark, sf), orders).select(
         _order_id().alias("orderId"),
         _item_id().alias("lineItemId"),
         F.col("p_brand").alias("item"),
@@ -192,13 +193,14 @@ def eighty_six(spark: SparkSession, sf: str, replay: bool = False) -> DataFrame:
         .where((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O"))
         .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     )
+    lines = _with_part(lines, spark, sf)
     if replay:
         start = F.lit(REPLAY_START).cast("timestamp_ntz")
         when = _plus_seconds(start, F.col("l_orderkey") * REPLAY_STEP % REPLAY_SECONDS)
     else:
         lines = _with_order(lines, _orders(spark, sf))
         when = _plus_seconds(_order_time(), F.lit(120))
-    return _with_part(lines, spark, sf).select(
+    return lines.select(
         _order_id().alias("orderId"),
         _item_id().alias("lineItemId"),
         F.col("p_brand").alias("item"),
@@ -270,7 +272,7 @@ def item_status_events(spark: SparkSession, sf: str) -> DataFrame:
         "l_returnflag",
         "l_linestatus",
     )
-    joined = _with_part(_with_order(lines, _orders(spark, sf)), spark, sf)
+    joined = _with_order(_with_part(lines, spark, sf), _orders(spark, sf))
     planned = F.when(F.col("l_suppkey") % 2 == 0, LINE_A).otherwise(LINE_B)
 
     # one row per step the line goes through; columns follow from the step number

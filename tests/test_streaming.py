@@ -620,3 +620,21 @@ def test_many_keys_take_few_state_rows(spark, tmp_path):
     assert max(updated) <= 2 * segments.BUCKETS and min(updated) <= 2
     got = keyed.read_latest(spark, f"{tmp_path}/out", ["customerName"], T.StructType(stream.schema.fields))
     assert got.count() == 3000 and got.where("totalOrders = 1").count() == 3000
+
+
+def test_topic_rows_are_written_once(spark, tmp_path, monkeypatch):
+    """The files that tasks write are the cuts' files, several where a cut has many rows; cuts with
+    fewer get empty ones. Nothing reads and writes the rows again."""
+    monkeypatch.setattr(replayed, "ROWS_PER_FILE", 10)
+    monkeypatch.setattr(replayed, "_dealt", None)
+    rows_ = [(i, at(s)) for i, s in enumerate([0] * 50 + [25] * 3 + [35] * 11)]
+    df = spark.createDataFrame(rows_, "i int, ts timestamp").coalesce(1)
+    path, files = replayed.write_cut(df, "ts", at(0), at(40), cuts=4)
+    assert files == 5 and len(glob.glob(f"{path.removeprefix('file:')}/*.parquet")) == 20
+    seen = []
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
+    query = stream.writeStream.option("checkpointLocation", f"{tmp_path}/ck").foreachBatch(
+        lambda batch, _: seen.append(sorted(r.i for r in batch.collect()))
+    )
+    query.trigger(availableNow=True).start().awaitTermination()
+    assert seen == [list(range(50)), [], [50, 51, 52], list(range(53, 64))]
