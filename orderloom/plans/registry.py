@@ -277,10 +277,12 @@ def _inventory_events_days(spark: SparkSession, sf: str, first: str, last: str)
 def _customer_360_stream(spark: SparkSession, sf: str) -> DataFrame:
     placed = hub.placed_events(td.orders_in(spark, sf, stream=True))
     key = ["customer_name"]
-    return jobs.customer_profile(
-        replay_keyed(spark, jobs.customer_last_seen_stream(placed), key),
-        replay_keyed(spark, jobs.customer_order_count_stream(placed), key),
-    )
+    # a state row for each order: kept on disk, and a batch copies and stores its changes only
+    with state_in_rocksdb(spark):
+        return jobs.customer_profile(
+            replay_keyed(spark, jobs.customer_last_seen_stream(placed), key),
+            replay_keyed(spark, jobs.customer_order_count_stream(placed), key),
+        )
 
 
 def _turnover_stream(spark: SparkSession, sf: str) -> DataFrame:

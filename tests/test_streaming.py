@@ -638,3 +638,30 @@ def test_topic_rows_are_written_once(spark, tmp_path, monkeypatch):
     )
     query.trigger(availableNow=True).start().awaitTermination()
     assert seen == [list(range(50)), [], [50, 51, 52], list(range(53, 64))]
+
+
+def test_the_two_streams_of_the_profile_keep_their_state_on_disk(spark, monkeypatch):
+    """A state row for each order doesn't stay in memory, to be copied by each batch."""
+    from orderloom.plans import registry
+
+    name, used = "spark.sql.streaming.stateStore.providerClass", []
+
+    def replayed_rows(session, stream, keys):
+        used.append(session.conf.get(name, ""))
+        return session.createDataFrame([], stream.schema)
+
+    monkeypatch.setattr(registry, "replay_keyed", replayed_rows)
+    before = spark.conf.get(name, None)
+    registry._customer_360_stream(spark, "/root/testdata/sf0.001")
+    assert len(used) == 2 and all(u.endswith("RocksDBStateStoreProvider") for u in used)
+    assert spark.conf.get(name, None) == before
+
+
+def test_lines_meet_their_parts_before_their_orders(spark):
+    """Where no side is small enough to be broadcast, the lines that move to their parts are narrow."""
+    sf = "/root/testdata/sf0.001"
+    topics_of_lines = (testdata.orders_in, testdata.orders_up, testdata.eighty_six, testdata.item_status_events)
+    for topic in topics_of_lines:
+        plan = topic(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+        joins = [line for line in plan.splitlines() if "Join " in line]
+        assert "l_orderkey" in joins[0] and any("l_partkey" in line for line in joins[1:]), joins
