@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderloom.session import shared_dir
+from orderloom.session import shared_dir, shuffles_removed
 
 #: The white space that separates words, as a character class for regular expressions.
 SPACE = r"[\x20\x09-\x0D]"
@@ -19,13 +20,41 @@ def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+#: Folders stored since each of the running :func:`store_last` began, innermost last.
+_on_the_way: list[list[str]] = []
+
+
 def store(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends there."""
+    """Write ``df`` to the shared folder and read it back: lineage ends there, and what was
+    shuffled for it is removed."""
     path = shared_dir(df.sparkSession, f"llm-{purpose}")
-    df.write.parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
+    if _on_the_way:
+        _on_the_way[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def store_last(build: Callable[[], DataFrame], purpose: str) -> DataFrame:
+    """What ``build`` returns, stored; what it has stored on the way is then deleted. No frame
+    that is read later may depend on that."""
+    _on_the_way.append([])
+    try:
+        df = build()
+        spark = df.sparkSession
+        path = shared_dir(spark, f"llm-{purpose}")
+        with shuffles_removed(spark):
+            df.write.parquet(path)
+    finally:
+        made = _on_the_way.pop()
+    for folder in made:
+        old = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+    if _on_the_way:
+        _on_the_way[-1].append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def text_of(column: str = "text") -> Column:
     """The text, with NULL as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))
