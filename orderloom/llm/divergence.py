@@ -44,6 +44,8 @@ _TO_TERMS = bytes(i if i > 127 else (i | 32 if chr(i).isalpha() else 32) for i i
 _ENTRY = np.dtype([("g", "<i8"), ("n", "<i8")])
 #: Distinct terms, and terms of documents, of one block; pairs of sources added up at once.
 _ENTRIES, _WAITING, _PAIRS = 200_000, 1_000_000, 1 << 20
+#: Terms times groups of a block that are added up in a table; if there are more, sorted.
+_TABLE = 1 << 22
 _MAX_BITS, _BUCKET = 1 << 27, 1 << 15
 #: Groups at most: four numbers of each are sent to the tasks, and every pair of a language is a row.
 MOST_GROUPS = 1 << 20
@@ -148,12 +150,15 @@ def _prefixes(blocks: DataFrame, length: int, parent: int, above: DataFrame | No
                 prefix_of = np.full(len(terms), -1)
                 chosen = [t[:length] for t, h in zip(some, hit.tolist(), strict=True) if h]
                 prefix_of[long[hit]] = np.fromiter(map(known.__getitem__, chosen), np.int64, len(chosen))
-                # a document counts once for each of its distinct prefixes
+                # a document counts once for each of its distinct prefixes; those of one term can't repeat in it
+                repeats = np.append(np.bincount(prefix_of[prefix_of >= 0], minlength=len(known)) > 1, False)
                 prefix = prefix_of[_numbers_of(at)]
+                n = np.bincount(prefix[(prefix >= 0) & ~repeats[prefix]], minlength=len(known))
                 size = _numbers_of(size)
-                document = np.repeat(np.arange(len(size)), size)
-                key = np.unique(document[prefix >= 0] * len(known) + prefix[prefix >= 0])
-                n = np.bincount(key % max(len(known), 1), minlength=len(known))
+                more = np.flatnonzero(repeats[prefix])
+                document = np.repeat(np.arange(len(size)), size)[more]
+                key = np.unique(document * len(known) + prefix[more])
+                n += np.bincount(key % max(len(known), 1), minlength=len(known))
                 arrays = [pa.repeat(pa.scalar(lang, pa.string()), len(n)), pa.array(list(known), pa.binary()), pa.array(n)]
                 yield pa.RecordBatch.from_arrays(arrays, names=["lang", "prefix", "n"])
 
@@ -197,6 +202,19 @@ def _summed(row: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return key[new] // max(len(groups), 1), out
 
 
+def _by_key(key: np.ndarray, n: np.ndarray, keys: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, of 0 to ``keys``, and the total of each one's ``n``, none of which is 0."""
+    at = None
+    if keys > _TABLE:
+        found, at = np.unique(key, return_inverse=True)
+    # totals of a block are far below 2^53, so that doubles hold them exactly
+    total = np.bincount(key if at is None else at, weights=n)
+    if at is None:
+        found = np.flatnonzero(total)
+        total = total[found]
+    return found, total.astype(np.int64)
+
+
 def _group(lang: Column, source: Column, seed: int) -> Column:
     return F.xxhash64(lang, F.lit(seed), source)
 
@@ -212,12 +230,14 @@ def _counts(blocks: DataFrame, kept: DataFrame) -> DataFrame:
         for batch in batches:
             for lang, groups, source, size, terms, at, n in zip(*batch.columns, strict=True):
                 lang, own = lang.as_py(), terms.as_py().split()
+                numbers = np.sort(np.array(groups.as_py(), np.int64))
+                place = np.searchsorted(numbers, np.array(groups.as_py(), np.int64))[_numbers_of(source)]
                 term = _numbers_of(at)
-                entries = np.empty(len(term), _ENTRY)
-                entries["g"] = np.repeat(np.array(groups.as_py(), np.int64)[_numbers_of(source)], _numbers_of(size))
-                entries["n"] = _numbers_of(n)
                 hit = _hits(shared.value, lang, own)[term]
-                term, entries = _summed(term[hit], entries[hit])
+                key = term[hit] * len(numbers) + np.repeat(place, _numbers_of(size))[hit]
+                key, total = _by_key(key, _numbers_of(n)[hit], len(own) * len(numbers))
+                term, entries = key // max(len(numbers), 1), np.empty(len(key), _ENTRY)
+                entries["g"], entries["n"] = numbers[key % max(len(numbers), 1)], total
                 first = np.flatnonzero(np.append(True, np.diff(term) != 0)[: len(term)])
                 names = pa.array(own, pa.binary()).take(pa.array(term[first]))
                 lists = _lists(entries, np.diff(np.append(first, len(term))))

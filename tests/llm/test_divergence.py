@@ -100,3 +100,16 @@ def test_whole_numbers(spark):
 
 def test_empty_table(no_docs):
     assert divergence.audit(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("table", [0, 1 << 22])
+def test_totals_by_key_are_the_same_from_a_table_and_sorted(monkeypatch, table):
+    monkeypatch.setattr(divergence, "_TABLE", table)
+    rng = np.random.default_rng(3)
+    key, n = rng.integers(0, 50, 400), rng.integers(1, 2**31, 400)
+    want = Counter()
+    for k, v in zip(key.tolist(), n.tolist(), strict=True):
+        want[k] += v
+    found, total = divergence._by_key(key, n, 60)
+    assert list(zip(found.tolist(), total.tolist(), strict=True)) == sorted(want.items())
+    assert [len(x) for x in divergence._by_key(key[:0], n[:0], 60)] == [0, 0]
