@@ -185,3 +185,31 @@ def test_the_prefix_keeps_every_pair_whatever_is_frequent():
         first = [set(near_copies.prefix(h, frequent).tolist()) for h in hashes]
         assert all(first[i] & first[j] for i, j in brute(rows))
     assert near_copies.prefix(np.zeros(0, np.uint64), np.zeros(0, np.uint64)).tolist() == [0]
+
+
+def test_links_of_the_simhash_operator_are_verified(spark, monkeypatch):
+    """The stage takes all links of SimHash, and of these alone only those at the bound."""
+    find_package(spark)
+    rows, _ = planted()
+    rows += [(len(rows), None), (len(rows) + 1, ""), (len(rows) + 2, " ")]
+    named = spark.createDataFrame(rows, "_row long, _text string").repartition(3)
+    found = {tuple(r) for r in near_copies.fingerprint_pairs(named).collect()}
+    prints = [simhash.fingerprint((t or "").encode()) for _, t in rows]
+    close = lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 3
+    assert found and all(i < j for i, j in found)
+
+    def joined(pairs):
+        label = list(range(len(rows)))
+        for _ in rows:
+            for i, j in pairs:
+                label[i] = label[j] = min(label[i], label[j])
+        return label
+
+    every = [(i, j) for i in range(len(rows)) for j in range(i + 1, len(rows)) if close(i, j)]
+    assert joined(found) == joined(every)
+    # without the pairs of the prefix filter
+    monkeypatch.setattr(near_copies, "candidates", lambda members: members.select("lo", "hi").toDF("a", "b").limit(0))
+    monkeypatch.setattr(near_copies, "rest", lambda members, labels: members.select("lo", "hi").toDF("a", "b").limit(0))
+    docs = named.toDF("doc_id", "text")
+    left = {r.doc_id for r in near_copies.one_per_component(docs).collect()}
+    assert left == set(joined(found & brute(rows)))
