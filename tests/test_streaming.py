@@ -5,9 +5,13 @@ import itertools
 import json
 import os
 import random
+import tempfile
 import threading
+import time
 from decimal import Decimal
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import at, cancelled, event, placed, rows
 from pyspark.sql import functions as F
@@ -665,3 +669,36 @@ def test_lines_meet_their_parts_before_their_orders(spark):
         plan = topic(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
         joins = [line for line in plan.splitlines() if "Join " in line]
         assert "l_orderkey" in joins[0] and any("l_partkey" in line for line in joins[1:]), joins
+
+
+def shuffle_files():
+    root = os.environ.get("SPARK_LOCAL_DIRS") or tempfile.gettempdir()
+    return set(Path(root).glob("**/blockmgr-*/*/shuffle_*.data"))
+
+
+def test_a_stream_keeps_its_rows_small_and_no_shuffle_files(spark, tmp_path):
+    """Of a topic, an appended table and a set only the stored rows stay on disk, and ids that are
+    hashes take half of their text."""
+    held = spark.range(4000, numPartitions=3).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("eventId"),
+        F.concat(F.lit("k"), F.col("id") % 3).alias("kind"),
+        (F.lit(at(0)) + F.make_dt_interval(secs=F.col("id") * 10)).alias("ts"),
+    )
+    before = shuffle_files()
+    path, files = replayed.write_cut(held.repartition(5, "kind"), "ts", at(0), at(40_000), cuts=2)
+    stream = spark.readStream.schema(held.schema).option("maxFilesPerTrigger", files).parquet(path)
+    out = run_append(stream, f"{tmp_path}/lake", [lake.day("ts"), lake.identity("kind")])
+    targets = [Target("one", lambda b: b, [lake.identity("kind")], rows_per_file=500)]
+    set_stream(stream, f"{tmp_path}/set", f"{tmp_path}/ck", targets, {"availableNow": True}).awaitTermination()
+    for _ in range(50):  # files go in the background
+        if not shuffle_files() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffle_files() - before
+    one = read_target(spark, f"{tmp_path}/set", "one", held.schema, targets[0].transforms)
+    assert sorted(rows(held)) == sorted(rows(out.select(held.columns))) == sorted(rows(one))
+    for folder in (path.removeprefix("file:"), f"{tmp_path}/lake/out", f"{tmp_path}/set"):
+        found = [pq.ParquetFile(f).metadata for f in glob.glob(f"{folder}/**/*.parquet", recursive=True)]
+        columns = [m.row_group(0).column(0) for m in found if m.num_rows]
+        assert columns and {c.compression for c in columns} == {"ZSTD"}
+        assert sum(c.total_compressed_size for c in columns) < 0.7 * 64 * 4000
